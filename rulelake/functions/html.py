@@ -39,6 +39,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def at(arr, i) -> Column:
+    """1-based array element (negative counts from the end); NULL if out of range."""
+    return F.try_element_at(_col(arr), i if isinstance(i, Column) else F.lit(i))
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: drop leading and trailing Unicode white space."""
     return F.regexp_replace(_col(c), "(?U)^\\s+|\\s+$", "")
@@ -61,7 +66,7 @@ def _decode_numeric(c: Column) -> Column:
     def one(seg: Column) -> Column:
         dec = F.regexp_extract(seg, "^([0-9]{1,7});", 1)
         hx = F.regexp_extract(seg, "^[xX]([0-9a-fA-F]{1,6});", 1)
-        dec_hex = F.lpad(F.hex(dec.cast("bigint")), 8, "0")
+        dec_hex = F.lpad(F.hex(dec.try_cast("bigint")), 8, "0")
         return (
             F.when(dec != "", F.concat(_code_point_text(dec_hex),
                                        F.regexp_replace(seg, "^[0-9]{1,7};", "")))
@@ -72,7 +77,7 @@ def _decode_numeric(c: Column) -> Column:
 
     rest = F.transform(F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(1))), one)
     joined = F.array_join(
-        F.concat(F.array(F.element_at(segs, 1)),
+        F.concat(F.array(at(segs, 1)),
                  F.when(F.size(segs) > 1, rest).otherwise(F.array().cast("array<string>"))),
         "")
     return F.when(c.contains("&#"), joined).otherwise(c)
@@ -86,11 +91,22 @@ def decode_entities(c) -> Column:
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
+_SEP = "\u0001"
+
+
 def node_text(fragment, sep: str = "") -> Column:
-    """``get_text(sep, strip=True)`` of an HTML fragment."""
-    nodes = F.split(_col(fragment), "<[^>]*>")
-    cleaned = F.transform(nodes, lambda x: py_strip(decode_entities(x)))
-    return F.array_join(F.filter(cleaned, lambda x: x != ""), sep)
+    """``get_text(sep, strip=True)`` of an HTML fragment, without lambdas.
+
+    Tags become a marker character, entities are decoded (safe now: no tag
+    is left to be confused with a decoded ``<``), white space is trimmed at
+    the ends, and every run of white space that contains a marker (a node
+    boundary, possibly around empty nodes) becomes ``sep``. White space
+    inside a text node is kept, as in the tree walk.
+    """
+    marked = F.regexp_replace(_col(fragment), "<[^>]*>", _SEP)
+    decoded = decode_entities(marked)
+    trimmed = F.regexp_replace(decoded, f"(?U)^[\\s{_SEP}]+|[\\s{_SEP}]+$", "")
+    return F.regexp_replace(trimmed, f"(?U)\\s*{_SEP}[\\s{_SEP}]*", sep)
 
 
 def class_token(cls: str) -> str:

@@ -1,8 +1,8 @@
 """Named queries over the driver's tables (render-then-extract where needed)."""
 
-from rulelake.plans import q_groups, q_latest  # noqa: F401
+from rulelake.plans import q_groups, q_latest, q_rules  # noqa: F401
 from rulelake.plans.registry import all_queries, all_sql
 
-FLAGSHIP = "latest_row_per_key"
+FLAGSHIP = "rule_reviewers"
 
 __all__ = ["FLAGSHIP", "all_queries", "all_sql"]

@@ -13,6 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a small source table before rendering pages from it.
+
+    A small table is one Parquet split, so without this every page would be
+    rendered and parsed by one task. Only the narrow source rows move; on
+    real page dumps the many input splits already give the parallelism.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2
+    return df.repartition(n, key)
+
+
 def brand_no(c: str = "p_brand") -> Column:
     return F.regexp_replace(F.col(c), "Brand#", "").cast("int")
 
@@ -52,3 +63,220 @@ def referenced_slugs_from_parts(part: DataFrame) -> DataFrame:
     dashed = F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))
     return part.select(F.explode(F.array(
         dashed, F.concat(dashed, F.lit("-reviewers")), F.upper(dashed))).alias("slug")).distinct()
+
+
+# --------------------------------------------------------------------------
+# Rule detail pages rendered from ``part`` (one rule page per part)
+# --------------------------------------------------------------------------
+
+def _w(i: int) -> Column:
+    return F.coalesce(F.try_element_at(F.split(F.col("p_name"), " "), F.lit(i)), F.lit(""))
+
+
+def _b() -> Column:
+    return F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit("")))
+
+
+def _a(href: Column, text: Column, cls: str = "phui-handle") -> Column:
+    return F.concat(F.lit('<a href="'), href, F.lit(f'" class="{cls}" data-sigil="hovercard">'),
+                    text, F.lit("</a>"))
+
+
+def repo_h(w: Column) -> Column:
+    return _a(F.concat(F.lit("/source/"), w, F.lit("/")), F.concat(F.lit("r"), F.upper(w), F.lit(" "), w))
+
+
+def tag_h(s: Column) -> Column:
+    return _a(F.concat(F.lit("/tag/"), s, F.lit("/")), s)
+
+
+def user_h(u: Column) -> Column:
+    return _a(F.concat(F.lit("/p/"), u, F.lit("/")), u, "phui-handle phui-link-person")
+
+
+def _span(*hs: Column) -> Column:
+    parts = []
+    for i, h in enumerate(hs):
+        if i:
+            parts.append(F.lit(", "))
+        parts.append(h)
+    return F.concat(F.lit('<span class="">'), *parts, F.lit("</span>"))
+
+
+def _item(content: Column) -> Column:
+    return F.concat(F.lit('<div class="herald-list-item"><span class="visual-only phui-icon-view '
+                          'herald-list-icon" aria-hidden="true"></span>'), content, F.lit("</div>"))
+
+
+def condition_item(idx: Column) -> Column:
+    """Condition markup for pattern ``idx`` (0..27) of the part row."""
+    w1, w2, b = _w(1), _w(2), _b()
+    w12 = F.concat(w1, F.lit("-"), w2)
+    user = F.concat(F.lit("USER-"), b)
+    team = F.concat(b, F.lit("-team"))
+    L = F.lit
+    c = [
+        F.concat(L("Repository is any of "), _span(repo_h(w1), repo_h(w2))),
+        F.concat(L("Repository is not any of "), _span(repo_h(w1))),
+        F.concat(L("Repository projects include all of "), _span(tag_h(w12))),
+        L("Revision status is not any of Closed, Abandoned"),
+        L("Revision status is any of Accepted, Needs Review"),
+        F.concat(L("Affected files matches regexp @^/"), w1, L("/(a|b)@")),
+        F.concat(L("Affected files does not match regexp @^/?"), w2, L("/@")),
+        F.concat(L("Affected files contains /"), w1, L("/"), w2, L("/")),
+        F.concat(L("Affected files does not contain "), w2, L(".txt")),
+        F.concat(L("Changed file content does not contain TODO "), w1),
+        F.concat(L("Changed file content contains FIXME "), w2),
+        L("Reviewers exists"),
+        L("Reviewers does not exist"),
+        F.concat(L("Reviewers include none of "), _span(user_h(user), tag_h(w12))),
+        F.concat(L("Reviewers include any of "), _span(user_h(user), tag_h(w12))),
+        F.concat(L("Reviewers include all of "), _span(user_h(user), tag_h(w12))),
+        F.concat(L("Author is any of "), _span(user_h(user))),
+        F.concat(L("Author is not any of "), _span(user_h(user))),
+        F.concat(L("Author&#039;s projects include none of "), _span(tag_h(w12))),
+        F.concat(L("Project tags include any of "), _span(tag_h(w12), tag_h(team))),
+        F.concat(L("Project tags include none of "), _span(tag_h(w12), tag_h(team))),
+        F.concat(L("Project tags include all of "), _span(tag_h(w12), tag_h(team))),
+        F.concat(L("Project tags added include any of "), _span(tag_h(w12), tag_h(team))),
+        F.concat(L("Project tags added include all of "), _span(tag_h(w12), tag_h(team))),
+        F.concat(L("Revision title contains  ["), w1, L("] ")),
+        F.concat(L("Is newly created is "), F.when(F.col("p_size") % 2 == 0, L("true")).otherwise(L("false"))),
+        F.concat(L("Another Herald rule matches: "), _span(_a(
+            F.concat(L("/herald/rule/"), (F.col("p_partkey") + 1).cast("string"), L("/")),
+            F.concat(L("H"), (F.col("p_partkey") + 1).cast("string"), L(" "), w2, L(" rule"))))),
+        F.concat(L("Revision title matches regexp @"), w1, L("@")),
+    ]
+    out = F.when(idx == 0, c[0])
+    for i in range(1, len(c)):
+        out = out.when(idx == i, c[i])
+    return _item(out)
+
+
+def action_item(idx: Column) -> Column:
+    """Action markup for pattern ``idx`` (0..11) of the part row."""
+    w1, w2, b = _w(1), _w(2), _b()
+    w12 = F.concat(w1, F.lit("-"), w2)
+    L = F.lit
+    size = F.col("p_size")
+    c = [
+        F.when(size % 5 == 0, L("Add blocking reviewers: Restricted Project ."))
+        .otherwise(F.concat(L("Add blocking reviewers: "),
+                            _span(tag_h(F.concat(b, L("-reviewers"))),
+                                  user_h(F.concat(L("USER-"), w1))), L("."))),
+        F.when(size % 5 == 1, F.concat(L("Add reviewers: "), w1, L("@example.com, "), w2, L(" .")))
+        .otherwise(F.concat(L("Add reviewers: "), _span(tag_h(w12)), L("."))),
+        F.concat(L("Add subscribers: "), _span(user_h(F.concat(L("USER-"), b)))),
+        L("Add rule author as subscriber"),
+        L("Send an email to rule author"),
+        L("Do nothing."),
+        L("Require mail content to be secure"),
+        F.concat(L("Add projects: "), _span(tag_h(w12)), L(".")),
+        F.concat(L("Remove projects: "), _span(tag_h(w2)), L(".")),
+        F.concat(L("Run build plans: "), _span(_a(
+            F.concat(L("/harbormaster/plan/"), size.cast("string"), L("/")),
+            F.concat(L("Plan "), size.cast("string"), L(" Update "), w1)))),
+        F.concat(L("Add comment: Please check "), w1, L(" &amp; "), w2, L(".")),
+        L("Flag with color blue."),
+    ]
+    out = F.when(idx == 0, c[0])
+    for i in range(1, len(c)):
+        out = out.when(idx == i, c[i])
+    return _item(out)
+
+
+def rule_page(part: DataFrame) -> DataFrame:
+    """``pages(url, html)`` for every part: one rule detail page per part.
+
+    Variants (by column values): no crumb (p_size % 10 = 7, id read from a
+    self link), no crumb and no link (p_size = 47, parse failure), no title
+    (p_size = 50, parse failure), no page at all (p_size = 48), no creation
+    event (p_size % 6 = 0), disabled (PROMO), personal (LARGE), "any" header
+    (MEDIUM).
+    """
+    key = F.col("p_partkey").cast("string")
+    size = F.col("p_size")
+    ptype = F.col("p_type")
+    n_c = size % 3 + 1
+    n_a = F.col("p_partkey") % 3 + 1
+    conds = F.transform(F.sequence(F.lit(0), (n_c - 1).cast("int")),
+                        lambda k: condition_item(((F.col("p_partkey") + k * 7) % 28).cast("int")))
+    acts = F.transform(F.sequence(F.lit(0), (n_a - 1).cast("int")),
+                       lambda k: action_item(((F.col("p_partkey") + k * 5) % 12).cast("int")))
+    L = F.lit
+    title = F.when(size != 50, F.concat(L("<title>☿ "), F.col("p_name"), L(" &amp; "), F.col("p_brand"),
+                                        L("&#039;s</title>"))).otherwise(L(""))
+    crumb = F.when(size % 10 != 7, F.concat(
+        L('<span class="phui-crumb-view phabricator-last-crumb"><span class="phui-crumb-name"> H'),
+        key, L("</span> </span>"))).otherwise(L(""))
+    self_link = F.when((size % 10 == 7) & (size != 47),
+                       F.concat(L('<a href="/H'), key, L('" class="phui-link">permalink</a>'))).otherwise(L(""))
+    status = F.when(ptype == "PROMO", L("Disabled")).otherwise(L("Active"))
+    rule_type = F.when(ptype == "LARGE", L("Personal")).otherwise(L("Global"))
+    applies = (F.when(size % 4 == 0, L("Differential Revisions")).when(size % 4 == 1, L("Commits"))
+               .when(size % 4 == 2, L("Maniphest Tasks")).otherwise(L("Mock Objects")))
+    combinator = F.when(ptype == "MEDIUM", L("any")).otherwise(L("all"))
+    author = F.concat(L("USER-"), _b())
+    timeline = F.when(size % 6 != 0, F.concat(
+        L('<div class="phui-timeline-view"><div class="phui-timeline-title phui-timeline-title-with-icon">'),
+        user_h(author), L(" created this object.</div>"),
+        L('<div class="phui-timeline-title">'), user_h(L("USER-editor")), L(" edited this object.</div></div>"))
+    ).otherwise(F.concat(L('<div class="phui-timeline-view"><div class="phui-timeline-title">'),
+                         user_h(author), L(" edited this object.</div></div>")))
+    html = F.concat(
+        L('<!DOCTYPE html><html><head><meta charset="UTF-8" />'), title, L("</head><body>"),
+        L('<div class="phui-crumbs-view"><a href="/herald/" class="phui-crumb-view">'
+          '<span class="phui-crumb-name"> Herald </span></a>'), crumb, L("</div>"), self_link,
+        L('<div class="phui-header-subheader"><span class="phui-tag-view phui-tag-type-shade">'
+          '<span class="phui-tag-core "><span class="visual-only" aria-hidden="true"></span>'),
+        status, L('</span></span><span class="policy-header-callout"><a class="policy-link" '
+                  'href="/policy/explain/x/">Public</a></span></div>'),
+        L('<dl class="phui-property-list-properties"><dt class="phui-property-list-key">Rule Type </dt>'
+          '<dd class="phui-property-list-value">'), rule_type,
+        L(' </dd><dt class="phui-property-list-key">Applies To </dt><dd class="phui-property-list-value">'),
+        applies, L(" </dd></dl>"),
+        L('<div class="phui-property-list-section"><div class="phui-property-list-text-content">'
+          '<p class="herald-list-description">When '), combinator,
+        L(" of these conditions are met:</p>"), F.array_join(conds, ""),
+        L('<p class="herald-list-description">Take these actions every time this rule matches:</p>'),
+        F.array_join(acts, ""), L("</div></div>"), timeline, L("</body></html>"))
+    return spread(part.where(size != 48), "p_partkey").select(
+        F.concat(L("https://review.example.com/H"), key).alias("url"), html.alias("html"))
+
+
+# --------------------------------------------------------------------------
+# Listing pages: 100 rules per page, newest first, with a pager
+# --------------------------------------------------------------------------
+
+LISTING_PAGE_SIZE = 100
+
+
+def listing_pages(part: DataFrame) -> DataFrame:
+    """``pages(url, page_no, html)``: the rule listing, LISTING_PAGE_SIZE rules
+    per page in key order, each page but the last with a "Next" pager link.
+
+    Each page holds at most LISTING_PAGE_SIZE frames, so the per-page
+    ``collect_list`` is bounded by construction.
+    """
+    page_no = (F.floor(F.col("p_partkey") / LISTING_PAGE_SIZE) + 1).cast("int")
+    kind = F.when(F.col("p_type") == "LARGE", F.lit("Personal Rule")).otherwise(F.lit("Global Rule"))
+    frame = F.concat(
+        F.lit('<li class="phui-oi phui-oi-standard"><div class="phui-oi-frame"><div class="phui-oi-content">'
+              '<div class="phui-oi-name"><a href="/H'), F.col("p_partkey").cast("string"),
+        F.lit('" class="phui-oi-link">'), F.col("p_name"), F.lit('</a></div><div class="phui-oi-attributes">'),
+        kind, F.lit("</div></div></div></li>"))
+    rows = part.select(page_no.alias("page_no"), F.col("p_partkey"), frame.alias("frame"))
+    pages = rows.groupBy("page_no").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+            F.col("p_partkey").alias("k"), F.col("frame").alias("f")))), lambda s: s["f"]), "").alias("body"),
+        F.max("p_partkey").alias("_max"))
+    following = pages.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("_has_next"))
+    pages = pages.join(following, "page_no", "left")
+    pager = F.when(F.col("_has_next"), F.concat(
+        F.lit('<div class="phui-pager-view"><a href="/herald/query/all/?after='),
+        F.col("_max").cast("string"), F.lit('" class="button">Next Page</a></div>'))).otherwise(
+        F.lit('<div class="phui-pager-view"></div>'))
+    html = F.concat(F.lit('<html><head><title>Herald Rules</title></head><body><ul class="phui-oi-list-view">'),
+                    F.col("body"), F.lit("</ul>"), pager, F.lit("</body></html>"))
+    return pages.select(F.concat(F.lit("https://review.example.com/herald/query/all/?page="),
+                                 F.col("page_no").cast("string")).alias("url"), "page_no", html.alias("html"))
