@@ -471,10 +471,11 @@ _PROJECT_ID_PATTERNS = ["members", "manage", "profile", "subprojects"]
 def project_numeric_id(html: Column) -> Column:
     """X18 id: first link for /project/{members,manage,profile,subprojects}/<n>."""
     hs = F.transform(F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_entities)
-    found = [at(F.filter(F.transform(
-        hs, lambda h, k=k: F.regexp_extract(h, f"/project/{k}/([0-9]+)", 1)), lambda x: x != ""), 1)
-        for k in _PROJECT_ID_PATTERNS]
-    return F.coalesce(*found)
+    def first_id(kind: str) -> Column:
+        ids = F.transform(hs, lambda h: F.regexp_extract(h, f"/project/{kind}/([0-9]+)", 1))
+        return at(F.filter(ids, lambda x: x != ""), 1)
+
+    return F.coalesce(*[first_id(k) for k in _PROJECT_ID_PATTERNS])
 
 
 def project_slug(html: Column, props: Column) -> Column:

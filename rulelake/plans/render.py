@@ -280,3 +280,105 @@ def listing_pages(part: DataFrame) -> DataFrame:
                     F.col("body"), F.lit("</ul>"), pager, F.lit("</body></html>"))
     return pages.select(F.concat(F.lit("https://review.example.com/herald/query/all/?page="),
                                  F.col("page_no").cast("string")).alias("url"), "page_no", html.alias("html"))
+
+
+# --------------------------------------------------------------------------
+# Project pages (from supplier), members pages (from customer),
+# membership timelines (from events)
+# --------------------------------------------------------------------------
+
+def project_page(supplier: DataFrame) -> DataFrame:
+    """``(s_suppkey, url, html)``: a project page per supplier.
+
+    Slug source by s_nationkey % 4: 0 "Looks Like" tag, 1 a tag link, 2 the
+    title, 3 nothing (no title either; name from the crumbs). Id link by
+    s_suppkey % 3: members, manage, or profile (after a subprojects link of
+    another id, which ranks lower).
+    """
+    L = F.lit
+    base = F.lower(F.replace(F.col("s_name"), L("#"), L("-")))
+    sid = F.col("s_suppkey").cast("string")
+    v = F.col("s_nationkey") % 4
+    w = F.col("s_suppkey") % 3
+    title = F.when(v != 3, F.concat(L("<title>"), F.col("s_name"), L(" &middot; Manage</title>"))).otherwise(L(""))
+    crumbs = F.concat(L('<div class="phui-crumbs-view"><span class="phui-crumb-name">Projects</span>'
+                        '<span class="phui-crumb-name"> '), F.col("s_name"),
+                      L(' </span><span class="phui-crumb-name">Manage</span></div>'))
+    looks = F.when(v == 0, F.concat(
+        L('<dl><dt class="phui-property-list-key">Looks Like </dt><dd class="phui-property-list-value">'
+          '<a href="/tag/'), base, L('/" class="phui-tag-view">'), base, L("</a></dd></dl>"))).otherwise(L(""))
+    tag = F.when(v == 1, F.concat(L('<a href="/tag/'), base, L('-team/">team</a>'))).otherwise(L(""))
+    idlink = (F.when(w == 0, F.concat(L('<a href="/project/members/'), sid, L('/">Members</a>')))
+              .when(w == 1, F.concat(L('<a href="/project/manage/'), sid, L('/">Manage</a>')))
+              .otherwise(F.concat(L('<a href="/project/subprojects/'), (F.col("s_suppkey") + 1).cast("string"),
+                                  L('/">Subprojects</a><a href="/project/profile/'), sid, L('/">Profile</a>'))))
+    html = F.concat(L("<html><head>"), title, L("</head><body>"), crumbs,
+                    L('<a href="/tag/_all/">all</a>'), looks, tag, idlink, L("</body></html>"))
+    return spread(supplier, "s_suppkey").select(
+        "s_suppkey", F.concat(L("https://review.example.com/tag/"), base, L("/")).alias("url"), html.alias("html"))
+
+
+MEMBERS_PAGE_SIZE = 50
+
+
+def members_pages(customer: DataFrame) -> DataFrame:
+    """``(project_id, chunk, html)``: members pages of a project per nation.
+
+    Customers of a nation are listed in key chunks of MEMBERS_PAGE_SIZE
+    keys (bounded per page); every page but the last of its nation links
+    to the next one.
+    """
+    L = F.lit
+    chunk = F.floor(F.col("c_custkey") / MEMBERS_PAGE_SIZE).cast("bigint")
+    user = F.concat(L("USER-c"), F.col("c_custkey").cast("string"))
+    card = F.concat(L('<li><a href="/p/'), user, L('/" class="phui-oi-link" title="'), F.col("c_name"),
+                    L('">'), user, L('</a><a href="/p/'), user, L('/" class="phui-oi-link"><img/></a>'
+                                                                 '<a href="/p/'), user,
+                    L('/" class="phui-link-person">profile</a></li>'))
+    rows = customer.select(F.col("c_nationkey").cast("bigint").alias("project_id"), chunk.alias("chunk"),
+                           F.col("c_custkey"), card.alias("card"))
+    pages = rows.groupBy("project_id", "chunk").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "card"))),
+                                 lambda s: s["card"]), "").alias("body"))
+    later = (pages.select("project_id", F.col("chunk").alias("_later"))
+             .groupBy("project_id").agg(F.max("_later").alias("_last")))
+    pages = pages.join(later, "project_id")
+    pager = F.when(F.col("chunk") < F.col("_last"), F.concat(
+        L('<div class="phui-pager-view"><a href="/project/members/'), F.col("project_id").cast("string"),
+        L("/?after="), F.col("chunk").cast("string"), L('">Next Page</a></div>'))).otherwise(
+        L('<div class="phui-pager-view"><a href="/project/members/0/">Previous</a></div>'))
+    html = F.concat(L('<html><body><ul class="phui-oi-list-view">'), F.col("body"), L("</ul>"), pager,
+                    L("</body></html>"))
+    return pages.select("project_id", "chunk", html.alias("html"))
+
+
+TIMELINE_PAGE_EVENTS = 500
+
+
+def membership_timeline_pages(events: DataFrame) -> DataFrame:
+    """``(group_id, page, html)``: project timelines built from events.
+
+    Group = event_id % 20; an "error" event removes the user, any other event
+    adds them. Timeline pages hold TIMELINE_PAGE_EVENTS event ids each
+    (bounded per page), events in id order; each page also carries a
+    description edit and a one-person event, which the replay ignores.
+    """
+    L = F.lit
+    gid = (F.col("event_id") % 20).cast("bigint")
+    page = F.floor(F.col("event_id") / TIMELINE_PAGE_EVENTS).cast("bigint")
+    verb = F.when(F.col("event_type") == "error", L(" removed a member: ")).otherwise(L(" added a member: "))
+    member = F.concat(L("USER-"), F.col("user_id").cast("string"))
+    title = F.concat(L('<div class="phui-timeline-title"><a href="/p/USER-admin/" class="phui-handle '
+                       'phui-link-person">USER-admin</a>'), verb,
+                     L('<a href="/p/'), member, L('/" class="phui-handle phui-link-person">'), member,
+                     L("</a>.</div>"))
+    rows = events.select(gid.alias("group_id"), page.alias("page"), "event_id", title.alias("t"))
+    pages = rows.groupBy("group_id", "page").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "t"))), lambda s: s["t"]),
+                     "").alias("body"))
+    html = F.concat(L('<html><body><div class="phui-timeline-view">'
+                      '<div class="phui-timeline-title"><a href="/p/USER-admin/" class="phui-link-person">'
+                      'USER-admin</a> changed the description.</div>'), F.col("body"),
+                    L('<div class="phui-timeline-title"><a href="/p/USER-admin/" class="phui-link-person">'
+                      'USER-admin</a> added a member: (hidden).</div></div></body></html>'))
+    return pages.select("group_id", "page", html.alias("html"))
