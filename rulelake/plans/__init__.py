@@ -1,6 +1,6 @@
 """Named queries over the driver's tables (render-then-extract where needed)."""
 
-from rulelake.plans import q_groups, q_identity, q_latest, q_projects, q_rules  # noqa: F401
+from rulelake.plans import q_groups, q_identity, q_latest, q_projects, q_pseudonym, q_rules  # noqa: F401
 from rulelake.plans.registry import all_queries, all_sql
 
 FLAGSHIP = "rule_reviewers"

@@ -382,3 +382,57 @@ def membership_timeline_pages(events: DataFrame) -> DataFrame:
                     L('<div class="phui-timeline-title"><a href="/p/USER-admin/" class="phui-link-person">'
                       'USER-admin</a> added a member: (hidden).</div></div></body></html>'))
     return pages.select("group_id", "page", html.alias("html"))
+
+
+# --------------------------------------------------------------------------
+# Pages, Markdown notes and API responses that carry personal data
+# (rendered from customer), for the pseudonymisation and PII jobs
+# --------------------------------------------------------------------------
+
+def login_col() -> Column:
+    return F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("")))
+
+
+def people_page(customer: DataFrame) -> DataFrame:
+    """``(c_custkey, html)``: a page naming the customer in all contexts."""
+    L = F.lit
+    u = login_col()
+    real = F.col("c_name")
+    mk = F.concat(L("mk"), F.col("c_custkey").cast("string"))
+    extra = F.when(F.col("c_custkey") % 4 == 0, F.concat(
+        L('<a href="/x/">'), mk, L(" (Some One)</a><i title=\""), mk, L('">i</i>'))).otherwise(L(""))
+    html = F.concat(
+        L('<html><body><div class="phui-timeline-title"><a href="/p/'), u, L('/" class="phui-link-person">'), u,
+        L('</a> commented.</div><span title="'), u, L(" ("), real, L(')">x</span><a href="/p/'), u,
+        L('" title="'), u, L('">'), u, L(" ("), real, L(")</a>"),
+        L('<a href="/p/USER-1a2b3c4d/">USER-1a2b3c4d</a><a href="/herald/">Herald</a>'
+          '<a href="/tag/ops/">ops</a><div>Log Out '), u, L("</div>"), extra, L("</body></html>"))
+    return spread(customer, "c_custkey").select("c_custkey", html.alias("html"))
+
+
+def people_markdown(customer: DataFrame) -> DataFrame:
+    """``(c_custkey, md)``: a review note mentioning the customer."""
+    L = F.lit
+    u = login_col()
+    md = F.concat(L("Reviewed by ["), u, L("](https://review.example.com/p/"), u, L(") with @"), u,
+                  L(", cc @"), u, L("x and `"), u, L("`; ping @USER-1a2b3c4d or mail ops@example.com."))
+    return customer.select("c_custkey", md.alias("md"))
+
+
+def people_json(customer: DataFrame) -> DataFrame:
+    """``(c_custkey, file, doc)``: three API responses per customer."""
+    L = F.lit
+    u = login_col()
+    gid = (F.col("c_custkey") + 200000).cast("string")
+    graphql = F.to_json(F.struct(F.struct(F.struct(
+        F.struct(u.alias("value")).alias("primaryUsername"),
+        F.struct(F.struct(gid.alias("value")).alias("githubIdV3")).alias("identities")).alias("profile"))
+        .alias("data")))
+    rest = F.to_json(F.struct(F.concat(L("gh-"), u).alias("username")))
+    search = F.to_json(F.struct(F.struct(F.array(F.struct(F.struct(
+        u.alias("username"), F.col("c_name").alias("realName")).alias("fields"))).alias("data")).alias("result")))
+    docs = F.array(
+        F.struct(F.concat(u, L("_graphql")).alias("file"), graphql.alias("doc")),
+        F.struct(F.concat(u, L("_rest")).alias("file"), rest.alias("doc")),
+        F.struct(F.concat(L("search_"), u).alias("file"), search.alias("doc")))
+    return customer.select("c_custkey", F.explode(docs).alias("d")).select("c_custkey", "d.file", "d.doc")
