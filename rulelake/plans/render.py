@@ -230,7 +230,9 @@ def rule_page(part: DataFrame) -> DataFrame:
         L('<div class="phui-header-subheader"><span class="phui-tag-view phui-tag-type-shade">'
           '<span class="phui-tag-core "><span class="visual-only" aria-hidden="true"></span>'),
         status, L('</span></span><span class="policy-header-callout"><a class="policy-link" '
-                  'href="/policy/explain/x/">Public</a></span></div>'),
+                  'href="/policy/explain/PHID-HRUL-'), F.substr(F.md5(key), L(1), L(20)),
+        L('/view/">Public</a></span></div><span data-author="PHID-USER-'),
+        F.substr(F.sha2(author, 256), L(1), L(20)), L('"></span>'),
         L('<dl class="phui-property-list-properties"><dt class="phui-property-list-key">Rule Type </dt>'
           '<dd class="phui-property-list-value">'), rule_type,
         L(' </dd><dt class="phui-property-list-key">Applies To </dt><dd class="phui-property-list-value">'),
