@@ -1,6 +1,15 @@
 """Named queries over the driver's tables (render-then-extract where needed)."""
 
-from rulelake.plans import q_groups, q_identity, q_latest, q_profile, q_projects, q_pseudonym, q_rules  # noqa: F401
+from rulelake.plans import (  # noqa: F401
+    q_groups,
+    q_identity,
+    q_latest,
+    q_profile,
+    q_projects,
+    q_pseudonym,
+    q_rules,
+    q_sources,
+)
 from rulelake.plans.registry import all_queries, all_sql
 
 FLAGSHIP = "rule_reviewers"

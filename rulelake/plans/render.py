@@ -438,3 +438,68 @@ def people_json(customer: DataFrame) -> DataFrame:
         F.struct(F.concat(u, L("_rest")).alias("file"), rest.alias("doc")),
         F.struct(F.concat(L("search_"), u).alias("file"), search.alias("doc")))
     return customer.select("c_custkey", F.explode(docs).alias("d")).select("c_custkey", "d.file", "d.doc")
+
+
+# --------------------------------------------------------------------------
+# API response dumps (project search pages, errors, query results)
+# --------------------------------------------------------------------------
+
+API_PAGE_SIZE = 100
+
+
+def project_search_pages(supplier: DataFrame, customer: DataFrame) -> DataFrame:
+    """``(page, doc)``: paged project-search responses, API_PAGE_SIZE projects
+    per page; members are the customers with the same key residue."""
+    members = (customer.select((F.col("c_custkey") % 100).alias("_r"), "c_custkey")
+               .groupBy("_r").agg(F.array_sort(F.collect_list("c_custkey")).alias("_m")))
+    sup = supplier.select("s_suppkey", "s_name", (F.col("s_suppkey") % 100).alias("_r"))
+    rows = sup.join(members, "_r", "left")
+    item = F.struct(
+        F.col("s_suppkey").alias("id"), F.lit("PROJ").alias("type"),
+        F.concat(F.lit("PHID-PROJ-s"), F.col("s_suppkey").cast("string")).alias("phid"),
+        F.struct(F.col("s_name").alias("name"),
+                 F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit("-"))).alias("slug")).alias("fields"),
+        F.struct(F.struct(F.transform(F.coalesce("_m", F.array().cast("array<bigint>")), lambda k: F.struct(
+            F.concat(F.lit("PHID-USER-"), k.cast("string")).alias("phid"))).alias("members")).alias("members"))
+        .alias("attachments"))
+    page = F.floor(F.col("s_suppkey") / API_PAGE_SIZE).cast("bigint")
+    pages = rows.select(page.alias("page"), "s_suppkey", item.alias("item")).groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "item"))), lambda x: x["item"]).alias("data"))
+    nxt = pages.select((F.col("page") - 1).alias("page"), F.col("page").cast("string").alias("_after"))
+    pages = pages.join(nxt, "page", "left")
+    doc = F.to_json(F.struct(
+        F.struct("data", F.struct(F.lit(API_PAGE_SIZE).alias("limit"), F.col("_after").alias("after"),
+                                  F.lit(None).cast("string").alias("before")).alias("cursor")).alias("result"),
+        F.lit(None).cast("string").alias("error_code"), F.lit(None).cast("string").alias("error_info")),
+        {"ignoreNullFields": "false"})
+    return pages.select("page", doc.alias("doc"))
+
+
+def error_responses(nation: DataFrame) -> DataFrame:
+    """``(doc_id, doc)``: API error envelopes (regions 0 and 1)."""
+    e = nation.where(F.col("n_regionkey").isin(0, 1))
+    info = F.when(F.col("n_regionkey") == 0, F.lit("Invalid API token.")).otherwise(F.lit(""))
+    doc = F.to_json(F.struct(F.lit(None).cast("string").alias("result"),
+                             F.lit("ERR-CONDUIT-CORE").alias("error_code"), info.alias("error_info")),
+                    {"ignoreNullFields": "false"})
+    return e.select(F.col("n_nationkey").cast("bigint").alias("doc_id"), doc.alias("doc"))
+
+
+def query_result_pages(part: DataFrame) -> DataFrame:
+    """``(chunk, doc)``: query results of the review-groups table, rows as
+    objects or (for SMALL parts) as positional lists with an extra value."""
+    name = snapshot_group_name()
+    users = snapshot_members_text()
+    emails = F.concat(F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit(""))), F.lit("@example.com"))
+    as_obj = F.to_json(F.struct(name.alias("group_name"), users.alias("group_usernames"), emails.alias("group_emails")))
+    as_list = F.to_json(F.array(name, users, emails, F.lit("extra")))
+    row = F.when(F.col("p_type") == "SMALL", as_list).otherwise(as_obj)
+    chunk = F.floor(F.col("p_partkey") / API_PAGE_SIZE).cast("bigint")
+    rows = part.select(chunk.alias("chunk"), "p_partkey", row.alias("r"))
+    grouped = rows.groupBy("chunk").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "r"))), lambda x: x["r"]).alias("rows"))
+    cols = F.array(*[F.struct(F.lit(c).alias("name")) for c in ("group_name", "group_usernames", "group_emails")])
+    # rows are JSON text; splice them in as raw JSON values
+    doc = F.concat(F.lit('{"query_result": {"data": {"columns": '), F.to_json(cols), F.lit(', "rows": ['),
+                   F.array_join("rows", ", "), F.lit("]}}}"))
+    return grouped.select("chunk", doc.alias("doc"))
