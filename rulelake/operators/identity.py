@@ -283,3 +283,61 @@ def overlay_resolved(previous: DataFrame, new: DataFrame) -> DataFrame:
     return j.select("lookup_name",
                     F.when(F.col("_n").isNotNull(), F.col("n_u")).otherwise(F.col("o_u")).alias("username"),
                     F.when(F.col("_n").isNotNull(), F.col("n_i")).otherwise(F.col("o_i")).alias("user_id"))
+
+
+def user_refs_from_rules(rules: DataFrame, reviewers: DataFrame, group_slugs: DataFrame) -> DataFrame:
+    """(raw_name, ref) for rule authors and user reviewers.
+
+    ``rules(rule_id, author)``, ``reviewers(rule_id, target, is_group)``,
+    ``group_slugs(slug)`` = keys of the collected groups. Authors count when
+    non-empty; a reviewer counts unless marked a group or named like a
+    collected group, and only if marked a user or it has an ``@``.
+    """
+    authors = rules.where(F.col("author").isNotNull() & (F.col("author") != "")).select(
+        F.col("author").alias("raw_name"), F.col("rule_id").alias("ref"))
+    cand = reviewers.where(~F.coalesce(F.col("is_group"), F.lit(False)))
+    cand = cand.join(group_slugs.select(F.col("slug").alias("target")), "target", "left_anti")
+    users = cand.where((F.col("is_group") == F.lit(False)) | F.col("target").contains("@")).select(
+        F.col("target").alias("raw_name"), F.col("rule_id").alias("ref"))
+    return authors.unionByName(users)
+
+
+def user_refs_from_groups(groups: DataFrame) -> DataFrame:
+    """(raw_name, ``group:<slug>``) for every member of every group."""
+    return explode_rows_members(groups)
+
+
+def explode_rows_members(groups: DataFrame) -> DataFrame:
+    from rulelake.functions.arrays import explode_rows
+
+    rows = explode_rows(groups.select("slug", "members"), ["slug"], "members", "_p", "raw_name")
+    return rows.select("raw_name", F.concat(F.lit("group:"), F.col("slug")).alias("ref"))
+
+
+def merge_refs(*parts: DataFrame) -> DataFrame:
+    """Union of reference tables, distinct (raw_name, ref) pairs."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
+
+
+def run_metadata(n_rules: DataFrame, n_groups: DataFrame, resolution: DataFrame,
+                 rules_complete: DataFrame, groups_complete: DataFrame, base_url: str,
+                 hit_max_users: bool = False, directory: bool = True) -> DataFrame:
+    """One-row run summary: counts, instance host, completeness flags.
+
+    Every input is a one-row aggregate, so they are combined by equi-joins
+    on a constant key over single rows (no data-sized cross product).
+    """
+    from urllib.parse import urlparse
+
+    host = urlparse(base_url).netloc or base_url
+    res = resolution.agg(F.count_if(F.col("status") == "resolved").alias("total_users_resolved"),
+                         F.count_if(F.col("status") == "unresolved").alias("total_users_unresolved"))
+    parts = [n_rules, n_groups, res, rules_complete, groups_complete]
+    out = parts[0].withColumn("_k", F.lit(1))
+    for p in parts[1:]:
+        out = out.join(p.withColumn("_k", F.lit(1)), "_k")
+    return out.drop("_k").select("*", F.lit(host).alias("phabricator_instance"),
+                                 F.lit((not hit_max_users) and directory).alias("github_complete"))

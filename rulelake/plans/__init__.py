@@ -7,8 +7,10 @@ from rulelake.plans import (  # noqa: F401
     q_profile,
     q_projects,
     q_pseudonym,
+    q_references,
     q_rules,
     q_sources,
+    q_streams,
 )
 from rulelake.plans.registry import all_queries, all_sql
 
