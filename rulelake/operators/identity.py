@@ -341,3 +341,58 @@ def run_metadata(n_rules: DataFrame, n_groups: DataFrame, resolution: DataFrame,
         out = out.join(p.withColumn("_k", F.lit(1)), "_k")
     return out.drop("_k").select("*", F.lit(host).alias("phabricator_instance"),
                                  F.lit((not hit_max_users) and directory).alias("github_complete"))
+
+
+IDENTITY_RESPONSE_SCHEMA = (
+    "struct<data: struct<profile: struct<primaryUsername: struct<value: string>, "
+    "identities: struct<githubIdV3: struct<value: string>, bugzillaMozillaOrgId: struct<value: string>>>>, "
+    "errors: array<struct<message: string>>>")
+
+
+def profile_missing(resp: Column) -> Column:
+    """F8: no ``data`` or no ``data.profile`` in a profile response."""
+    return resp["data"].isNull() | resp["data"]["profile"].isNull()
+
+
+def profiles_from_responses(docs: DataFrame, user_col: str = "username", doc_col: str = "doc") -> DataFrame:
+    """F7 + F8: directory profile rows from saved profile responses.
+
+    ``docs(username, doc)`` holds the response for the username it was
+    requested for; a response without a profile means "not found" and gives
+    no row. The ids are read with NULL-safe nested field access.
+    """
+    r = F.from_json(F.col(doc_col), IDENTITY_RESPONSE_SCHEMA)
+    parsed = docs.select(F.col(user_col).alias("username"), r.alias("r"))
+    return parsed.where(~profile_missing(F.col("r"))).select(
+        "username",
+        F.col("r.data.profile.identities.githubIdV3.value").alias("github_id"),
+        F.col("r.data.profile.identities.bugzillaMozillaOrgId.value").alias("bmo_id"))
+
+
+def batch_resolve(names: DataFrame, resolved_cache: DataFrame, unresolved_cache: DataFrame,
+                  directory_results: DataFrame, force: bool = False) -> DataFrame:
+    """The batch resolver over a name list.
+
+    Without ``force``, names in the resolved cache are ``cached`` and names
+    in the unresolved cache are ``skipped``; every other name takes its
+    directory result: ``resolved``, ``errors`` (reason has "error") or
+    ``unresolved`` with reason ``no_github_linked_or_not_found``.
+    Output: lookup_name, outcome, github_username, reason.
+    """
+    rc = resolved_cache.select("lookup_name", F.col("username").alias("c_user"), F.lit(True).alias("_rc"))
+    uc = unresolved_cache.select("lookup_name", F.lit(True).alias("_uc")).distinct()
+    d = directory_results.select("lookup_name", F.col("github_username").alias("d_user"),
+                                 F.col("reason").alias("d_reason"))
+    j = names.select("lookup_name").distinct().join(rc, "lookup_name", "left").join(uc, "lookup_name", "left") \
+        .join(d, "lookup_name", "left")
+    cached = F.lit(False) if force else F.col("_rc").isNotNull()
+    skipped = F.lit(False) if force else F.col("_uc").isNotNull()
+    outcome = (F.when(cached, F.lit("cached")).when(skipped, F.lit("skipped"))
+               .when(F.col("d_reason").isNull(), F.lit("resolved"))
+               .when(F.col("d_reason").contains("error"), F.lit("errors"))
+               .otherwise(F.lit("unresolved")))
+    return j.select("lookup_name", outcome.alias("outcome"),
+                    F.when(cached, F.col("c_user")).when(F.col("d_reason").isNull() & ~skipped, F.col("d_user"))
+                    .alias("github_username"),
+                    F.when(outcome == "unresolved", F.lit("no_github_linked_or_not_found"))
+                    .when(outcome == "errors", F.col("d_reason")).alias("reason"))

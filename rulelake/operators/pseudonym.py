@@ -262,3 +262,40 @@ def severity(findings: DataFrame, mapping: DataFrame, value_col: str = "value")
     j = findings.join(m, value_col, "left")
     return j.withColumn("severity", F.when(F.col("_m").isNotNull(), F.lit("error")).otherwise(F.lit("warning"))) \
         .drop("_m")
+
+
+def _rewrite_json_value(doc: Column, key_pattern: str, prefix: str) -> Column:
+    """Replace the string value after ``key_pattern`` (a JSON key path prefix)
+    with its pseudonym, unless it already is one or is empty."""
+    pat = key_pattern + '"((?:[^"\\\\]|\\\\.)*)"'
+
+    def fn(m: Column) -> Column:
+        value = F.regexp_extract(m, pat, 1)
+        head = F.regexp_extract(m, "^(" + key_pattern + '")', 1)
+        return F.when((value != "") & ~is_pseudonym(value),
+                      F.concat(head, prefix_hash(prefix, value), F.lit('"'))).otherwise(m)
+
+    return rewrite_matches(doc, pat, fn)
+
+
+def rewrite_json(doc: Column) -> Column:
+    """Pseudonymise identifiers in an API response, by response shape.
+
+    user.search results: ``username`` -> USER-, ``realName`` -> REALNAME-;
+    profile responses: GitHub id -> GHID-, primary username -> USER-;
+    REST responses: top-level ``username`` -> GHUSER-. The text is edited in
+    place (key order and all other fields kept); values that are already
+    pseudonyms are left alone.
+    """
+    ws = "\\s*"
+    conduit = F.get_json_object(doc, "$.result.data").isNotNull()
+    graphql = F.get_json_object(doc, "$.data.profile").isNotNull()
+    rest = F.get_json_object(doc, "$.username").isNotNull() & ~conduit
+    out = doc
+    out = F.when(conduit, _rewrite_json_value(
+        _rewrite_json_value(out, f'"username"{ws}:{ws}', "USER-"), f'"realName"{ws}:{ws}', "REALNAME-")).otherwise(out)
+    out = F.when(graphql, _rewrite_json_value(
+        _rewrite_json_value(out, f'"githubIdV3"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "GHID-"),
+        f'"primaryUsername"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "USER-")).otherwise(out)
+    out = F.when(rest, _rewrite_json_value(out, f'"username"{ws}:{ws}', "GHUSER-")).otherwise(out)
+    return out

@@ -89,6 +89,17 @@ def directory_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
               .unionByName(hit((s == 4) & (k % 2 == 0), q1, 1, _name("fn2"), _name("Solo"), L("Y"), nul))
               .unionByName(hit(s == 5, q1, 0, _name("em"), L("E"), L("M"),
                                F.concat(L(" CUST"), k.cast("string"), L("@example.org")))))
+    # the profiles as saved directory responses: found profiles and, for
+    # scenario 6, "not found" answers (no profile)
+    ident = F.struct(F.struct(F.col("github_id").alias("value")).alias("githubIdV3"),
+                     F.when(F.col("bmo_id").isNotNull(), F.struct(F.col("bmo_id").alias("value")))
+                     .alias("bugzillaMozillaOrgId"))
+    found_docs = profiles.select("username", F.to_json(F.struct(F.struct(F.struct(
+        F.struct(F.col("username").alias("value")).alias("primaryUsername"), ident.alias("identities"))
+        .alias("profile")).alias("data"))).alias("doc"))
+    missing_docs = cust.where(s == 6).select(_name("cust").alias("username"), L(
+        '{"data": null, "errors": [{"message": "Profile not found"}]}').alias("doc"))
+    profile_docs = found_docs.unionByName(missing_docs)
     gh_names = cust.where((s <= 5) & (k % 13 != 0)).select((k + 100000).alias("github_id"),
                                                            _name("gh").alias("gh_username"))
     overrides = cust.where(k % 17 == 0).select(_name("cust").alias("lookup_name"), _name("ovr").alias("username"),
@@ -96,16 +107,18 @@ def directory_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     cached = cust.where(k % 19 == 0).select(_name("cust").alias("lookup_name"), _name("cache").alias("username"),
                                             k.alias("user_id"))
     prev = cust.where(k % 23 == 0).select(_name("cust").alias("lookup_name"), L("old_reason").alias("reason"))
-    return dict(refs=refs, user_records=user_records, accounts=accounts, profiles=profiles, search=search,
+    return dict(refs=refs, user_records=user_records, accounts=accounts, profile_docs=profile_docs, search=search,
                 gh_names=gh_names, overrides=overrides, cached=cached, prev_unresolved=prev)
 
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
     """The directory dumps, written once per input as tables (they are the
     source data of the resolution, like saved API responses)."""
-    names = ["refs", "user_records", "accounts", "profiles", "search", "gh_names", "overrides", "cached",
+    names = ["refs", "user_records", "accounts", "profile_docs", "search", "gh_names", "overrides", "cached",
              "prev_unresolved"]
-    return {n: staged(spark, sf_dir, "dir_" + n, lambda n=n: directory_tables(spark, sf_dir)[n]) for n in names}
+    t = {n: staged(spark, sf_dir, "dir_" + n, lambda n=n: directory_tables(spark, sf_dir)[n]) for n in names}
+    t["profiles"] = I.profiles_from_responses(t["profile_docs"])
+    return t
 
 
 def _resolve(spark, sf_dir, users: DataFrame | None = None, directory: bool = True) -> DataFrame:
@@ -258,3 +271,54 @@ def resolved_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = _resolved_all(spark, sf_dir).where(F.col("status") == "resolved").select(
         "lookup_name", F.col("github_username").alias("username"), F.col("github_user_id").alias("user_id"))
     return I.overlay_resolved(t["cached"], new)
+
+
+@query("profile_responses", sql="""
+WITH c AS (SELECT c_custkey AS k FROM customer)
+SELECT CASE k % 7 WHEN 0 THEN 'cust' WHEN 1 THEN 'Cust' WHEN 2 THEN 'acct' WHEN 3 THEN 'rn' WHEN 4 THEN 'fn'
+       ELSE 'em' END || k AS username,
+  CASE WHEN k % 7 = 0 AND k % 5 = 0 THEN NULL WHEN k % 7 = 0 AND k % 5 = 1 THEN 'GHID-' || k
+       ELSE CAST(k + 100000 AS VARCHAR) END AS github_id,
+  CASE WHEN k % 7 = 0 AND k % 5 = 2 THEN CAST(k + 1 AS VARCHAR) WHEN k % 7 IN (0, 2) THEN CAST(k AS VARCHAR) END
+    AS bmo_id
+FROM c WHERE k % 7 <> 6
+""")
+def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 + F8: profile rows read from saved directory responses ("not found"
+    answers give none)."""
+    return _tables(spark, sf_dir)["profiles"]
+
+
+_BATCH = EXPECT + """
+SELECT 'cust' || k AS lookup_name,
+  CASE WHEN {cached} THEN 'cached' WHEN {skipped} THEN 'skipped'
+       WHEN dir_reason IS NULL THEN 'resolved' ELSE 'unresolved' END AS outcome,
+  CASE WHEN {cached} THEN 'cache' || k WHEN {skipped} THEN NULL
+       WHEN dir_reason IS NULL AND k % 13 <> 0 THEN 'gh' || k END AS github_username,
+  CASE WHEN NOT ({cached}) AND NOT ({skipped}) AND dir_reason IS NOT NULL
+       THEN 'no_github_linked_or_not_found' END AS reason
+FROM e
+"""
+
+
+def _batch(spark, sf_dir, force: bool) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    users = I.lookup_names(t["refs"])
+    none = t["overrides"].limit(0)
+    empty_prev = t["prev_unresolved"].limit(0)
+    # directory results for every name, without overrides or caches
+    d = I.resolve_users(users, t["user_records"], t["accounts"], t["profiles"], t["search"], t["gh_names"],
+                        none, none, empty_prev)
+    return I.batch_resolve(users, t["cached"], t["prev_unresolved"], d, force=force)
+
+
+@query("batch_resolve", sql=_BATCH.format(cached="k % 19 = 0", skipped="k % 23 = 0"))
+def batch_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch resolver; cached and known-unresolved names are skipped."""
+    return _batch(spark, sf_dir, force=False)
+
+
+@query("batch_resolve_force", sql=_BATCH.format(cached="FALSE", skipped="FALSE"))
+def batch_resolve_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U17 with ``force``: every name is looked up again."""
+    return _batch(spark, sf_dir, force=True)

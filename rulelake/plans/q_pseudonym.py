@@ -261,3 +261,24 @@ def pii_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = docs.select("doc_id", F.regexp_extract_all(
         "text", F.lit("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"), 0).alias("e"))
     return explode_rows(found, ["doc_id"], "e", "_p", "email").select("doc_id", F.lower("email").alias("email"))
+
+
+@query("pseudonym_json_rewrite", sql=f"""
+SELECT c_custkey, {LOGIN} || '_graphql' AS file, {FAKE.format(x=LOGIN)} AS username, NULL AS realname,
+       'GHID-' || substr(sha256(CAST(c_custkey + 200000 AS VARCHAR)), 1, 8) AS github_id FROM customer
+UNION ALL SELECT c_custkey, {LOGIN} || '_rest', 'GHUSER-' || substr(sha256('gh-' || {LOGIN}), 1, 8), NULL, NULL
+FROM customer
+UNION ALL SELECT c_custkey, 'search_' || {LOGIN}, {FAKE.format(x=LOGIN)},
+       'REALNAME-' || substr(sha256(c_name), 1, 8), NULL FROM customer
+""")
+def pseudonym_json_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses rewritten in place; identifiers read back by path."""
+    docs = render.people_json(_cust(spark, sf_dir))
+    out = docs.select("c_custkey", "file", A.rewrite_json(F.col("doc")).alias("doc"))
+    g = F.get_json_object
+    return out.select(
+        "c_custkey", "file",
+        F.coalesce(g("doc", "$.data.profile.primaryUsername.value"), g("doc", "$.result.data[0].fields.username"),
+                   g("doc", "$.username")).alias("username"),
+        g("doc", "$.result.data[0].fields.realName").alias("realname"),
+        g("doc", "$.data.profile.identities.githubIdV3.value").alias("github_id"))

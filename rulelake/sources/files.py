@@ -71,8 +71,7 @@ def read_override_map(spark: SparkSession, path: str) -> DataFrame:
     root_ok = parsed.select(F.schema_of_variant("v").alias("t")).first()
     if root_ok is None or not str(root_ok["t"]).upper().startswith("OBJECT"):
         raise ValueError(f"Manual GitHub mapping at {path} must be a JSON object")
-    entries = parsed.select(F.explode(F.from_json(F.to_json("v"), "map<string,string>")).alias("k", "raw"))
-    ent = entries.select("k", F.try_parse_json("raw").alias("e"), "raw")
+    ent = text.select(F.explode(F.from_json("value", "map<string,variant>")).alias("k", "e"))
     kind = F.schema_of_variant("e")
     username = F.when(kind == "STRING", F.variant_get("e", "$", "string")).otherwise(
         F.try_variant_get("e", "$.username", "string"))
@@ -83,7 +82,8 @@ def read_override_map(spark: SparkSession, path: str) -> DataFrame:
                          F.when(valid, F.lit(True)).otherwise(F.raise_error(F.concat(
                              F.lit("Manual mapping entry for '"), F.col("k"),
                              F.lit("' must be a string or an object with 'username' or 'user_id'")))).alias("_ok"))
-    return checked.drop("_ok")
+    # the check must be evaluated, so it is a filter rather than a dropped column
+    return checked.where(F.col("_ok")).drop("_ok")
 
 
 def read_username_list(spark: SparkSession, path: str) -> DataFrame:
