@@ -21,7 +21,7 @@ search only when the first found nothing".
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulelake.functions.html import py_strip
@@ -87,17 +87,11 @@ def search_candidates(need: DataFrame, search: DataFrame, profiles: DataFrame) -
     c = c.join(cand_bmo, "candidate", "left")
     first = py_strip(F.coalesce("first_name", F.lit("")))
     last = py_strip(F.coalesce("last_name", F.lit("")))
-    c = c.withColumn("_full", F.when((first != "") & (last != ""), F.concat(first, F.lit(" "), last)))
-    c = c.withColumn("_first", F.when(first != "", first))
-    # fold every distinct name once (one Python stage), then join it back
-    names = (c.select(F.col("expected_name").alias("_fk"))
-             .unionByName(c.select(F.col("_full").alias("_fk")))
-             .unionByName(c.select(F.col("_first").alias("_fk")))
-             .where(F.col("_fk").isNotNull()).distinct())
-    folded = names.select("_fk", fold_name(F.col("_fk")).alias("_fold"))
-    for col, out in (("expected_name", "target"), ("_full", "full_fold"), ("_first", "first_fold")):
-        f = folded.select(F.col("_fk").alias("_k_" + out), F.col("_fold").alias(out))
-        c = c.join(f, c[col] == f["_k_" + out], "left").drop("_k_" + out)
+    full = F.when((first != "") & (last != ""), F.concat(first, F.lit(" "), last))
+    # F4 on the three name columns in one Arrow-batched Python pass over the
+    # candidate rows (the candidates of a user are bounded by one result page)
+    c = c.select("*", fold_name("expected_name").alias("target"), fold_name(full).alias("full_fold"),
+                 fold_name(F.when(first != "", first)).alias("first_fold"))
     has_cand = F.col("candidate").isNotNull() & (F.col("candidate") != "")
     s1 = has_cand & (F.lower("candidate") == F.lower("lookup_name"))
     s2 = (has_cand & F.col("expected_bmo").isNotNull() & F.col("cand_bmo").isNotNull()
@@ -112,13 +106,12 @@ def search_candidates(need: DataFrame, search: DataFrame, profiles: DataFrame) -
           & (email_local_part(F.coalesce(F.col("email"), F.lit(""))) == me))
     tagged = c.select("lookup_name", "round", "pos", "candidate", s1.alias("s1"), s2.alias("s2"),
                       s3.alias("s3"), first_ok.alias("s4"), s5.alias("s5"))
-    # first-name-only counts only when unique within the user's round
-    uniq = (tagged.where("s4").groupBy("lookup_name", "round")
-            .agg(F.count("*").alias("_n")).where(F.col("_n") == 1).drop("_n")
-            .withColumn("_uniq", F.lit(True)))
-    tagged = tagged.join(uniq, ["lookup_name", "round"], "left")
+    # first-name-only counts only when unique within the user's round: a
+    # count over the user's own candidates (window partitioned by user)
+    n_first = F.count_if("s4").over(Window.partitionBy("lookup_name", "round"))
+    tagged = tagged.withColumn("_n_first", n_first)
     strategy = (F.when(F.col("s1"), F.lit(0)).when(F.col("s2"), F.lit(1)).when(F.col("s3"), F.lit(2))
-                .when(F.col("s4") & F.col("_uniq").isNotNull(), F.lit(3)).when(F.col("s5"), F.lit(4)))
+                .when(F.col("s4") & (F.col("_n_first") == 1), F.lit(3)).when(F.col("s5"), F.lit(4)))
     out = tagged.select("lookup_name", "round", "pos", "candidate", strategy.alias("strategy"))
     return out.where(F.col("strategy").isNotNull())
 

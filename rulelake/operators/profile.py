@@ -133,26 +133,34 @@ def raw_text(html: Column) -> Column:
     return decode_entities(F.regexp_replace(t, "<[^>]*>", ""))
 
 
-def section_clip(html: Column) -> Column:
-    """struct(conditions, actions) text clips of a rule page.
+def section_clips(df: DataFrame, html_col: str = "html") -> DataFrame:
+    """``conditions`` / ``actions`` text clips of rule pages.
 
     From "When all of these conditions are met:" to "Take these actions"
     (first 800 characters), and from there to "Event Timeline" (else 500
-    characters on), first 500 characters.
+    characters on), first 500 characters. The page text and the marker
+    positions are computed in their own projections, once per page.
     """
-    text = raw_text(html)
+    cols = [c for c in df.columns if c != html_col]
+    t = df.select(*cols, raw_text(F.col(html_col)).alias("_t"))
+    text = F.col("_t")
+
     def find_from(needle: str, start: Column) -> Column:
         """1-based position of ``needle`` at or after ``start`` (0 = none)."""
         rel = F.instr(F.substr(text, start), needle)
         return F.when(rel > 0, start + rel - 1).otherwise(F.lit(0))
 
-    c0 = F.instr(text, "When all of these conditions are met:")
-    a0 = F.when(c0 > 0, find_from("Take these actions", c0)).otherwise(F.lit(0))
-    cond = F.when((c0 > 0) & (a0 > 0), F.substr(F.substr(text, c0, a0 - c0), F.lit(1), F.lit(800)))
-    t0 = F.when(a0 > 0, find_from("Event Timeline", a0)).otherwise(F.lit(0))
+    c = t.select(*cols, "_t", F.instr(text, "When all of these conditions are met:").alias("_c0"))
+    a = c.select(*cols, "_t", "_c0", F.when(F.col("_c0") > 0, find_from("Take these actions", F.col("_c0")))
+                 .otherwise(F.lit(0)).alias("_a0"))
+    e = a.select(*cols, "_t", "_c0", "_a0", F.when(F.col("_a0") > 0, find_from("Event Timeline", F.col("_a0")))
+                 .otherwise(F.lit(0)).alias("_t0"))
+    c0, a0, t0 = F.col("_c0"), F.col("_a0"), F.col("_t0")
     end = F.when(t0 > 0, t0).otherwise(a0 + 500)
-    act = F.when(a0 > 0, F.substr(F.substr(text, a0, end - a0), F.lit(1), F.lit(500)))
-    return F.struct(cond.alias("conditions"), act.alias("actions"))
+    return e.select(*cols,
+                    F.when((c0 > 0) & (a0 > 0), F.substr(F.substr(text, c0, a0 - c0), F.lit(1), F.lit(800)))
+                    .alias("conditions"),
+                    F.when(a0 > 0, F.substr(F.substr(text, a0, end - a0), F.lit(1), F.lit(500))).alias("actions"))
 
 
 def item_dump(items_html: Column) -> Column:

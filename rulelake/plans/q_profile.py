@@ -119,7 +119,7 @@ def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def section_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N8 on the rendered rule pages (checked by unit test on a saved page)."""
     pages = render.rule_page(read_table(spark, sf_dir, "part"))
-    return pages.select("url", N.section_clip(F.col("html")).alias("c")).select("url", "c.conditions", "c.actions")
+    return N.section_clips(pages.select("url", "html"))
 
 
 @query("item_dump")

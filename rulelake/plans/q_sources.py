@@ -19,12 +19,12 @@ def _project_pages(spark, sf_dir) -> DataFrame:
 
 
 @query("api_envelope", sql="""
-WITH m AS (SELECT c_custkey % 100 AS r, count(*) AS n FROM customer GROUP BY 1)
+WITH m AS (SELECT c_custkey // 15 AS r, count(*) AS n FROM customer GROUP BY 1)
 SELECT s_suppkey // 100 AS page,
        CAST(row_number() OVER (PARTITION BY s_suppkey // 100 ORDER BY s_suppkey) - 1 AS INTEGER) AS row_pos,
        'PHID-PROJ-s' || s_suppkey AS phid, s_name AS name, lower(replace(s_name, '#', '-')) AS slug,
        CAST(coalesce(m.n, 0) AS INTEGER) AS n_members
-FROM supplier LEFT JOIN m ON m.r = s_suppkey % 100
+FROM supplier LEFT JOIN m ON m.r = s_suppkey
 """)
 def api_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.envelope_rows(_project_pages(spark, sf_dir), ["page"])
@@ -54,7 +54,7 @@ def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("project_members", sql="""
 SELECT 'PHID-PROJ-s' || s_suppkey AS project_phid, 'PHID-USER-' || c_custkey AS member_phid,
        'cust' || c_custkey AS username
-FROM supplier JOIN customer ON c_custkey % 100 = s_suppkey % 100
+FROM supplier JOIN customer ON c_custkey // 15 = s_suppkey
 """)
 def project_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Project -> member PHIDs -> user records (joined on PHID)."""

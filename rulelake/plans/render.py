@@ -21,6 +21,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     real page dumps the many input splits already give the parallelism.
     """
     n = max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2
+    if df.rdd.getNumPartitions() >= n:
+        return df  # enough input splits already: no shuffle
     return df.repartition(n, key)
 
 
@@ -449,10 +451,12 @@ API_PAGE_SIZE = 100
 
 def project_search_pages(supplier: DataFrame, customer: DataFrame) -> DataFrame:
     """``(page, doc)``: paged project-search responses, API_PAGE_SIZE projects
-    per page; members are the customers with the same key residue."""
-    members = (customer.select((F.col("c_custkey") % 100).alias("_r"), "c_custkey")
+    per page. Project s has the customers k with k // 15 = s as members
+    (15 = customers per supplier in the generated tables), so a member list
+    stays bounded whatever the scale."""
+    members = (customer.select(F.floor(F.col("c_custkey") / 15).cast("bigint").alias("_r"), "c_custkey")
                .groupBy("_r").agg(F.array_sort(F.collect_list("c_custkey")).alias("_m")))
-    sup = supplier.select("s_suppkey", "s_name", (F.col("s_suppkey") % 100).alias("_r"))
+    sup = supplier.select("s_suppkey", "s_name", F.col("s_suppkey").alias("_r"))
     rows = sup.join(members, "_r", "left")
     item = F.struct(
         F.col("s_suppkey").alias("id"), F.lit("PROJ").alias("type"),

@@ -68,7 +68,7 @@ def current_membership(spark: SparkSession, updates: str) -> DataFrame:
 
 
 def run_page_ingest(spark: SparkSession, source: str, existing: DataFrame, base: str,
-                    max_files_per_trigger: int = 1) -> DataFrame:
+                    max_files_per_trigger: int = 2) -> DataFrame:
     """Merge streamed rule pages into the snapshot, one micro-batch at a time.
 
     ``source`` holds Parquet files of ``(url, html)``; ``existing`` is the

@@ -69,3 +69,13 @@ def test_document_and_split(spark):
     res = df([("a", "resolved", "ga"), ("b", "unresolved", None)], "lookup_name string, status string, github_username string")
     parts = K.split_result(res)
     assert parts["resolved"].count() == 1 and parts["unresolved"].first().lookup_name == "b"
+
+
+def test_cache_tables(spark):
+    df = spark.createDataFrame
+    resolved = df([("a", "ga", 1)], "lookup_name string, username string, user_id bigint")
+    unresolved = df([("b", "x"), ("b", "x")], "lookup_name string, reason string")
+    t = K.cache_tables(resolved, unresolved)
+    assert t["resolved"].first().github_username == "ga"
+    assert t["unresolved"].count() == 1
+    assert set(t["unresolved"].columns) == {"lookup_name", "reason", "checked_at"}
