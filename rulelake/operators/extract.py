@@ -404,7 +404,8 @@ def parse_rule_pages(pages: DataFrame, html_col: str = "html", match_any: bool =
     ``cond_items`` / ``action_items`` hold the list items' markup;
     :func:`condition_rows` / :func:`action_rows` classify them and
     ``has_reviewers`` is the R4 test on the row itself. With ``match_any``
-    the "When any of ..." section is read too and ``combinator`` says which.
+    the "When any of ..." section is read too: ``cond_items_any`` holds the
+    items of whichever header the page has and ``combinator`` says which.
 
     Two projections: the costly page-level intermediates (id, name,
     sections, properties) are computed once in the first; Catalyst keeps it
@@ -418,12 +419,13 @@ def parse_rule_pages(pages: DataFrame, html_col: str = "html", match_any: bool =
     secs = F.col("_secs")
     has_all = F.exists(secs, lambda s: s["header"].contains("When all of these conditions are met"))
     cond_items = section_items(secs, "When all of these conditions are met")
-    if match_any:
-        cond_items = F.when(has_all, cond_items).otherwise(
-            section_items(secs, "When any of these conditions are met"))
     ok = F.col("_rid").isNotNull() & F.col("_name").isNotNull()
     extra = []
     if match_any:
+        # the "any" reading as extra columns, so one parse serves both forms
+        any_items = F.when(has_all, cond_items).otherwise(
+            section_items(secs, "When any of these conditions are met"))
+        extra.append(F.when(ok, any_items).alias("cond_items_any"))
         extra.append(F.when(has_all, F.lit("all")).when(
             F.exists(secs, lambda s: s["header"].contains("When any of these conditions are met")),
             F.lit("any")).alias("combinator"))

@@ -62,13 +62,6 @@ def phab_info(users: DataFrame, user_records: DataFrame, accounts: DataFrame) ->
                            clean_real_name("raw_real_name")).alias("expected_name"))
 
 
-def fold_lookup(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Attach F4 ``fold_name(col)`` as ``out``, folding each distinct value once."""
-    keys = df.select(F.col(col).alias("_fk")).where(F.col("_fk").isNotNull()).distinct()
-    folded = keys.select("_fk", fold_name(F.col("_fk")).alias(out))
-    return df.join(folded, df[col] == folded["_fk"], "left").drop("_fk")
-
-
 def search_candidates(need: DataFrame, search: DataFrame, profiles: DataFrame) -> DataFrame:
     """U4-U8: candidate matches of both search rounds, with their strategy.
 

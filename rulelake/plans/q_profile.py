@@ -23,7 +23,7 @@ SELECT 'USER', count(*), count(DISTINCT h), min(h)
 FROM (SELECT 'PHID-USER-' || substr(sha256('USER-' || b), 1, 20) AS h FROM p) u
 """)
 def phid_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = render.rule_page(read_table(spark, sf_dir, "part"))
+    pages = q_rules.rendered_rule_pages(spark, sf_dir)
     return N.phid_type_counts(N.phid_occurrences(pages, ["url"]))
 
 
@@ -105,7 +105,7 @@ FROM part GROUP BY 1
 """)
 def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N7 on the listing pages."""
-    lp = render.listing_pages(read_table(spark, sf_dir, "part"))
+    lp = q_rules.rendered_listing_pages(spark, sf_dir)
     from rulelake.operators.extract import page_title
     html = F.col("html")
     crumbs = F.regexp_extract_all(html, F.lit('<a\\b[^>]*class="[^"]*crumb[^"]*"[^>]*>'), 0)
@@ -118,7 +118,7 @@ def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("section_clip")
 def section_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N8 on the rendered rule pages (checked by unit test on a saved page)."""
-    pages = render.rule_page(read_table(spark, sf_dir, "part"))
+    pages = q_rules.rendered_rule_pages(spark, sf_dir)
     return N.section_clips(pages.select("url", "html"))
 
 

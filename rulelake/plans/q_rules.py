@@ -111,16 +111,26 @@ def _part(spark, sf_dir) -> DataFrame:
     return read_table(spark, sf_dir, "part")
 
 
+def rendered_rule_pages(spark, sf_dir) -> DataFrame:
+    """The rule pages rendered from ``part``, written once as the page dump."""
+    return staged(spark, sf_dir, "rendered_rule_pages", lambda: render.rule_page(_part(spark, sf_dir)))
+
+
+def rendered_listing_pages(spark, sf_dir) -> DataFrame:
+    """The listing pages rendered from ``part``, written once as the page dump."""
+    return staged(spark, sf_dir, "rendered_listing_pages", lambda: render.listing_pages(_part(spark, sf_dir)))
+
+
 def _rule_pages(spark, sf_dir) -> DataFrame:
-    pages = S.classify_pages(render.rule_page(_part(spark, sf_dir)))
+    pages = S.classify_pages(rendered_rule_pages(spark, sf_dir))
     return pages.where(F.col("page_kind") == "rule")
 
 
-def _parsed(spark, sf_dir, match_any: bool = False) -> DataFrame:
-    """Parsed rule pages (header + item markup), written once per input."""
-    name = "rule_pages_any" if match_any else "rule_pages"
-    return staged(spark, sf_dir, name,
-                  lambda: X.parse_rule_pages(_rule_pages(spark, sf_dir), match_any=match_any))
+def _parsed(spark, sf_dir) -> DataFrame:
+    """Parsed rule pages (header + item markup, both readings of the
+    condition header), written once per input."""
+    return staged(spark, sf_dir, "rule_pages",
+                  lambda: X.parse_rule_pages(_rule_pages(spark, sf_dir), match_any=True))
 
 
 def _conditions(spark, sf_dir) -> DataFrame:
@@ -134,7 +144,7 @@ def _actions(spark, sf_dir) -> DataFrame:
 def _listed(spark, sf_dir) -> DataFrame:
     """(page_no, pos, rule_id): every id of every listing page, in page order."""
     def build():
-        lp = render.listing_pages(_part(spark, sf_dir))
+        lp = rendered_listing_pages(spark, sf_dir)
         return explode_rows(lp.select("page_no", X.listing_rule_ids(F.col("html")).alias("ids")),
                             ["page_no"], "ids", "pos", "rule_id")
     return staged(spark, sf_dir, "listing_ids", build)
@@ -180,9 +190,8 @@ FROM (SELECT url, regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([
 """)
 def page_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     real = read_table(spark, sf_dir, "pages").select("url")
-    part = _part(spark, sf_dir)
-    urls = (real.unionByName(render.rule_page(part).select("url"))
-            .unionByName(render.listing_pages(part).select("url")))
+    urls = (real.unionByName(rendered_rule_pages(spark, sf_dir).select("url"))
+            .unionByName(rendered_listing_pages(spark, sf_dir).select("url")))
     return S.classify_pages(urls).select("url", "page_kind", "page_key")
 
 
@@ -218,7 +227,7 @@ SELECT CAST(p_partkey // 100 + 1 AS INTEGER) AS page_no, 'H' || p_partkey AS rul
 WHERE p_type <> 'LARGE'
 """)
 def listing_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = render.listing_pages(_part(spark, sf_dir))
+    lp = rendered_listing_pages(spark, sf_dir)
     return lp.select("page_no", F.explode(X.listing_global_rule_ids(F.col("html"))).alias("rule_id"))
 
 
@@ -228,7 +237,7 @@ SELECT a.page_no, CASE WHEN b.page_no IS NOT NULL THEN '/herald/query/all/?after
 FROM pg a LEFT JOIN pg b ON b.page_no = a.page_no + 1
 """)
 def listing_next(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = render.listing_pages(_part(spark, sf_dir))
+    lp = rendered_listing_pages(spark, sf_dir)
     return lp.select("page_no", X.listing_next_url(F.col("html")).alias("next_url"))
 
 
@@ -238,7 +247,7 @@ FROM (SELECT 'H' || p_partkey AS rule_id, p_partkey AS k FROM part WHERE p_type
       ORDER BY p_partkey LIMIT 150) t
 """)
 def listing_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = render.listing_pages(_part(spark, sf_dir))
+    lp = rendered_listing_pages(spark, sf_dir)
     listed = lp.select("page_no", F.posexplode(X.listing_global_rule_ids(F.col("html"))).alias("pos", "rule_id"))
     return R.first_n_discovered(listed, 150)
 
@@ -247,7 +256,7 @@ def listing_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'H' || p_partkey AS rule_id FROM part WHERE p_partkey // 100 + 1 <= 3
 """)
 def listing_page_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = render.listing_pages(_part(spark, sf_dir))
+    lp = rendered_listing_pages(spark, sf_dir)
     kept, _ = S.listing_chain(lp, 3)
     return kept.select(F.explode(X.listing_rule_ids(F.col("html"))).alias("rule_id"))
 
@@ -256,7 +265,7 @@ def listing_page_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 3 AS max_pages, count(*) > 0 AS reached_max FROM part WHERE p_partkey // 100 + 1 = 4
 """)
 def listing_reached_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lp = render.listing_pages(_part(spark, sf_dir))
+    lp = rendered_listing_pages(spark, sf_dir)
     _, flag = S.listing_chain(lp, 3)
     return flag.select(F.lit(3).alias("max_pages"), "reached_max")
 
@@ -341,8 +350,8 @@ SELECT 'H' || k AS rule_id, CASE WHEN p_type = 'MEDIUM' THEN 'any' ELSE 'all' EN
 FROM p WHERE ok
 """)
 def any_header_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _parsed(spark, sf_dir, match_any=True).where("parse_ok")
-    return r.select("rule_id", "combinator", F.size("cond_items").alias("n_conditions"))
+    r = _parsed(spark, sf_dir).where("parse_ok")
+    return r.select("rule_id", "combinator", F.size("cond_items_any").alias("n_conditions"))
 
 
 @query("rule_outcome", sql=BASE + """

@@ -46,7 +46,7 @@ def page_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule pages arrive as files (four drops); each micro-batch is merged
     into the snapshot (R6)."""
     src = staged(spark, sf_dir, "page_drops",
-                 lambda: render.rule_page(read_table(spark, sf_dir, "part")).repartition(4, "url"))
+                 lambda: q_rules.rendered_rule_pages(spark, sf_dir).repartition(4, "url"))
     src_path = src.inputFiles()[0].rsplit("/", 1)[0]
     out = T.run_page_ingest(spark, src_path, q_rules._existing(spark, sf_dir), _base(spark, sf_dir, "ingest"))
     return out.select("rule_id", "name")

@@ -53,8 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) "
+                               "on a cluster; a machine-local folder would not survive executor loss")
         conf_dir = tempfile.mkdtemp(prefix="rulelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 - core conf may be read-only; the context dir below is what counts
+            pass
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
