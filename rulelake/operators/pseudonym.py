@@ -299,3 +299,23 @@ def rewrite_json(doc: Column) -> Column:
         f'"primaryUsername"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "USER-")).otherwise(out)
     out = F.when(rest, _rewrite_json_value(out, f'"username"{ws}:{ws}', "GHUSER-")).otherwise(out)
     return out
+
+
+def rename_plan(files: DataFrame, file_col: str = "file", force: bool = False) -> DataFrame:
+    """A8 with clash handling: per file its new name and ``status``.
+
+    A rename whose target already exists as another file, or that two files
+    would share, is a clash: ``skipped`` unless ``force``. Unchanged names
+    are ``unchanged``. Target counts are a group-by on the target name.
+    """
+    plan = files.select(F.col(file_col).alias("file"), rename_path(F.col(file_col)).alias("new_file"))
+    moving = plan.where(F.col("new_file") != F.col("file"))
+    shared = moving.groupBy("new_file").agg(F.count("*").alias("_n"))
+    existing = files.select(F.col(file_col).alias("new_file")).distinct().withColumn("_exists", F.lit(True))
+    j = plan.join(shared, "new_file", "left").join(existing, "new_file", "left")
+    clash = (F.col("new_file") != F.col("file")) & (F.col("_exists").isNotNull() | (F.col("_n") > 1))
+    status = (F.when(F.col("new_file") == F.col("file"), F.lit("unchanged"))
+              .when(clash & F.lit(not force), F.lit("skipped"))
+              .otherwise(F.lit("renamed")))
+    return j.select("file", F.when(status == "renamed", F.col("new_file")).otherwise(F.col("file")).alias("new_file"),
+                    status.alias("status"))

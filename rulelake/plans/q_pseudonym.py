@@ -282,3 +282,40 @@ def pseudonym_json_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
                    g("doc", "$.username")).alias("username"),
         g("doc", "$.result.data[0].fields.realName").alias("realname"),
         g("doc", "$.data.profile.identities.githubIdV3.value").alias("github_id"))
+
+
+def _plan_files(spark, sf_dir) -> DataFrame:
+    """The response files, plus an already-pseudonymised ``<fake>_rest`` file
+    for every fifth customer (its own rename then clashes)."""
+    cust = _cust(spark, sf_dir)
+    files = render.people_json(cust).select("file")
+    fakes = cust.where(F.col("c_custkey") % 5 == 0).select(
+        F.concat(prefix_hash("USER-", render.login_col()), F.lit("_rest")).alias("file"))
+    return files.unionByName(fakes)
+
+
+_PLAN_SQL = f"""
+WITH f AS (
+  SELECT c_custkey, {LOGIN} || '_graphql' AS file,
+         {FAKE.format(x=LOGIN)} || '_graphql' AS target FROM customer
+  UNION ALL SELECT c_custkey, {LOGIN} || '_rest', {FAKE.format(x=LOGIN)} || '_rest' FROM customer
+  UNION ALL SELECT c_custkey, 'search_' || {LOGIN}, 'search_' || {FAKE.format(x=LOGIN)} FROM customer
+  UNION ALL SELECT c_custkey, {FAKE.format(x=LOGIN)} || '_rest', {FAKE.format(x=LOGIN)} || '_rest'
+  FROM customer WHERE c_custkey % 5 = 0)
+SELECT file,
+  CASE WHEN target = file THEN file WHEN {{clash}} THEN file ELSE target END AS new_file,
+  CASE WHEN target = file THEN 'unchanged' WHEN {{clash}} THEN 'skipped' ELSE 'renamed' END AS status
+FROM f
+"""
+
+
+@query("pseudonym_path_plan", sql=_PLAN_SQL.format(clash="(c_custkey % 5 = 0 AND file LIKE '%_rest')"))
+def pseudonym_path_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renames with clashes skipped (no force)."""
+    return A.rename_plan(_plan_files(spark, sf_dir))
+
+
+@query("pseudonym_path_plan_force", sql=_PLAN_SQL.format(clash="FALSE"))
+def pseudonym_path_plan_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 with ``force``: clashing renames go ahead."""
+    return A.rename_plan(_plan_files(spark, sf_dir), force=True)

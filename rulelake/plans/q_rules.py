@@ -252,6 +252,15 @@ def listing_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.first_n_discovered(listed, 150)
 
 
+@query("listing_first_n_all", sql="""
+SELECT rule_id, 0 AS sort_group, CAST(k AS DECIMAL(38, 0)) AS sort_num
+FROM (SELECT 'H' || p_partkey AS rule_id, p_partkey AS k FROM part ORDER BY p_partkey LIMIT 150) t
+""")
+def listing_first_n_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3, all-rules form: the first 150 ids in discovery order, R1-sorted."""
+    return R.first_n_discovered(_listed(spark, sf_dir), 150)
+
+
 @query("listing_page_limit", sql="""
 SELECT 'H' || p_partkey AS rule_id FROM part WHERE p_partkey // 100 + 1 <= 3
 """)
