@@ -308,25 +308,35 @@ def merge_refs(*parts: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def run_metadata(n_rules: DataFrame, n_groups: DataFrame, resolution: DataFrame,
-                 rules_complete: DataFrame, groups_complete: DataFrame, base_url: str,
-                 hit_max_users: bool = False, directory: bool = True) -> DataFrame:
+def run_metadata(merged_rules: DataFrame, groups: DataFrame, resolution: DataFrame, outcome: DataFrame,
+                 completeness: DataFrame, base_url: str, hit_max_users: bool = False,
+                 directory: bool = True) -> DataFrame:
     """One-row run summary: counts, instance host, completeness flags.
 
-    Every input is a one-row aggregate, so they are combined by equi-joins
-    on a constant key over single rows (no data-sized cross product).
+    The inputs are tagged and unioned, then reduced by one aggregation
+    (partial counts per task, one tiny final merge): no join is needed to
+    put the figures side by side.
     """
     from urllib.parse import urlparse
 
     host = urlparse(base_url).netloc or base_url
-    res = resolution.agg(F.count_if(F.col("status") == "resolved").alias("total_users_resolved"),
-                         F.count_if(F.col("status") == "unresolved").alias("total_users_unresolved"))
-    parts = [n_rules, n_groups, res, rules_complete, groups_complete]
-    out = parts[0].withColumn("_k", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(p.withColumn("_k", F.lit(1)), "_k")
-    return out.drop("_k").select("*", F.lit(host).alias("phabricator_instance"),
-                                 F.lit((not hit_max_users) and directory).alias("github_complete"))
+    s = F.lit(None).cast("string")
+    b = F.lit(None).cast("boolean")
+    tagged = (merged_rules.select(F.lit("rule").alias("t"), s.alias("v"), b.alias("ok"))
+              .unionByName(groups.select(F.lit("group").alias("t"), s.alias("v"), b.alias("ok")))
+              .unionByName(resolution.select(F.lit("user").alias("t"), F.col("status").alias("v"), b.alias("ok")))
+              .unionByName(outcome.select(F.lit("outcome").alias("t"), F.col("outcome").alias("v"), b.alias("ok")))
+              .unionByName(completeness.select(F.lit("slug").alias("t"), s.alias("v"), F.col("complete").alias("ok"))))
+    t = F.col("t")
+    return tagged.agg(
+        F.count_if(t == "rule").alias("total_rules"),
+        F.count_if(t == "group").alias("total_groups"),
+        F.count_if((t == "user") & (F.col("v") == "resolved")).alias("total_users_resolved"),
+        F.count_if((t == "user") & (F.col("v") == "unresolved")).alias("total_users_unresolved"),
+        (F.count_if((t == "outcome") & (F.col("v") == "failed")) == 0).alias("rules_complete"),
+        (F.count_if((t == "slug") & ~F.col("ok")) == 0).alias("groups_complete"),
+    ).select("*", F.lit(host).alias("phabricator_instance"),
+             F.lit((not hit_max_users) and directory).alias("github_complete"))
 
 
 IDENTITY_RESPONSE_SCHEMA = (

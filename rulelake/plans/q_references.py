@@ -115,9 +115,5 @@ def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = q_rules._outcome(spark, sf_dir)
     slugs = G.referenced_group_slugs(_kept_reviewers(spark, sf_dir))
     found = _found(spark, sf_dir)
-    n_rules = merged.agg(F.count("*").alias("total_rules"))
-    n_groups = found.agg(F.count("*").alias("total_groups"))
-    rules_complete = outcome.agg((F.count_if(F.col("outcome") == "failed") == 0).alias("rules_complete"))
-    groups_complete = G.groups_complete_flag(G.group_completeness(slugs, found)).select("groups_complete")
-    return I.run_metadata(n_rules, n_groups, q_identity._resolved_all(spark, sf_dir), rules_complete,
-                          groups_complete, "https://review.example.com:8443/herald/")
+    return I.run_metadata(merged, found, q_identity._resolved_all(spark, sf_dir), outcome,
+                          G.group_completeness(slugs, found), "https://review.example.com:8443/herald/")

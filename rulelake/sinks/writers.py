@@ -28,27 +28,35 @@ def document(rules: DataFrame, groups: DataFrame, resolved: DataFrame, unresolve
     ``pos`` order column; ``groups(slug, display_name, members)``;
     ``resolved(lookup_name, username, user_id)``;
     ``unresolved(lookup_name, reason, ref)`` long form; ``metadata`` one row.
+    The parts are unioned as tagged columns and folded by one aggregation.
     """
-    r = rules.select("pos", F.struct(F.col("rule_id").alias("id"), "name", "author", "status",
-                                     F.col("object_type").alias("type"), "conditions", "actions").alias("r"))
-    g = groups.select(F.struct(F.col("slug").alias("id"), "display_name", "members").alias("g"), "slug")
-    u = resolved.select("lookup_name", F.struct("username", "user_id").alias("u"))
+    r_t = F.struct(F.col("rule_id").alias("id"), "name", "author", "status",
+                   F.col("object_type").alias("type"), "conditions", "actions")
+    g_t = F.struct(F.col("slug").alias("id"), "display_name", "members")
     refs = unresolved.groupBy("lookup_name", "reason").agg(
         F.array_sort(F.array_distinct(F.collect_list("ref"))).alias("referenced_in"))
-    un = refs.select(F.struct(F.col("lookup_name").alias("phabricator_username"), "reason",
-                              "referenced_in").alias("x"))
-    parts = [
-        r.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]).alias("rules")),
-        g.agg(F.map_from_entries(F.collect_list(F.struct("slug", "g"))).alias("groups")),
-        u.agg(F.map_from_entries(F.collect_list(F.struct("lookup_name", "u"))).alias("github_users")),
-        un.agg(F.collect_list("x").alias("unresolved_users")),
-        metadata.select(F.struct(*metadata.columns).alias("metadata")),
-    ]
-    out = parts[0].withColumn("_k", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(p.withColumn("_k", F.lit(1)), "_k")
+    parts = {
+        "r": rules.select(F.struct("pos", r_t.alias("r")).alias("r")),
+        "g": groups.select(F.struct("slug", g_t.alias("g")).alias("g")),
+        "u": resolved.select(F.struct("lookup_name", F.struct("username", "user_id").alias("u")).alias("u")),
+        "x": refs.select(F.struct(F.col("lookup_name").alias("phabricator_username"), "reason",
+                                  "referenced_in").alias("x")),
+        "m": metadata.select(F.struct(*metadata.columns).alias("m")),
+    }
+    types = {k: df.schema[k].dataType for k, df in parts.items()}
+    tagged = None
+    for k, df in parts.items():
+        cols = [F.col(k) if c == k else F.lit(None).cast(types[c]).alias(c) for c in parts]
+        one = df.select(*cols)
+        tagged = one if tagged is None else tagged.unionByName(one)
+    agg = tagged.agg(
+        F.transform(F.array_sort(F.collect_list("r")), lambda x: x["r"]).alias("rules"),
+        F.map_from_entries(F.collect_list("g")).alias("groups"),
+        F.map_from_entries(F.collect_list("u")).alias("github_users"),
+        F.collect_list("x").alias("unresolved_users"),
+        F.first("m", ignorenulls=True).alias("metadata"))
     doc = F.struct("rules", "groups", "github_users", "unresolved_users", "metadata")
-    return out.select(F.to_json(doc, {"pretty": "true"}).alias("document"))
+    return agg.select(F.to_json(doc, {"pretty": "true"}).alias("document"))
 
 
 def write_document(doc: DataFrame, path: str) -> None:

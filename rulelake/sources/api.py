@@ -106,13 +106,17 @@ def read_named_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def latest_groups_sql(table: str, order_col: str) -> str:
-    """The review-groups query with its row order made explicit (W1 in SQL)."""
+    """The review-groups query with its row order made explicit (W1 in SQL).
+
+    Written as ``max_by`` over the load order rather than ``ROW_NUMBER()``:
+    the aggregate is combined on each map task before the shuffle, so a
+    group with a third of all snapshot rows does not land in one sort.
+    """
     t = check_table_name(table)
     if not re.match(r"^[A-Za-z_]\w*$", order_col):
         raise ValueError(f"Invalid column name: {order_col!r}")
     return (
-        "SELECT group_name, group_usernames, group_emails FROM ("
-        " SELECT group_name, group_usernames, group_emails,"
-        f" ROW_NUMBER() OVER (PARTITION BY group_name ORDER BY {order_col} DESC) AS row_num"
-        f" FROM {t}) WHERE row_num = 1")
-
+        "SELECT group_name, r.group_usernames AS group_usernames, r.group_emails AS group_emails FROM ("
+        " SELECT group_name, max_by(named_struct('group_usernames', group_usernames,"
+        " 'group_emails', group_emails), " + order_col + ") AS r"
+        f" FROM {t} GROUP BY group_name)")
