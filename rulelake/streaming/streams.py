@@ -88,7 +88,9 @@ def run_page_ingest(spark: SparkSession, source: str, existing: DataFrame, base:
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         pages = classify_pages(batch).where(F.col("page_kind") == "rule")
-        parsed = X.parse_rule_pages(pages).cache()
+        # only the fields the merge needs are computed and cached
+        parsed = X.parse_rule_pages(pages).select(
+            "page_key", "parse_ok", "rule_id", "name", "status", "has_reviewers").cache()
         attempted = parsed.select(F.col("page_key").alias("rule_id"))
         outcome = R.rule_outcome(attempted, parsed)
         kept = R.select_rules(parsed, outcome.where(F.col("outcome") == "kept"))
