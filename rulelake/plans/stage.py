@@ -43,6 +43,8 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_DIGEST}".encode()).hexdigest()[:16]
     path = shared_path(spark, "staged", f"{name}-{key}")
     try:
+        # the committer writes _SUCCESS last: a half-written folder is rebuilt
+        spark.read.text(f"{path}/_SUCCESS")
         return spark.read.parquet(path)
     except AnalysisException:
         pass
