@@ -319,3 +319,21 @@ def rename_plan(files: DataFrame, file_col: str = "file", force: bool = False) -
               .otherwise(F.lit("renamed")))
     return j.select("file", F.when(status == "renamed", F.col("new_file")).otherwise(F.col("file")).alias("new_file"),
                     status.alias("status"))
+
+
+def names_in_paths(files: DataFrame, mapping: DataFrame, file_col: str = "file", max_len: int = 255) -> DataFrame:
+    """File names that contain a known real username.
+
+    Every substring of a (short) file name is generated and equi-joined to
+    the mapping's real names: an exact "name occurs in path" test without a
+    cross join of files and names. Output: file, username.
+    """
+    f = files.select(F.col(file_col).alias("file")).distinct()
+    n = F.least(F.length("file"), F.lit(max_len))
+    subs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
+        F.sequence(i, n), lambda j: F.substr(F.col("file"), i, j - i + 1))))
+    from rulelake.functions.arrays import explode_rows
+
+    pieces = explode_rows(f.select("file", F.array_distinct(subs).alias("_s")), ["file"], "_s", "_p", "username")
+    names = mapping.select(F.col("real").alias("username")).distinct()
+    return pieces.join(names, "username").select("file", "username")

@@ -319,3 +319,15 @@ def pseudonym_path_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pseudonym_path_plan_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 with ``force``: clashing renames go ahead."""
     return A.rename_plan(_plan_files(spark, sf_dir), force=True)
+
+
+@query("pii_path_names", sql=f"""
+WITH files AS (SELECT {LOGIN} || '_graphql' AS file FROM customer UNION SELECT {LOGIN} || '_rest' FROM customer
+               UNION SELECT 'search_' || {LOGIN} FROM customer),
+names AS (SELECT {LOGIN} AS u FROM customer UNION SELECT 'mk' || c_custkey FROM customer WHERE c_custkey % 4 = 0)
+SELECT file, u AS username FROM files JOIN names ON contains(file, u)
+""")
+def pii_path_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response file names that still carry a mapped real username."""
+    docs = render.people_json(_cust(spark, sf_dir))
+    return A.names_in_paths(docs.select("file"), pseudonym_map(spark, sf_dir))

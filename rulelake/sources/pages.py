@@ -66,3 +66,17 @@ def listing_chain(listing: DataFrame, max_pages: int) -> tuple[DataFrame, DataFr
             .select(listing_next_url(F.col("html")).isNotNull().alias("_n"))
             .agg(F.coalesce(F.max("_n"), F.lit(False)).alias("reached_max")))
     return kept, flag
+
+
+def read_page_files(spark, path: str, base_url: str = "") -> DataFrame:
+    """S1 from saved files: one row per file, ``url`` derived from the name.
+
+    ``rule_H123.html`` becomes ``<base_url>/H123``; other files keep their
+    name as path. Each file is one page (``wholetext``).
+    """
+    raw = spark.read.option("wholetext", "true").text(path)
+    name = F.regexp_extract(F.input_file_name(), "([^/]+)$", 1)
+    stem = F.regexp_replace(name, "\\.html?$", "")
+    rel = F.when(stem.rlike("^rule_H[0-9]+$"), F.concat(F.lit("/"), F.substr(stem, F.lit(6)))).otherwise(
+        F.concat(F.lit("/"), stem))
+    return raw.select(F.concat(F.lit(base_url), rel).alias("url"), F.col("value").alias("html"))

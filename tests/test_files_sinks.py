@@ -79,3 +79,31 @@ def test_cache_tables(spark):
     assert t["resolved"].first().github_username == "ga"
     assert t["unresolved"].count() == 1
     assert set(t["unresolved"].columns) == {"lookup_name", "reason", "checked_at"}
+
+
+def test_api_envelopes(spark):
+    from rulelake.sources import api as A
+
+    docs = spark.createDataFrame([
+        (1, '{"result": [{"id": "77", "phid": "PHID-USER-a"}], "error_code": null, "error_info": null}'),
+        (2, '{"result": [], "error_code": null, "error_info": null}'),
+        (3, '{"result": null, "error_code": "ERR-CONDUIT-CORE", "error_info": "Invalid API token."}'),
+        (4, '{"result": null, "error_code": "ERR-X", "error_info": null}'),
+    ], "doc_id int, doc string")
+    parsed = A.parse_envelope(docs, "doc", A.FLAT_RESULT_SCHEMA)
+    errs = {r.doc_id: r.error_message for r in parsed.where("is_error").collect()}
+    assert errs == {3: "Invalid API token.", 4: "Unknown error"}
+    rows = A.envelope_rows(parsed, ["doc_id"], flat=True).collect()
+    assert [(r.doc_id, r.row.id) for r in rows] == [(1, "77")]
+
+
+def test_query_result_bad_row(spark):
+    from rulelake.sources import api as A
+
+    doc = '{"query_result": {"data": {"columns": [{"name": "a"}], "rows": [{"a": "1"}, ["2", "x"], 5]}}}'
+    df = spark.createDataFrame([(0, doc)], "k int, doc string")
+    with pytest.raises(Exception):
+        A.query_result_rows(df, "doc", ["k"], ["a"]).collect()
+    ok = '{"query_result": {"data": {"columns": [{"name": "a"}, {"name": null}], "rows": [{"a": "1"}, ["2", "x", "y"]]}}}'
+    got = A.query_result_rows(spark.createDataFrame([(0, ok)], "k int, doc string"), "doc", ["k"], ["a"]).collect()
+    assert [r.a for r in got] == ["1", "2"]

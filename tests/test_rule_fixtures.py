@@ -82,3 +82,14 @@ def test_has_reviewers_matches_action_rows(parsed):
     from_rows = {r.rule_id for r in a.where(F.size("reviewers") > 0).select("rule_id").collect()}
     from_row_test = {r.rule_id for r in parsed.where("has_reviewers").collect()}
     assert from_rows == from_row_test
+
+
+def test_read_page_files_folder(spark):
+    """The saved pages read as a folder of whole-text files."""
+    from rulelake.sources.pages import read_page_files
+
+    pages = classify_pages(read_page_files(spark, FIXTURES, "https://review.example.com"))
+    kinds = {r.page_key: r.page_kind for r in pages.select("page_key", "page_kind").collect()}
+    assert len(kinds) == 21 and set(kinds.values()) == {"rule"}
+    parsed = X.parse_rule_pages(pages)
+    assert parsed.where("parse_ok AND rule_id = page_key").count() == 21
