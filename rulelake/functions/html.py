@@ -31,8 +31,7 @@ NAMED_ENTITIES = [
 ]
 
 # Python's str.strip() / str.split() treat Unicode white space as space;
-# Java regex needs the UNICODE_CHARACTER_CLASS flag for the same.
-_WS = "(?U)\\s"
+# Java regex needs the UNICODE_CHARACTER_CLASS flag ``(?U)`` for the same.
 
 
 def _col(c) -> Column:
@@ -124,17 +123,6 @@ def elements(html, tag: str, cls: str | None = None) -> Column:
         _col(html), F.lit(f"(?s)<{tag}\\b{attrs}>.*?</{tag}>"), 0)
 
 
-def first_element(html, tag: str, cls: str | None = None) -> Column:
-    attrs = f"[^>]*{class_token(cls)}[^>]*" if cls else "[^>]*"
-    return F.nullif(F.regexp_extract(_col(html), f"(?s)<{tag}\\b{attrs}>.*?</{tag}>", 0),
-                    F.lit(""))
-
-
-def inner(element) -> Column:
-    """Markup between the first opening tag and the last closing tag."""
-    return F.regexp_extract(_col(element), "(?s)^<[^>]*>(.*)</[^>]*>$", 1)
-
-
 def attr(tag_markup, name: str) -> Column:
     """Decoded value of attribute ``name`` of the first tag; NULL if absent."""
     raw = F.regexp_extract(_col(tag_markup), f'^<[^>]*?\\s{name}="([^"]*)"', 1)
@@ -142,11 +130,6 @@ def attr(tag_markup, name: str) -> Column:
     return F.when(has, decode_entities(raw))
 
 
-def links(html) -> Column:
-    """Array of ``<a>`` elements that carry an href (anchor markup)."""
-    return F.regexp_extract_all(_col(html), F.lit('(?s)<a\\s[^>]*href="[^"]*"[^>]*>.*?</a>'), 0)
-
-
 def hrefs(html) -> Column:
     """All decoded href values of ``<a>`` tags, in page order."""
     raw = F.regexp_extract_all(_col(html), F.lit('<a\\s[^>]*?href="([^"]*)"'), 1)
