@@ -29,19 +29,23 @@ RULE_ID_RE = "^H[0-9]+$"
 # --------------------------------------------------------------------------
 
 
-def listing_rule_ids(html: Column) -> Column:
-    """Distinct ``/H<n>`` link targets of a page, in numeric order."""
-    ids = F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="/(H[0-9]+)"'), 1)
+def _numeric_id_sort(ids: Column) -> Column:
     return F.array_sort(F.array_distinct(ids),
                         lambda a, b: F.signum(F.substr(a, F.lit(2)).cast("decimal(38,0)")
                                               - F.substr(b, F.lit(2)).cast("decimal(38,0)")).cast("int"))
 
 
+def listing_rule_ids(html: Column) -> Column:
+    """Distinct ``/H<n>`` link targets of a page, in numeric order."""
+    return _numeric_id_sort(F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="/(H[0-9]+)"'), 1))
+
+
 _FRAME_SPLIT = f"<div\\b[^>]*{class_token('phui-oi-frame')}[^>]*>"
 
 
 def listing_global_rule_ids(html: Column) -> Column:
-    """Ids linked from a ``phui-oi-frame`` whose text has "Global Rule".
+    """Ids linked from a ``phui-oi-frame`` whose text has "Global Rule",
+    in numeric order.
 
     The page is cut at each frame opening tag; a frame's segment runs to the
     next frame, which holds the frame's nested markup.
@@ -50,7 +54,8 @@ def listing_global_rule_ids(html: Column) -> Column:
     glob = F.filter(frames, lambda seg: node_text(seg, " ").contains("Global Rule"))
     ids = F.flatten(F.transform(
         glob, lambda seg: F.regexp_extract_all(seg, F.lit('<a\\s[^>]*?href="/(H[0-9]+)"'), 1)))
-    return F.array_distinct(ids)
+    # the page's ids are filtered in their numeric order
+    return _numeric_id_sort(ids)
 
 
 def _pager(html: Column) -> Column:

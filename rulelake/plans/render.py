@@ -271,8 +271,9 @@ def listing_pages(part: DataFrame) -> DataFrame:
         kind, F.lit("</div></div></div></li>"))
     rows = part.select(page_no.alias("page_no"), F.col("p_partkey"), frame.alias("frame"))
     pages = rows.groupBy("page_no").agg(
+        # newest first inside a page, as the listing shows rules
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-            F.col("p_partkey").alias("k"), F.col("frame").alias("f")))), lambda s: s["f"]), "").alias("body"),
+            (-F.col("p_partkey")).alias("k"), F.col("frame").alias("f")))), lambda s: s["f"]), "").alias("body"),
         F.max("p_partkey").alias("_max"))
     following = pages.select((F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("_has_next"))
     pages = pages.join(following, "page_no", "left")
