@@ -122,7 +122,29 @@ def section_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.section_clips(pages.select("url", "html"))
 
 
-@query("item_dump")
+@query("item_dump", sql=q_rules.BASE + """
+SELECT 'H' || k AS page_key, pos,
+  CASE WHEN idx = 0 AND p_size % 5 = 0 THEN 'Add blocking reviewers: Restricted Project .'
+       WHEN idx = 0 THEN 'Add blocking reviewers: ' || b || '-reviewers , USER-' || w1 || ' .'
+       WHEN idx = 1 AND p_size % 5 = 1 THEN 'Add reviewers: ' || w1 || '@example.com, ' || w2 || ' .'
+       WHEN idx = 1 THEN 'Add reviewers: ' || w1 || '-' || w2 || ' .'
+       WHEN idx = 2 THEN 'Add subscribers: USER-' || b
+       WHEN idx = 3 THEN 'Add rule author as subscriber' WHEN idx = 4 THEN 'Send an email to rule author'
+       WHEN idx = 5 THEN 'Do nothing.' WHEN idx = 6 THEN 'Require mail content to be secure'
+       WHEN idx = 7 THEN 'Add projects: ' || w1 || '-' || w2 || ' .'
+       WHEN idx = 8 THEN 'Remove projects: ' || w2 || ' .'
+       WHEN idx = 9 THEN 'Run build plans: Plan ' || p_size || ' Update ' || w1
+       WHEN idx = 10 THEN 'Add comment: Please check ' || w1 || ' & ' || w2 || '.'
+       ELSE 'Flag with color blue.' END AS text,
+  '' AS regexps,
+  CASE WHEN idx = 0 AND p_size % 5 <> 0 THEN '/tag/' || b || '-reviewers/|/p/USER-' || w1 || '/'
+       WHEN idx = 1 AND p_size % 5 <> 1 THEN '/tag/' || w1 || '-' || w2 || '/'
+       WHEN idx = 2 THEN '/p/USER-' || b || '/'
+       WHEN idx = 7 THEN '/tag/' || w1 || '-' || w2 || '/'
+       WHEN idx = 8 THEN '/tag/' || w2 || '/' ELSE '' END AS links,
+  idx = 0 AS blocking
+FROM acts JOIN p USING (k)
+""")
 def item_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section items with lazy ``@...@`` literals, links and blocking flag."""
     parsed = q_rules._parsed(spark, sf_dir)
