@@ -115,7 +115,68 @@ def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      html.contains("Object Rule").alias("has_object"))
 
 
-@query("section_clip")
+_CLIP_SQL = """
+WITH p AS (
+  SELECT p_partkey AS k, p_name, p_brand, p_type, p_size,
+         split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2,
+         lower(replace(p_brand, '#', '')) AS b
+  FROM part WHERE p_size <> 48),
+c AS (
+  SELECT k, pos, CASE idx
+    WHEN 0 THEN 'Repository is any of r' || upper(w1) || ' ' || w1 || ', r' || upper(w2) || ' ' || w2
+    WHEN 1 THEN 'Repository is not any of r' || upper(w1) || ' ' || w1
+    WHEN 2 THEN 'Repository projects include all of ' || w1 || '-' || w2
+    WHEN 3 THEN 'Revision status is not any of Closed, Abandoned'
+    WHEN 4 THEN 'Revision status is any of Accepted, Needs Review'
+    WHEN 5 THEN 'Affected files matches regexp @^/' || w1 || '/(a|b)@'
+    WHEN 6 THEN 'Affected files does not match regexp @^/?' || w2 || '/@'
+    WHEN 7 THEN 'Affected files contains /' || w1 || '/' || w2 || '/'
+    WHEN 8 THEN 'Affected files does not contain ' || w2 || '.txt'
+    WHEN 9 THEN 'Changed file content does not contain TODO ' || w1
+    WHEN 10 THEN 'Changed file content contains FIXME ' || w2
+    WHEN 11 THEN 'Reviewers exists' WHEN 12 THEN 'Reviewers does not exist'
+    WHEN 13 THEN 'Reviewers include none of USER-' || b || ', ' || w1 || '-' || w2
+    WHEN 14 THEN 'Reviewers include any of USER-' || b || ', ' || w1 || '-' || w2
+    WHEN 15 THEN 'Reviewers include all of USER-' || b || ', ' || w1 || '-' || w2
+    WHEN 16 THEN 'Author is any of USER-' || b WHEN 17 THEN 'Author is not any of USER-' || b
+    WHEN 18 THEN 'Author''s projects include none of ' || w1 || '-' || w2
+    WHEN 19 THEN 'Project tags include any of ' || w1 || '-' || w2 || ', ' || b || '-team'
+    WHEN 20 THEN 'Project tags include none of ' || w1 || '-' || w2 || ', ' || b || '-team'
+    WHEN 21 THEN 'Project tags include all of ' || w1 || '-' || w2 || ', ' || b || '-team'
+    WHEN 22 THEN 'Project tags added include any of ' || w1 || '-' || w2 || ', ' || b || '-team'
+    WHEN 23 THEN 'Project tags added include all of ' || w1 || '-' || w2 || ', ' || b || '-team'
+    WHEN 24 THEN 'Revision title contains  [' || w1 || '] '
+    WHEN 25 THEN 'Is newly created is ' || CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END
+    WHEN 26 THEN 'Another Herald rule matches: H' || (k + 1) || ' ' || w2 || ' rule'
+    ELSE 'Revision title matches regexp @' || w1 || '@' END AS t
+  FROM (SELECT p.*, kk AS pos, (k + 7 * kk) % 28 AS idx FROM p, range(0, p_size % 3 + 1) r(kk)) x),
+a AS (
+  SELECT k, pos, CASE
+    WHEN idx = 0 AND p_size % 5 = 0 THEN 'Add blocking reviewers: Restricted Project .'
+    WHEN idx = 0 THEN 'Add blocking reviewers: ' || b || '-reviewers, USER-' || w1 || '.'
+    WHEN idx = 1 AND p_size % 5 = 1 THEN 'Add reviewers: ' || w1 || '@example.com, ' || w2 || ' .'
+    WHEN idx = 1 THEN 'Add reviewers: ' || w1 || '-' || w2 || '.'
+    WHEN idx = 2 THEN 'Add subscribers: USER-' || b
+    WHEN idx = 3 THEN 'Add rule author as subscriber' WHEN idx = 4 THEN 'Send an email to rule author'
+    WHEN idx = 5 THEN 'Do nothing.' WHEN idx = 6 THEN 'Require mail content to be secure'
+    WHEN idx = 7 THEN 'Add projects: ' || w1 || '-' || w2 || '.'
+    WHEN idx = 8 THEN 'Remove projects: ' || w2 || '.'
+    WHEN idx = 9 THEN 'Run build plans: Plan ' || p_size || ' Update ' || w1
+    WHEN idx = 10 THEN 'Add comment: Please check ' || w1 || ' & ' || w2 || '.'
+    ELSE 'Flag with color blue.' END AS t
+  FROM (SELECT p.*, kk AS pos, (k + 5 * kk) % 12 AS idx FROM p, range(0, k % 3 + 1) r(kk)) x),
+ct AS (SELECT k, string_agg(t, '' ORDER BY pos) AS t FROM c GROUP BY k),
+atx AS (SELECT k, string_agg(t, '' ORDER BY pos) AS t FROM a GROUP BY k)
+SELECT 'https://review.example.com/H' || k AS url,
+  CASE WHEN p_type <> 'MEDIUM' THEN substr('When all of these conditions are met:' || ct.t, 1, 800) END AS conditions,
+  CASE WHEN p_type <> 'MEDIUM' THEN substr('Take these actions every time this rule matches:' || atx.t ||
+    CASE WHEN p_size % 6 <> 0 THEN 'USER-' || b || ' created this object.USER-editor edited this object.'
+         ELSE 'USER-' || b || ' edited this object.' END, 1, 500) END AS actions
+FROM p JOIN ct USING (k) JOIN atx USING (k)
+"""
+
+
+@query("section_clip", sql=_CLIP_SQL)
 def section_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N8 on the rendered rule pages (checked by unit test on a saved page)."""
     pages = q_rules.rendered_rule_pages(spark, sf_dir)
