@@ -14,6 +14,6 @@ from rulelake.plans import (  # noqa: F401
 )
 from rulelake.plans.registry import all_queries, all_sql
 
-FLAGSHIP = "rule_reviewers"
+FLAGSHIP = "rule_groups"
 
 __all__ = ["FLAGSHIP", "all_queries", "all_sql"]

@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulelake.plans import q_projects, q_rules, render  # noqa: F401  (q_projects registers the oracle)
+from rulelake.plans import q_projects, q_rules  # noqa: F401  (q_projects registers the oracle)
 from rulelake.plans.registry import all_sql, query
 from rulelake.plans.stage import _DIGEST, staged
 from rulelake.session import read_table, shared_path
