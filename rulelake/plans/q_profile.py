@@ -220,3 +220,41 @@ SELECT count(*) AS n_ids, 'H' || min(p_partkey) AS first_id, 'H' || max(p_partke
 """)
 def id_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.id_range(q_rules._listed(spark, sf_dir).select("rule_id"))
+
+
+def _decode_sql(x: str) -> str:
+    """The fixed named-entity decoding in SQL (numeric references do not occur
+    in these pages); ``&amp;`` last, as in the Spark function."""
+    from rulelake.functions.html import NAMED_ENTITIES
+
+    out = x
+    for ent, ch in NAMED_ENTITIES:
+        out = f"replace({out}, '{ent}', '{ch}')" if ch != "'" else f"replace({out}, '{ent}', '''')"
+    return f"replace({out}, '&amp;', '&')"
+
+
+@query("page_titles", sql=f"""
+SELECT page_id, CASE WHEN regexp_matches(html, '(?i)<title\\b') THEN
+  regexp_replace({_decode_sql("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)")},
+                 '^\\s+|\\s+$', '', 'g') END AS title
+FROM pages
+""")
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 + X22 on the real page table: the decoded, stripped page title."""
+    from rulelake.operators.extract import page_title
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return pages.select("page_id", page_title(F.col("html")).alias("title"))
+
+
+@query("page_links", sql=f"""
+SELECT page_id, CAST(pos AS INTEGER) AS pos, {_decode_sql("href")} AS href FROM (
+  SELECT page_id, generate_subscripts(h, 1) - 1 AS pos, unnest(h) AS href
+  FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS h FROM pages) x) y
+""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 generalised on the real page table: every anchor href, decoded, in page order."""
+    from rulelake.functions.html import hrefs
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return explode_rows(pages.select("page_id", hrefs(F.col("html")).alias("_h")), ["page_id"], "_h", "pos", "href")
