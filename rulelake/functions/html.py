@@ -12,23 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named HTML entities decoded natively (``&amp;`` is applied
-# last so that an escaped entity such as ``&amp;lt;`` stays literal text).
-NAMED_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&hellip;", "…"),
-    ("&mdash;", "—"),
-    ("&ndash;", "–"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-]
+# Named character references: the HTML 4 table of the standard library
+# (generated, not listed) plus ``apos``.
+def _entity_map_sql() -> str:
+    from html.entities import name2codepoint
+
+    table = dict(name2codepoint)
+    table["apos"] = ord("'")
+    parts = []
+    for name, cp in sorted(table.items()):
+        ch = chr(cp).replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"'{name}', '{ch}'")
+    return "map(" + ", ".join(parts) + ")"
+
+
+_ENTITY_MAP_SQL = _entity_map_sql()
+NAMED_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
+                  ("&middot;", "\u00b7"), ("&copy;", "\u00a9")]  # the ones the oracles spell out
 
 # Python's str.strip() / str.split() treat Unicode white space as space;
 # Java regex needs the UNICODE_CHARACTER_CLASS flag ``(?U)`` for the same.
@@ -58,36 +58,34 @@ def _code_point_text(cp_hex8: Column) -> Column:
     return F.decode(F.unhex(cp_hex8), "UTF-32")
 
 
-def _decode_numeric(c: Column) -> Column:
-    """Decode ``&#NNN;`` and ``&#xHH;`` character references natively."""
-    segs = F.split(c, "&#")
+def decode_entities(c) -> Column:
+    """Decode character references in one left-to-right pass.
+
+    The text is split at ``&``; a piece that starts with ``name;`` (a known
+    name), ``#digits;`` or ``#xhex;`` is replaced by its character, any
+    other piece keeps its ``&``. One pass means ``&amp;lt;`` stays ``&lt;``
+    as in an HTML parser. Rows without ``&`` skip the work.
+    """
+    text = _col(c)
+    names = F.expr(_ENTITY_MAP_SQL)
+    segs = F.split(text, "&")
 
     def one(seg: Column) -> Column:
-        dec = F.regexp_extract(seg, "^([0-9]{1,7});", 1)
-        hx = F.regexp_extract(seg, "^[xX]([0-9a-fA-F]{1,6});", 1)
+        name = F.regexp_extract(seg, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        named = F.try_element_at(names, name)
+        dec = F.regexp_extract(seg, "^#([0-9]{1,7});", 1)
+        hx = F.regexp_extract(seg, "^#[xX]([0-9a-fA-F]{1,6});", 1)
         dec_hex = F.lpad(F.hex(dec.try_cast("bigint")), 8, "0")
-        return (
-            F.when(dec != "", F.concat(_code_point_text(dec_hex),
-                                       F.regexp_replace(seg, "^[0-9]{1,7};", "")))
-            .when(hx != "", F.concat(_code_point_text(F.lpad(hx, 8, "0")),
-                                     F.regexp_replace(seg, "^[xX][0-9a-fA-F]{1,6};", "")))
-            .otherwise(F.concat(F.lit("&#"), seg))
-        )
+        return (F.when((name != "") & named.isNotNull(),
+                       F.concat(named, F.regexp_replace(seg, "^[A-Za-z][A-Za-z0-9]*;", "")))
+                .when(dec != "", F.concat(_code_point_text(dec_hex), F.regexp_replace(seg, "^#[0-9]{1,7};", "")))
+                .when(hx != "", F.concat(_code_point_text(F.lpad(hx, 8, "0")),
+                                         F.regexp_replace(seg, "^#[xX][0-9a-fA-F]{1,6};", "")))
+                .otherwise(F.concat(F.lit("&"), seg)))
 
     rest = F.transform(F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(1))), one)
-    joined = F.array_join(
-        F.concat(F.array(at(segs, 1)),
-                 F.when(F.size(segs) > 1, rest).otherwise(F.array().cast("array<string>"))),
-        "")
-    return F.when(c.contains("&#"), joined).otherwise(c)
-
-
-def decode_entities(c) -> Column:
-    """Decode HTML entities in text or attribute values."""
-    out = _decode_numeric(_col(c))
-    for ent, ch in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    joined = F.array_join(F.concat(F.array(at(segs, 1)), rest), "")
+    return F.when(text.contains("&"), joined).otherwise(text)
 
 
 _SEP = "\u0001"

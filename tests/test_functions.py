@@ -67,3 +67,9 @@ def test_handles(spark):
             '<a href="/tag/t/" class="phui-handle">t</a>, <a href="/p/u/" class="phui-handle phui-link-person">u</a>')
     hs = one(spark, H.handles(F.col("v")), frag)
     assert [(h["name"], h["is_group"]) for h in hs] == [("x-repo", None), ("t", True), ("u", False)]
+
+
+def test_entities_single_pass(spark):
+    d = H.decode_entities(F.col("v"))
+    assert one(spark, d, "&eacute;t&eacute; &amp;lt; &#38;lt; &#x41;&nbsp;&unknown; & x") == \
+        "été &lt; &lt; A &unknown; & x"
