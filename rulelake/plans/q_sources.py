@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,7 +138,7 @@ def username_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the staged folder is Parquet; the list reader takes text, so write the lines once as text
     text_dir = path + "-txt"
     try:
-        spark.read.text(text_dir).limit(1).collect()
-    except Exception:  # noqa: BLE001 - first use: write the text copy
+        spark.read.text(f"{text_dir}/_SUCCESS")  # written and committed before
+    except AnalysisException:
         listing.write.mode("overwrite").text(text_dir)
     return read_username_list(spark, text_dir).select("name")
