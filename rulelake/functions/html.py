@@ -27,6 +27,14 @@ def _entity_map_sql() -> str:
 
 
 _ENTITY_MAP_SQL = _entity_map_sql()
+_ENTITY_MAP: list[Column] = []
+
+
+def _entity_map() -> Column:
+    """The name table as one map expression, built once and reused."""
+    if not _ENTITY_MAP:
+        _ENTITY_MAP.append(F.expr(_ENTITY_MAP_SQL))
+    return _ENTITY_MAP[0]
 NAMED_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
                   ("&middot;", "\u00b7"), ("&copy;", "\u00a9")]  # the ones the oracles spell out
 
@@ -67,7 +75,7 @@ def decode_entities(c) -> Column:
     as in an HTML parser. Rows without ``&`` skip the work.
     """
     text = _col(c)
-    names = F.expr(_ENTITY_MAP_SQL)
+    names = _entity_map()
     segs = F.split(text, "&")
 
     def one(seg: Column) -> Column:
