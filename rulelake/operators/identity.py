@@ -339,6 +339,7 @@ def run_metadata(merged_rules: DataFrame, groups: DataFrame, resolution: DataFra
              F.lit((not hit_max_users) and directory).alias("github_complete"))
 
 
+# The directory's profile-response field names.
 IDENTITY_RESPONSE_SCHEMA = (
     "struct<data: struct<profile: struct<primaryUsername: struct<value: string>, "
     "identities: struct<githubIdV3: struct<value: string>, bugzillaMozillaOrgId: struct<value: string>>>>, "

@@ -227,14 +227,18 @@ def is_safe(v: Column) -> Column:
     return F.exists(safe, lambda s: v.contains(s))
 
 
+# Link-text prefixes the leftover scan ignores.
+LEFTOVER_IGNORED_PREFIXES = ["H", "PHID-", "rMOZILLA", "rFIREFOX"]
+
+
 def leftover_html_names(html: Column) -> Column:
     """Possible usernames left in a page."""
     hrefs = F.filter(F.regexp_extract_all(html, F.lit('href="/p/([^/"]+)/"?'), 1),
                      lambda x: ~is_old_anonymized(x) & ~is_safe(x))
     texts = F.filter(F.regexp_extract_all(html, F.lit(">([a-zA-Z][a-zA-Z0-9_-]{2,30})</a>"), 1),
                      lambda x: ~((F.upper(x) == x) & (F.lower(x) != x)) & ~is_old_anonymized(x) & ~is_safe(x)
-                     & ~(x.startswith("H") | x.startswith("PHID-") | x.startswith("rMOZILLA")
-                         | x.startswith("rFIREFOX")))
+                     & ~F.exists(F.array(*[F.lit(p) for p in LEFTOVER_IGNORED_PREFIXES]),
+                                 lambda p: x.startswith(p)))
     return F.array_distinct(F.concat(hrefs, texts))
 
 
