@@ -306,9 +306,11 @@ def _batch(spark, sf_dir, force: bool) -> DataFrame:
     users = I.lookup_names(t["refs"])
     none = t["overrides"].limit(0)
     empty_prev = t["prev_unresolved"].limit(0)
-    # directory results for every name, without overrides or caches
-    d = I.resolve_users(users, t["user_records"], t["accounts"], t["profiles"], t["search"], t["gh_names"],
-                        none, none, empty_prev)
+    # directory results for every name, without overrides or caches; written
+    # once and shared by the forced and the normal run
+    d = staged(spark, sf_dir, "dir_results_plain", lambda: I.resolve_users(
+        users, t["user_records"], t["accounts"], t["profiles"], t["search"], t["gh_names"],
+        none, none, empty_prev))
     return I.batch_resolve(users, t["cached"], t["prev_unresolved"], d, force=force)
 
 
