@@ -35,6 +35,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_and(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """The columns packed in ``row`` with ``value`` as the column ``name`` (in
+    place of one of that name). Two steps, so that columns of the row never
+    stand in for those that ``value`` reads, whatever their names."""
+    out = df.select("row", value.alias("_value"))
+    fields = [c for c in df.schema["row"].dataType.names if c != name]
+    return out.select(*[F.col("row").getField(c).alias(c) for c in fields], F.col("_value").alias(name))
+
+
 def word_size(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` runs in a text, 0 for null: every
     run becomes one letter, every gap nothing, and the letters are counted."""

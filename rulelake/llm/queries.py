@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from rulelake.llm.common import QueryFn
+from rulelake.llm.langid import op5_language_id
+from rulelake.llm.lines import op9_line_dedup
 from rulelake.llm.minhash import op4_minhash_dedup
+from rulelake.llm.mixing import OP1_SQL, op1_mixing
+from rulelake.llm.packing import op6_packing
 
 
 def queries() -> dict[str, QueryFn]:
     return {
+        "op1_mixing": op1_mixing,
         "op4_minhash_dedup": op4_minhash_dedup,
+        "op5_language_id": op5_language_id,
+        "op6_packing": op6_packing,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": OP1_SQL.strip()}
