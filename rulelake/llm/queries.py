@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rulelake.llm.common import QueryFn
+from rulelake.llm.dac import op3_token_files
 from rulelake.llm.langid import op5_language_id
 from rulelake.llm.lines import op9_line_dedup
 from rulelake.llm.minhash import op4_minhash_dedup
@@ -13,6 +14,7 @@ from rulelake.llm.packing import op6_packing
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_mixing": op1_mixing,
+        "op3_token_files": op3_token_files,
         "op4_minhash_dedup": op4_minhash_dedup,
         "op5_language_id": op5_language_id,
         "op6_packing": op6_packing,
