@@ -6,6 +6,7 @@ from rulelake.llm.common import QueryFn
 from rulelake.llm.dac import op3_token_files
 from rulelake.llm.langid import op5_language_id
 from rulelake.llm.lines import op9_line_dedup
+from rulelake.llm.lmscore import op8_lm_scoring
 from rulelake.llm.minhash import op4_minhash_dedup
 from rulelake.llm.mixing import OP1_SQL, op1_mixing
 from rulelake.llm.packing import op6_packing
@@ -18,6 +19,7 @@ def queries() -> dict[str, QueryFn]:
         "op4_minhash_dedup": op4_minhash_dedup,
         "op5_language_id": op5_language_id,
         "op6_packing": op6_packing,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
     }
 
