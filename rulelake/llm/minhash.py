@@ -13,8 +13,8 @@ blocks, and only pairs whose sketches overlap enough leave the task.
 
 What the sketch can miss: two sets of similarity 0.75 share each value of the
 union's sketch with probability 0.75. They meet in a list when two neighbours
-among the ``index_depth`` smallest union values are shared; with 32 values the
-chance that this fails is below 1e-7, and sets of up to 32 values cannot fail.
+among the ``index_depth`` smallest union values are shared; with 24 values the
+chance that this fails is 3e-6, and unions of up to 24 values cannot fail.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelake.llm.common import (
-    block_grid,
     connected_components,
     list_array,
     lower_ascii,
@@ -42,11 +41,11 @@ from rulelake.llm.common import (
 
 SHINGLE_WORDS = 5
 SKETCH = 64
-INDEX_DEPTH = 32
+INDEX_DEPTH = 24
 BLOCK = 512
-#: Pairs whose estimate falls below this go: 0.75 less 4.6 standard deviations
+#: Pairs whose estimate falls below this go: 0.75 less 4.2 standard deviations
 #: of a 64-value union sketch (0.054).
-LEAST_ESTIMATE = 0.5
+LEAST_ESTIMATE = 0.52
 LINK_PERCENT = 75
 
 _SKETCH_TYPE = "doc_id long, n_shingles long, d1 long, d2 long, sketch array<long>"
@@ -114,11 +113,12 @@ def _full_sets(batches):
                 ], names=["doc_id", "vals"])
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame, size: int, least: float) -> DataFrame:
-    """Keep the pairs whose union sketch says the sets may be similar enough."""
-    a = reps.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa"))
-    b = reps.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b")
+def _estimated(pairs: DataFrame, reps: DataFrame, size: int, least: float, percent: int) -> DataFrame:
+    """Keep the pairs whose set sizes allow the similarity and whose union
+    sketch says the sets may be similar enough."""
+    a = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
+    b = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
+    both = pairs.join(a, "a").join(b, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     union = both.withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, size))
     shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), "u"))
     return union.where(shared >= F.lit(least) * F.size("u")).select("a", "b")
@@ -133,43 +133,92 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("x") >= percent * union).select("a", "b").distinct()
 
 
-def _cross_pairs(size: int, least: float):
-    """Pairs of one grid cell from different components whose sketches share
-    enough values; counts shared values by a product of incidence rows."""
+def _runs_of(sketch: np.ndarray, depth: int) -> np.ndarray:
+    """Codes of neighbouring sketch values, in order, padded to ``depth``."""
+    head = np.asarray(sketch[:depth]).astype(np.uint64)
+    out = np.zeros(depth, np.uint64)
+    out[:max(0, len(head) - 1)] = mix64(head[:-1]) * np.uint64(3) + mix64(head[1:] + np.uint64(1))
+    return out
+
+
+def _cross_pairs(size: int, depth: int, least: float, percent: int):
+    """Pairs of one grid cell from different components whose sizes and
+    sketches allow the similarity; shared values are counted by a product of
+    incidence rows."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         gi, gj = int(pdf["gi"].iloc[0]), int(pdf["gj"].iloc[0])
         pdf = pdf.sort_values("doc_id", kind="stable").reset_index(drop=True)
-        lens = pdf["sketch"].map(len).to_numpy()
-        vals = np.concatenate(pdf["sketch"].to_list())
-        _, inv, cnt = np.unique(vals, return_inverse=True, return_counts=True)
-        col = np.cumsum(cnt > 1) - 1
-        row = np.repeat(np.arange(len(pdf)), lens)
+        ids, comp, blk = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy(), pdf["blk"].to_numpy()
+        n, major = pdf["n_shingles"].to_numpy(), pdf["major"].to_numpy().astype(bool)
+        ok = (comp[:, None] != comp[None, :]) & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
+        if major.any():
+            ok &= major[:, None] != major[None, :]
+        elif gi != gj:
+            ok &= blk[:, None] != blk[None, :]
+        ok = np.triu(ok, 1)
+        use = ok.any(0) | ok.any(1)
+        if not use.any():
+            return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+        pdf, ids, n, ok = pdf[use], ids[use], n[use], ok[np.ix_(use, use)]
+        sketches = pdf["sketch"].to_list()
+        lens = np.array([len(x) for x in sketches])
+        _, inv, cnt = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
         often = cnt[inv] > 1
-        row, at = row[often], col[inv[often]]
-        ids, comp = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
-        blk, n = pdf["blk"].to_numpy(), pdf["n_shingles"].to_numpy()
-        shared = np.zeros((len(pdf), len(pdf)), np.float32)
-        width = 4096
+        row, at = np.repeat(np.arange(len(ids)), lens)[often], (np.cumsum(cnt > 1) - 1)[inv[often]]
         order = np.argsort(at, kind="stable")
         row, at = row[order], at[order]
+        shared, width = np.zeros((len(ids), len(ids)), np.float32), 4096
         for lo in range(0, int(at[-1]) + 1 if len(at) else 0, width):
             i, j = np.searchsorted(at, [lo, lo + width])
-            part = np.zeros((len(pdf), width), np.float32)
+            part = np.zeros((len(ids), min(width, int(at[-1]) + 1 - lo)), np.float32)
             part[row[i:j], at[i:j] - lo] = 1
             shared += part @ part.T
         need = least * np.minimum(size, np.maximum(n[:, None], n[None, :]))
-        ok = (shared >= need) & (comp[:, None] != comp[None, :])
-        if gi != gj:
-            ok &= blk[:, None] != blk[None, :]
-        else:
-            ok &= (blk[:, None] == gi) & (blk[None, :] == gi)
-        i, j = np.nonzero(np.triu(ok, 1))
-        return pd.DataFrame({"a": ids[i], "b": ids[j]})
+        i, j = np.nonzero(ok & (shared >= need))
+        # the first list that holds both: no earlier run of values in common
+        with np.errstate(over="ignore"):
+            code = np.array([_runs_of(x, depth) for x in sketches])
+        place = pdf["pos"].to_numpy()
+        before = np.where(np.arange(depth) < place[:, None], code, 0)
+        first = np.ones(len(i), bool)
+        for lo in range(0, len(i), 4096):
+            x, y = before[i[lo:lo + 4096]], before[j[lo:lo + 4096]]
+            first[lo:lo + 4096] = ~((x[:, :, None] == y[:, None, :]) & (x != 0)[:, :, None]).any((1, 2))
+        return pd.DataFrame({"a": ids[i[first]], "b": ids[j[first]]})
 
     return run
 
 
+def _cells(named: DataFrame, block: int) -> DataFrame:
+    """Deal the members of every list with several components over cells so
+    that members of different components meet in exactly one cell.
+
+    The largest component of a list meets the others only: its blocks are
+    paired with theirs, and the others' blocks among themselves. No cell
+    holds more than about two blocks."""
+    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    lists = per.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"),
+                                   F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    lists = lists.select("key", F.col("top.comp").alias("top"), F.ceil(F.col("top.n") / block).cast("int").alias("mg"),
+                         F.ceil((F.col("total") - F.col("top.n")) / block).cast("int").alias("mo"))
+    rows = named.join(lists, "key").withColumn("major", F.col("comp") == F.col("top"))
+    rows = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.when(
+        F.col("major"), F.col("mg")).otherwise(F.col("mo"))).cast("int"))
+
+    def up_to(n):
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    def cell(i, j):
+        return F.struct(F.least(i, j).alias("gi"), F.greatest(i, j).alias("gj"))
+
+    rows = rows.withColumn("cell", F.explode(F.when(
+        F.col("major"), F.transform(up_to("mo"), lambda i: cell(i, F.col("mo") + F.col("blk")))).otherwise(F.concat(
+            F.transform(up_to("mg"), lambda j: cell(F.col("blk"), F.col("mo") + j)),
+            F.transform(up_to("mo"), lambda j: cell(F.col("blk"), j))))))
+    return rows.select("key", "pos", "doc_id", "comp", "major", "blk", "cell.gi", "cell.gj")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     sketch: int = SKETCH, index_depth: int = INDEX_DEPTH, block: int = BLOCK,
                     least_estimate: float = LEAST_ESTIMATE, percent: int = LINK_PERCENT) -> DataFrame:
@@ -192,28 +241,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "doc_id", "n_shingles", "d1", "sketch").dropDuplicates(["doc_id", "n_shingles", "d1"]), "mh_reps")
 
     head = F.slice("sketch", 1, index_depth)
-    keyed = reps.where(F.size("sketch") > 1).select("doc_id", "n_shingles", F.explode(F.zip_with(
+    keyed = reps.where(F.size("sketch") > 1).select("doc_id", F.posexplode(F.zip_with(
         F.slice(head, 1, F.size(head) - 1), F.slice(head, 2, F.size(head) - 1),
-        lambda x, y: F.xxhash64(x, y))).alias("key"))
+        lambda x, y: F.xxhash64(x, y))).alias("pos", "key"))
     lists = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("pivot"),
                                      F.max("doc_id").alias("top")).where("n > 1 and pivot < top")
     posts = written(keyed.join(lists.select("key", "pivot"), "key"), "mh_posts")
 
     star = posts.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
-    first = written(_estimated(star, reps, sketch, least_estimate), "mh_cand1")
+    first = written(_estimated(star, reps, sketch, least_estimate, percent), "mh_cand1")
     links = _exact_links(first, texts, percent)
     comps = connected_components(links, "a", "b")
 
-    named = posts.select("key", "doc_id").join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-        "comp", F.coalesce("component_id", "doc_id")).drop("component_id")
-    named = written(named, "mh_named")
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_lists = named.join(mixed, "key").distinct()
-    with_sketch = block_grid(open_lists, ["key"], F.col("doc_id"), block).join(
-        reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    second = with_sketch.groupBy("key", "gi", "gj").applyInPandas(
-        _cross_pairs(sketch, least_estimate), "a long, b long").distinct()
-    second = written(_estimated(second, reps, sketch, least_estimate), "mh_cand2")
+    named = posts.select("key", "pos", "doc_id").join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "key", "pos", "doc_id", F.coalesce("component_id", "doc_id").alias("comp"))
+    cells = _cells(named, block).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    second = cells.groupBy("key", "gi", "gj").applyInPandas(
+        _cross_pairs(sketch, index_depth, least_estimate, percent), "a long, b long").distinct()
+    second = written(_estimated(second, reps, sketch, least_estimate, percent), "mh_cand2")
     more = _exact_links(second, texts, percent)
 
     edges = links.unionByName(more).unionByName(copies)

@@ -10,6 +10,7 @@ from rulelake.llm.lmscore import op8_lm_scoring
 from rulelake.llm.minhash import op4_minhash_dedup
 from rulelake.llm.mixing import OP1_SQL, op1_mixing
 from rulelake.llm.packing import op6_packing
+from rulelake.llm.pii import op7_pii
 
 
 def queries() -> dict[str, QueryFn]:
@@ -19,6 +20,7 @@ def queries() -> dict[str, QueryFn]:
         "op4_minhash_dedup": op4_minhash_dedup,
         "op5_language_id": op5_language_id,
         "op6_packing": op6_packing,
+        "op7_pii": op7_pii,
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
     }
