@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from rulelake.llm.ann import op10_ann
 from rulelake.llm.common import QueryFn
 from rulelake.llm.dac import op3_token_files
+from rulelake.llm.embdedup import op2_embedding_dedup
 from rulelake.llm.langid import op5_language_id
 from rulelake.llm.lines import op9_line_dedup
 from rulelake.llm.lmscore import op8_lm_scoring
@@ -16,6 +18,7 @@ from rulelake.llm.pii import op7_pii
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_token_files": op3_token_files,
         "op4_minhash_dedup": op4_minhash_dedup,
         "op5_language_id": op5_language_id,
@@ -23,6 +26,7 @@ def queries() -> dict[str, QueryFn]:
         "op7_pii": op7_pii,
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
+        "op10_ann": op10_ann,
     }
 
 
