@@ -71,7 +71,8 @@ def deduped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     ), "line_chunks")
     again = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     found = chunks.join(again, "h", "left_semi").groupBy("id", "dk").agg(F.collect_set(F.struct("s", "e", "h")).alias("at"))
-    found = written(found, "line_found").withColumnsRenamed({"id": "fid", "dk": "fdk"})
+    # neither these nor the removed chunks have a bound, so they are merged with the texts at every size
+    found = written(found, "line_found").withColumnsRenamed({"id": "fid", "dk": "fdk"}).hint("merge")
 
     # the repeating chunks with their bytes
     own = _fixed(texts.join(found, texts["id"].eqNullSafe(found["fid"]) & (texts["dk"] == found["fdk"])).select(
@@ -84,7 +85,7 @@ def deduped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     first = occ.groupBy("h").agg(F.min("place").alias("first"), F.min_by("bytes", "place").alias("first_bytes"))
     gone = occ.join(first, "h").where((F.col("bytes") == F.col("first_bytes")) & (F.col("place") != F.col("first")))
     gone = gone.groupBy("id", "dk").agg(F.collect_set(F.struct("s", "e")).alias("gone"))
-    gone = written(gone, "line_gone").withColumnsRenamed({"id": "gid", "dk": "gdk"})
+    gone = written(gone, "line_gone").withColumnsRenamed({"id": "gid", "dk": "gdk"}).hint("merge")
 
     rows = docs.select(F.struct(*keep).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("dk"))
