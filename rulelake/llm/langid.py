@@ -97,7 +97,8 @@ def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
     if not langs:
         return LanguageFilters([], np.zeros(1 << SLOT_BITS, np.uint8), np.zeros(0), 0)
     share = F.pmod(F.xxhash64(F.lit(SEED), "id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    taken = rows.join(sizes, "lang").where(share < F.lit(float(fit_docs)) / F.col("docs")).select("lang", "text")
+    rates = F.create_map(*[F.lit(x) for lang in langs for x in (lang, fit_docs / sized[lang])])
+    taken = rows.where(share < F.element_at(rates, F.col("lang"))).select("lang", "text")
     counts = taken.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     often = counts.join(total, "lang").where(F.col("n") * rare >= F.col("total")).select("lang", "gram")
