@@ -61,9 +61,33 @@ def collapse_ws(c) -> Column:
     return py_strip(F.regexp_replace(_col(c), "(?U)\\s+", " "))
 
 
-def _code_point_text(cp_hex8: Column) -> Column:
-    """Character for a code point given as 8 hex digits (UTF-32BE bytes)."""
-    return F.decode(F.unhex(cp_hex8), "UTF-32")
+def _windows_1252() -> list[str]:
+    """What the references 128 to 159 stand for; undefined ones are themselves."""
+    out = []
+    for i in range(128, 160):
+        try:
+            out.append(bytes([i]).decode("cp1252"))
+        except UnicodeDecodeError:
+            out.append(chr(i))
+    return out
+
+
+def _code_point_text(cp: Column) -> Column:
+    """Character of a numeric reference. 0, surrogates and numbers beyond
+    Unicode (NULL stands for those too long to read) become U+FFFD, 128 to
+    159 the Windows-1252 character."""
+    bad = cp.isNull() | (cp <= 0) | ((cp >= 0xD800) & (cp <= 0xDFFF)) | (cp > 0x10FFFF)
+    safe = F.when(bad, F.lit(0xFFFD)).otherwise(cp)
+    western = F.array(*[F.lit(c) for c in _windows_1252()])
+    return F.when((safe >= 128) & (safe <= 159), F.try_element_at(western, (safe - 127).cast("int"))).otherwise(
+        F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32"))
+
+
+def _number(digits: Column, base: int, most: int) -> Column:
+    """A number's value, leading zeros aside; NULL with more than ``most`` digits."""
+    short = F.regexp_replace(digits, "^0+", "")
+    return F.when(short == "", F.lit(0).cast("bigint")).when(
+        F.length(short) <= most, F.conv(short, base, 10).cast("bigint"))
 
 
 def decode_entities(c) -> Column:
@@ -81,14 +105,13 @@ def decode_entities(c) -> Column:
     def one(seg: Column) -> Column:
         name = F.regexp_extract(seg, "^([A-Za-z][A-Za-z0-9]*);", 1)
         named = F.try_element_at(names, name)
-        dec = F.regexp_extract(seg, "^#([0-9]{1,7});", 1)
-        hx = F.regexp_extract(seg, "^#[xX]([0-9a-fA-F]{1,6});", 1)
-        dec_hex = F.lpad(F.hex(dec.try_cast("bigint")), 8, "0")
+        dec = F.regexp_extract(seg, "^#([0-9]+);", 1)
+        hx = F.regexp_extract(seg, "^#[xX]([0-9a-fA-F]+);", 1)
         return (F.when((name != "") & named.isNotNull(),
                        F.concat(named, F.regexp_replace(seg, "^[A-Za-z][A-Za-z0-9]*;", "")))
-                .when(dec != "", F.concat(_code_point_text(dec_hex), F.regexp_replace(seg, "^#[0-9]{1,7};", "")))
-                .when(hx != "", F.concat(_code_point_text(F.lpad(hx, 8, "0")),
-                                         F.regexp_replace(seg, "^#[xX][0-9a-fA-F]{1,6};", "")))
+                .when(dec != "", F.concat(_code_point_text(_number(dec, 10, 9)), F.regexp_replace(seg, "^#[0-9]+;", "")))
+                .when(hx != "", F.concat(_code_point_text(_number(hx, 16, 8)),
+                                         F.regexp_replace(seg, "^#[xX][0-9a-fA-F]+;", "")))
                 .otherwise(F.concat(F.lit("&"), seg)))
 
     rest = F.transform(F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(1))), one)
@@ -129,6 +152,24 @@ def elements(html, tag: str, cls: str | None = None) -> Column:
         _col(html), F.lit(f"(?s)<{tag}\\b{attrs}>.*?</{tag}>"), 0)
 
 
+def inside(rest, tag: str) -> Column:
+    """Markup up to the closing tag of the element whose opening tag stands
+    just before ``rest`` (all of it if the element is not closed).
+
+    The text is cut at the tag's openings and closings and the depth is
+    counted over the pieces, so neither length nor nesting is limited."""
+    segs = F.split(_col(rest), f"(?=</?{tag}\\b)")
+
+    def walk(state: Column, seg: Column) -> Column:
+        opens = seg.rlike(f"^<{tag}\\b").cast("int")
+        closes = seg.rlike(f"^</{tag}\\b").cast("int")
+        depth = F.when(state["depth"] > 0, state["depth"] + opens - closes).otherwise(F.lit(0))
+        return F.struct(depth.alias("depth"), (state["kept"] + (depth > 0).cast("int")).alias("kept"))
+
+    kept = F.aggregate(segs, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")), walk, lambda s: s["kept"])
+    return F.array_join(F.slice(segs, F.lit(1), kept), "")
+
+
 def attr(tag_markup, name: str) -> Column:
     """Decoded value of attribute ``name`` of the first tag; NULL if absent."""
     raw = F.regexp_extract(_col(tag_markup), f'^<[^>]*?\\s{name}="([^"]*)"', 1)
@@ -163,7 +204,3 @@ def handles(fragment) -> Column:
         return F.struct(name.alias("name"), is_group.alias("is_group"))
 
     return F.transform(anchors, to_struct)
-
-
-def handle_names(fragment) -> Column:
-    return F.transform(handles(fragment), lambda h: h["name"])

@@ -18,6 +18,7 @@ from rulelake.functions.html import (
     decode_entities,
     elements,
     handles,
+    inside,
     node_text,
     py_strip,
 )
@@ -47,10 +48,10 @@ def listing_global_rule_ids(html: Column) -> Column:
     """Ids linked from a ``phui-oi-frame`` whose text has "Global Rule",
     in numeric order.
 
-    The page is cut at each frame opening tag; a frame's segment runs to the
-    next frame, which holds the frame's nested markup.
+    The page is cut at each frame opening tag; a frame ends where its
+    element is closed.
     """
-    frames = F.slice(F.split(html, _FRAME_SPLIT), 2, 1 << 30)
+    frames = F.transform(F.slice(F.split(html, _FRAME_SPLIT), 2, 1 << 30), lambda seg: inside(seg, "div"))
     glob = F.filter(frames, lambda seg: node_text(seg, " ").contains("Global Rule"))
     ids = F.flatten(F.transform(
         glob, lambda seg: F.regexp_extract_all(seg, F.lit('<a\\s[^>]*?href="/(H[0-9]+)"'), 1)))
@@ -130,18 +131,11 @@ def rule_author(html: Column) -> Column:
     return F.coalesce(node_text(link, ""), F.lit("unknown"))
 
 
-_SPAN3 = ("<span\\b[^>]*>(?:[^<]|<(?!/?span\\b)|<span\\b[^>]*>(?:[^<]|<(?!/?span\\b)|"
-          "<span\\b[^>]*>[^<]*</span>)*</span>)*</span>")
-
-
 def rule_status(html: Column) -> Column:
     """``disabled`` / ``active`` from the header tag, default ``active``."""
-    sub = F.regexp_extract(
-        html, f"(?s)<div\\b[^>]*{class_token('phui-header-subheader')}[^>]*>(.*?)</div>", 1)
-    tag = F.regexp_extract(
-        sub, f"(?s)<span\\b[^>]*{class_token('phui-tag-view')}[^>]*>(?:[^<]|<(?!/?span\\b)|"
-        f"<span\\b[^>]*>(?:[^<]|<(?!/?span\\b)|<span\\b[^>]*>[^<]*</span>)*</span>)*</span>", 0)
-    text = F.lower(node_text(tag, ""))
+    sub = inside(at(F.split(html, f"<div\\b[^>]*{class_token('phui-header-subheader')}[^>]*>", 2), 2), "div")
+    tag = inside(at(F.split(sub, f"<span\\b[^>]*{class_token('phui-tag-view')}[^>]*>", 2), 2), "span")
+    text = F.lower(node_text(F.coalesce(tag, F.lit("")), ""))
     return (F.when(text.contains("disabled"), F.lit("disabled"))
             .otherwise(F.lit("active")))
 
@@ -179,16 +173,21 @@ def rule_is_global(props: Column) -> Column:
 
 
 _DESC_SPLIT = f"<p\\b[^>]*{class_token('herald-list-description')}[^>]*>"
-# header text up to </p>, then the run of sibling <div> elements after it
-_RUN = "(?s)^.*?</p>((?:\\s*<div\\b[^>]*>[^<]*(?:<(?!/?div\\b)[^<]*)*</div>)*)"
+_ITEM_SPLIT = f"<div\\b[^>]*{class_token('herald-list-item')}[^>]*>"
 
 
 def sections(html: Column) -> Column:
-    """X11 helper: ``array<struct<header, items>>`` for every list header."""
+    """X11 helper: ``array<struct<header, items>>`` for every list header.
+
+    A section runs to the next header or the end of the enclosing element;
+    it is cut at the item tags, so other siblings between items and nested
+    elements inside them do no harm."""
     segs = F.slice(F.split(html, _DESC_SPLIT), 2, 1 << 30)
     return F.transform(segs, lambda s: F.struct(
         node_text(F.regexp_extract(s, "(?s)^(.*?)</p>", 1), "").alias("header"),
-        elements(F.regexp_extract(s, _RUN, 1), "div", "herald-list-item").alias("items")))
+        F.transform(F.slice(F.split(inside(F.regexp_extract(s, "(?s)^.*?</p>(.*)$", 1), "div"), _ITEM_SPLIT), 2, 1 << 30),
+                    lambda i: F.concat(F.lit('<div class="herald-list-item">'), inside(i, "div"), F.lit("</div>")))
+        .alias("items")))
 
 
 def section_items(secs: Column, header_phrase: str) -> Column:

@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulelake.functions.arrays import explode_rows
+from rulelake.functions.html import at
 from rulelake.functions.text import PSEUDONYM_PREFIXES, is_pseudonym, prefix_hash
 
 _OPEN, _CLOSE = "\u0002", "\u0003"
@@ -132,6 +134,9 @@ def rewrite_markdown(md: Column, known_names: Column) -> Column:
 
 # ---- JSON identifiers (A2, A6) ---------------------------------------------
 
+_USER_SEARCH = "struct<result: struct<data: array<struct<fields: struct<username: string, realName: string>>>>>"
+
+
 def json_identifiers(doc: Column) -> Column:
     """A2: array<struct<kind, value>> of identifiers in an API response.
 
@@ -143,13 +148,9 @@ def json_identifiers(doc: Column) -> Column:
         return F.transform(F.filter(arr, lambda x: x.isNotNull() & (x != "") & ~is_pseudonym(x)),
                            lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("value")))
 
-    users = F.from_json(F.get_json_object(doc, "$.result.data[*].fields.username"), "array<string>")
-    users1 = F.get_json_object(doc, "$.result.data[0].fields.username")
-    reals = F.from_json(F.get_json_object(doc, "$.result.data[*].fields.realName"), "array<string>")
-    reals1 = F.get_json_object(doc, "$.result.data[0].fields.realName")
-    # a one-element wildcard result comes back unwrapped
-    users = F.coalesce(users, F.when(users1.isNotNull(), F.array(users1)), F.array().cast("array<string>"))
-    reals = F.coalesce(reals, F.when(reals1.isNotNull(), F.array(reals1)), F.array().cast("array<string>"))
+    fields = F.from_json(doc, _USER_SEARCH)["result"]["data"]["fields"]
+    users = F.coalesce(fields["username"], F.array().cast("array<string>"))
+    reals = F.coalesce(fields["realName"], F.array().cast("array<string>"))
     gid = F.get_json_object(doc, "$.data.profile.identities.githubIdV3.value")
     primary = F.get_json_object(doc, "$.data.profile.primaryUsername.value")
     rest = F.get_json_object(doc, "$.username")
@@ -260,23 +261,32 @@ def suspicious_file_stem(stem: Column) -> Column:
                 | user.startswith("nonexistent")))
 
 
-def severity(findings: DataFrame, mapping: DataFrame, value_col: str = "value") -> DataFrame:
-    """A finding whose value is a mapped real name is an error, else a warning."""
-    m = mapping.select(F.col("real").alias(value_col)).distinct().withColumn("_m", F.lit(True))
-    j = findings.join(m, value_col, "left")
+def severity(findings: DataFrame, mapping: DataFrame, value_col: str = "value", kind_col: str = "kind") -> DataFrame:
+    """A finding whose (kind, value) is mapped is an error, else a warning.
+
+    Findings carry their kind; an id finding written ``github_id:<id>`` is
+    looked up by its id. Distinct values meet the mapping, so a value that
+    many documents share is looked up once."""
+    m = mapping.select(F.col("kind").alias(kind_col), F.col("real").alias("_id")).distinct().withColumn("_m", F.lit(True))
+    known = findings.select(kind_col, value_col).distinct().withColumn(
+        "_id", F.regexp_replace(value_col, "^github_id:", "")).join(m, [kind_col, "_id"]).drop("_id")
+    j = findings.join(known, [kind_col, value_col], "left")
     return j.withColumn("severity", F.when(F.col("_m").isNotNull(), F.lit("error")).otherwise(F.lit("warning"))) \
         .drop("_m")
 
 
-def _rewrite_json_value(doc: Column, key_pattern: str, prefix: str) -> Column:
+def _rewrite_json_value(doc: Column, key_pattern: str, prefix: str, known: Column) -> Column:
     """Replace the string value after ``key_pattern`` (a JSON key path prefix)
-    with its pseudonym, unless it already is one or is empty."""
-    pat = key_pattern + '"((?:[^"\\\\]|\\\\.)*)"'
+    with its pseudonym if it is one of ``known``, the document's identifiers
+    of that kind, so equally named keys elsewhere keep other values."""
+    pat = key_pattern + '"([^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+)"'
 
     def fn(m: Column) -> Column:
-        value = F.regexp_extract(m, pat, 1)
+        raw = F.regexp_extract(m, pat, 1)
+        # the value without its escapes, as the mapping has it
+        value = F.coalesce(at(F.from_json(F.concat(F.lit('["'), raw, F.lit('"]')), "array<string>"), 1), raw)
         head = F.regexp_extract(m, "^(" + key_pattern + '")', 1)
-        return F.when((value != "") & ~is_pseudonym(value),
+        return F.when((value != "") & ~is_pseudonym(value) & F.array_contains(known, value),
                       F.concat(head, prefix_hash(prefix, value), F.lit('"'))).otherwise(m)
 
     return rewrite_matches(doc, pat, fn)
@@ -295,13 +305,19 @@ def rewrite_json(doc: Column) -> Column:
     conduit = F.get_json_object(doc, "$.result.data").isNotNull()
     graphql = F.get_json_object(doc, "$.data.profile").isNotNull()
     rest = F.get_json_object(doc, "$.username").isNotNull() & ~conduit
+    ids = json_identifiers(doc)
+
+    def of(kind: str) -> Column:
+        return F.transform(F.filter(ids, lambda i: i["kind"] == kind), lambda i: i["value"])
+
     out = doc
     out = F.when(conduit, _rewrite_json_value(
-        _rewrite_json_value(out, f'"username"{ws}:{ws}', "USER-"), f'"realName"{ws}:{ws}', "REALNAME-")).otherwise(out)
+        _rewrite_json_value(out, f'"username"{ws}:{ws}', "USER-", of("username")),
+        f'"realName"{ws}:{ws}', "REALNAME-", of("realname"))).otherwise(out)
     out = F.when(graphql, _rewrite_json_value(
-        _rewrite_json_value(out, f'"githubIdV3"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "GHID-"),
-        f'"primaryUsername"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "USER-")).otherwise(out)
-    out = F.when(rest, _rewrite_json_value(out, f'"username"{ws}:{ws}', "GHUSER-")).otherwise(out)
+        _rewrite_json_value(out, f'"githubIdV3"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "GHID-", of("github_id")),
+        f'"primaryUsername"{ws}:{ws}\\{{{ws}"value"{ws}:{ws}', "USER-", of("username"))).otherwise(out)
+    out = F.when(rest, _rewrite_json_value(out, f'"username"{ws}:{ws}', "GHUSER-", of("github_username"))).otherwise(out)
     return out
 
 
@@ -325,19 +341,20 @@ def rename_plan(files: DataFrame, file_col: str = "file", force: bool = False) -
                     status.alias("status"))
 
 
-def names_in_paths(files: DataFrame, mapping: DataFrame, file_col: str = "file", max_len: int = 255) -> DataFrame:
-    """File names that contain a known real username.
+def names_in_paths(files: DataFrame, mapping: DataFrame, file_col: str = "file") -> DataFrame:
+    """File names, of any length, that contain a known real username.
 
-    Every substring of a (short) file name is generated and equi-joined to
-    the mapping's real names: an exact "name occurs in path" test without a
-    cross join of files and names. Output: file, username.
+    Only substrings as long as some mapped name are generated (one window
+    over the path for each distinct length) and equi-joined to the names: an
+    exact "name occurs in path" test without a cross join of files and
+    names. Output: file, username.
     """
     f = files.select(F.col(file_col).alias("file")).distinct()
-    n = F.least(F.length("file"), F.lit(max_len))
-    subs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(i, n), lambda j: F.substr(F.col("file"), i, j - i + 1))))
-    from rulelake.functions.arrays import explode_rows
-
-    pieces = explode_rows(f.select("file", F.array_distinct(subs).alias("_s")), ["file"], "_s", "_p", "username")
-    names = mapping.select(F.col("real").alias("username")).distinct()
+    names = mapping.select(F.col("real").alias("username")).where("username <> ''").distinct()
+    lengths = [r[0] for r in names.select(F.length("username")).distinct().collect()]  # a short list of numbers
+    windows = F.flatten(F.transform(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>"), lambda n: F.when(
+        F.length("file") >= n, F.transform(F.sequence(F.lit(1), F.length("file") - n + 1),
+                                           lambda i: F.substr(F.col("file"), i, n))).otherwise(
+        F.array().cast("array<string>"))))
+    pieces = explode_rows(f.select("file", F.array_distinct(windows).alias("_s")), ["file"], "_s", "_p", "username")
     return pieces.join(names, "username").select("file", "username")

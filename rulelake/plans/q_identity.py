@@ -112,8 +112,8 @@ def directory_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
-    """The directory dumps, written once per input as tables (they are the
-    source data of the resolution, like saved API responses)."""
+    """The directory dumps, written as tables (they are the source data of
+    the resolution, like saved API responses)."""
     names = ["refs", "user_records", "accounts", "profile_docs", "search", "gh_names", "overrides", "cached",
              "prev_unresolved"]
     t = {n: staged(spark, sf_dir, "dir_" + n, lambda n=n: directory_tables(spark, sf_dir)[n]) for n in names}
@@ -306,8 +306,7 @@ def _batch(spark, sf_dir, force: bool) -> DataFrame:
     users = I.lookup_names(t["refs"])
     none = t["overrides"].limit(0)
     empty_prev = t["prev_unresolved"].limit(0)
-    # directory results for every name, without overrides or caches; written
-    # once and shared by the forced and the normal run
+    # directory results for every name, without overrides or caches
     d = staged(spark, sf_dir, "dir_results_plain", lambda: I.resolve_users(
         users, t["user_records"], t["accounts"], t["profiles"], t["search"], t["gh_names"],
         none, none, empty_prev))

@@ -188,14 +188,26 @@ def pii_scan_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("pii_severity", sql=f"""
-WITH f AS (SELECT c_custkey, unnest([{LOGIN}, 'USER-1a2b3c4d', 'ops']) AS value FROM customer),
-m AS (SELECT {LOGIN} AS real FROM customer UNION SELECT 'mk' || c_custkey FROM customer WHERE c_custkey % 4 = 0)
-SELECT c_custkey, value, CASE WHEN value IN (SELECT real FROM m) THEN 'error' ELSE 'warning' END AS severity FROM f
+WITH f AS (SELECT c_custkey, 'username' AS kind, unnest([{LOGIN}, 'USER-1a2b3c4d', 'ops']) AS value FROM customer
+  UNION ALL SELECT c_custkey, 'github_id', 'github_id:' || (c_custkey + 200000) FROM customer
+  UNION ALL SELECT c_custkey, 'github_username', 'gh-' || {LOGIN} FROM customer),
+m AS (SELECT 'username' AS kind, {LOGIN} AS real FROM customer
+  UNION SELECT 'username', 'mk' || c_custkey FROM customer WHERE c_custkey % 4 = 0
+  UNION SELECT 'github_id', CAST(c_custkey + 200000 AS VARCHAR) FROM customer
+  UNION SELECT 'github_username', 'gh-' || {LOGIN} FROM customer)
+SELECT f.c_custkey, f.kind, f.value, CASE WHEN m.real IS NOT NULL THEN 'error' ELSE 'warning' END AS severity
+FROM f LEFT JOIN m ON m.kind = f.kind AND m.real = replace(f.value, 'github_id:', '')
 """)
 def pii_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    findings = pii_scan_html(spark, sf_dir)
-    mapping = pseudonym_map(spark, sf_dir)
-    return A.severity(findings, mapping)
+    """A15 over the findings of pages (names) and API responses (ids)."""
+    html = pii_scan_html(spark, sf_dir).withColumn("kind", F.lit("username"))
+    docs = render.people_json(_cust(spark, sf_dir))
+    ids = explode_rows(docs.select("c_custkey", A.leftover_json_ids(F.col("doc")).alias("v")), ["c_custkey"], "v", "_p", "value")
+    ids = ids.drop("_p").withColumn("kind", F.when(F.col("value").startswith("github_id:"), F.lit("github_id")).otherwise(
+        F.lit("github_username")))
+    pages = pseudonym_map(spark, sf_dir)
+    mapping = pages.select("kind", "real").unionByName(_json_ids(spark, sf_dir).select("kind", F.col("value").alias("real")))
+    return A.severity(html.unionByName(ids), mapping).select("c_custkey", "kind", "value", "severity")
 
 
 @query("pii_json_scan", sql=f"""

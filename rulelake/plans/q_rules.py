@@ -13,8 +13,8 @@ from rulelake.operators import extract as X
 from rulelake.operators import rules as R
 from rulelake.plans import render
 from rulelake.functions.arrays import explode_rows
-from rulelake.plans.registry import query
 from rulelake.plans.stage import staged
+from rulelake.plans.registry import query
 from rulelake.session import read_table
 from rulelake.sources import pages as S
 
@@ -101,7 +101,7 @@ EXISTING_CTE = """
 existing AS (
   SELECT 'H' || k AS rule_id, k AS pos, 'old ' || p_name AS name FROM p WHERE p_size <= 30 AND p_type <> 'SMALL'
   UNION ALL
-  SELECT 'H' || (k + 1000000), k + 1000000, 'retired ' || p_name FROM p WHERE p_size <= 3)"""
+  SELECT 'H' || (k + 1000000000000), k + 1000000000000, 'retired ' || p_name FROM p WHERE p_size <= 3)"""
 
 BASE = "WITH" + P_CTE + "," + COND_CTE + "," + ACT_CTE + "," + OUTCOME_CTE + "," + EXISTING_CTE
 
@@ -112,12 +112,12 @@ def _part(spark, sf_dir) -> DataFrame:
 
 
 def rendered_rule_pages(spark, sf_dir) -> DataFrame:
-    """The rule pages rendered from ``part``, written once as the page dump."""
+    """The rule pages rendered from ``part``, written as a page dump."""
     return staged(spark, sf_dir, "rendered_rule_pages", lambda: render.rule_page(_part(spark, sf_dir)))
 
 
 def rendered_listing_pages(spark, sf_dir) -> DataFrame:
-    """The listing pages rendered from ``part``, written once as the page dump."""
+    """The listing pages rendered from ``part``, written as a page dump."""
     return staged(spark, sf_dir, "rendered_listing_pages", lambda: render.listing_pages(_part(spark, sf_dir)))
 
 
@@ -128,9 +128,8 @@ def _rule_pages(spark, sf_dir) -> DataFrame:
 
 def _parsed(spark, sf_dir) -> DataFrame:
     """Parsed rule pages (header + item markup, both readings of the
-    condition header), written once per input."""
-    return staged(spark, sf_dir, "rule_pages",
-                  lambda: X.parse_rule_pages(_rule_pages(spark, sf_dir), match_any=True))
+    condition header)."""
+    return staged(spark, sf_dir, "rule_pages", lambda: X.parse_rule_pages(_rule_pages(spark, sf_dir), match_any=True))
 
 
 def _conditions(spark, sf_dir) -> DataFrame:
@@ -167,8 +166,8 @@ def _existing(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("H"), F.col("p_partkey").cast("string")).alias("rule_id"),
         F.col("p_partkey").alias("pos"), F.concat(F.lit("old "), F.col("p_name")).alias("name"))
     b = part.where(F.col("p_size") <= 3).select(
-        F.concat(F.lit("H"), (F.col("p_partkey") + 1000000).cast("string")).alias("rule_id"),
-        (F.col("p_partkey") + 1000000).alias("pos"), F.concat(F.lit("retired "), F.col("p_name")).alias("name"))
+        F.concat(F.lit("H"), (F.col("p_partkey") + 1000000000000).cast("string")).alias("rule_id"),
+        (F.col("p_partkey") + 1000000000000).alias("pos"), F.concat(F.lit("retired "), F.col("p_name")).alias("name"))
     return a.unionByName(b)
 
 

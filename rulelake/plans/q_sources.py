@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,23 +121,14 @@ SELECT DISTINCT 'cust' || c_custkey AS name FROM customer
 def username_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A name-list file (padded names, comment and blank lines, repeats)
     written from ``customer`` and read back with the list reader."""
-    from rulelake.plans.stage import staged
+    from rulelake.plans.stage import run_path
     from rulelake.sources.files import read_username_list
 
-    def build() -> DataFrame:
-        cust = read_table(spark, sf_dir, "customer").select("c_custkey")
-        name = F.concat(F.lit("  cust"), F.col("c_custkey").cast("string"), F.lit(" "))
-        lines = F.array(name, F.when(F.col("c_custkey") % 50 == 0, F.lit("# reviewers list")),
-                        F.when(F.col("c_custkey") % 40 == 0, F.lit("   ")),
-                        F.when(F.col("c_custkey") % 3 == 0, name))
-        return cust.select(F.explode(F.array_compact(lines)).alias("value"))
-
-    listing = staged(spark, sf_dir, "username_list_lines", build)
-    path = listing.inputFiles()[0].rsplit("/", 1)[0]
-    # the staged folder is Parquet; the list reader takes text, so write the lines once as text
-    text_dir = path + "-txt"
-    try:
-        spark.read.text(f"{text_dir}/_SUCCESS")  # written and committed before
-    except AnalysisException:
-        listing.write.mode("overwrite").text(text_dir)
-    return read_username_list(spark, text_dir).select("name")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey")
+    name = F.concat(F.lit("  cust"), F.col("c_custkey").cast("string"), F.lit(" "))
+    lines = F.array(name, F.when(F.col("c_custkey") % 50 == 0, F.lit("\t# reviewers list")),
+                    F.when(F.col("c_custkey") % 40 == 0, F.lit(" \t ")),
+                    F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("\t"), name)))
+    path = run_path(spark, "username_list")
+    cust.select(F.explode(F.array_compact(lines)).alias("value")).write.text(path)
+    return read_username_list(spark, path).select("name")

@@ -3,24 +3,16 @@ their results equal the batch forms, so they share those oracles."""
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelake.plans import q_projects, q_rules  # noqa: F401  (q_projects registers the oracle)
 from rulelake.plans.registry import all_sql, query
-from rulelake.plans.stage import _DIGEST, staged
-from rulelake.session import read_table, shared_path
+from rulelake.plans.stage import run_path
+from rulelake.session import read_table
 from rulelake.streaming import streams as T
 
 
-def _base(spark: SparkSession, sf_dir: str, name: str) -> str:
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_DIGEST}".encode()).hexdigest()[:16]
-    return shared_path(spark, "streams", f"{name}-{key}")
-
-
 def _events(df: DataFrame) -> DataFrame:
     return df.select((F.col("event_id") % 20).alias("group_id"),
                      F.concat(F.lit("USER-"), F.col("user_id").cast("string")).alias("member"),
@@ -33,7 +25,7 @@ def membership_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The membership fold as a stateful stream over the event table."""
     schema = read_table(spark, sf_dir, "events").schema.simpleString()[len("struct<"):-1]
     schema = schema.replace(":", " ")
-    return T.run_membership_fold(spark, sf_dir, schema, _events, _base(spark, sf_dir, "membership"),
+    return T.run_membership_fold(spark, sf_dir, schema, _events, run_path(spark, "membership"),
                                  file_glob="events.parquet")
 
 
@@ -45,9 +37,8 @@ def membership_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule pages arrive as files (four drops); each micro-batch is merged
     into the snapshot (R6)."""
-    src = staged(spark, sf_dir, "page_drops",
-                 lambda: q_rules.rendered_rule_pages(spark, sf_dir).repartition(4, "url"))
-    src_path = src.inputFiles()[0].rsplit("/", 1)[0]
-    out = T.run_page_ingest(spark, src_path, q_rules._existing(spark, sf_dir), _base(spark, sf_dir, "ingest"))
+    drops = run_path(spark, "page_drops")
+    q_rules.rendered_rule_pages(spark, sf_dir).repartition(4, "url").write.parquet(drops)
+    out = T.run_page_ingest(spark, drops, q_rules._existing(spark, sf_dir), run_path(spark, "ingest"))
     return out.select("rule_id", "name")
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rulelake.plans.stage import run_scope
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -21,7 +24,13 @@ def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query name {name!r}")
-        _QUERIES[name] = fn
+
+        @wraps(fn)
+        def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with run_scope():
+                return fn(spark, sf_dir)
+
+        _QUERIES[name] = call
         if sql is not None:
             _SQL[name] = sql.strip()
         return fn

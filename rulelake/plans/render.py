@@ -17,13 +17,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a small source table before rendering pages from it.
 
     A small table is one Parquet split, so without this every page would be
-    rendered and parsed by one task. Only the narrow source rows move; on
-    real page dumps the many input splits already give the parallelism.
+    rendered and parsed by one task. Only the narrow source rows move.
     """
-    n = max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2
-    if df.rdd.getNumPartitions() >= n:
-        return df  # enough input splits already: no shuffle
-    return df.repartition(n, key)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2, key)
 
 
 def brand_no(c: str = "p_brand") -> Column:

@@ -1,52 +1,48 @@
-"""Extraction outputs written once as tables, then read by every report.
+"""Outputs a query writes before it goes on, as a production job would.
 
-Parsing pages is the costly step; the reports (outcome, merge, coverage,
-paths, ...) only need its rows. As in a production job, the extraction
-result is written as Parquet under the shared ``spark.checkpoint.dir``
-(never a machine-local folder on a cluster) and read back: the written
-table cuts the lineage, survives executor loss, and every later query
-plans against a plain scan instead of re-deriving the pages.
+Parsing pages is the costly step and its plan is large, so its result is
+written below the shared ``spark.checkpoint.dir`` and read back: the written
+table cuts the lineage, survives executor loss, and the reports after it plan
+against a plain scan.
 
-The folder name carries the input folder and a digest of this package's
-source, so a changed extractor never reads a stale table.
+Nothing outlives the query: each call of a registered query has a scope of its
+own, tables go to folders of their own, and a later call always reads its
+inputs anew.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rulelake.session import shared_path
 
-_PKG = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_scope: dict[tuple[str, str], DataFrame] = {}
 
 
-def _code_digest() -> str:
-    h = hashlib.sha1()
-    for root, _, files in sorted(os.walk(_PKG)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(root, f), "rb") as fh:
-                    h.update(fh.read())
-    return h.hexdigest()[:12]
+@contextmanager
+def run_scope() -> Iterator[None]:
+    """One call of a query: what it has written is reused within it only."""
+    _scope.clear()
+    try:
+        yield
+    finally:
+        _scope.clear()
 
 
-_DIGEST = _code_digest()
+def run_path(spark: SparkSession, name: str) -> str:
+    """A folder of this run's own below the shared checkpoint folder."""
+    return shared_path(spark, "runs", f"{name}-{uuid.uuid4().hex}")
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read table ``name`` for ``sf_dir``; build and write it when missing."""
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{_DIGEST}".encode()).hexdigest()[:16]
-    path = shared_path(spark, "staged", f"{name}-{key}")
-    try:
-        # the committer writes _SUCCESS last: a half-written folder is rebuilt
-        spark.read.text(f"{path}/_SUCCESS")
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """``build()`` written once within the call and read back."""
+    key = (name, sf_dir)
+    if key not in _scope:
+        path = run_path(spark, name)
+        build().write.parquet(path)
+        _scope[key] = spark.read.parquet(path)
+    return _scope[key]

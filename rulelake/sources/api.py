@@ -60,12 +60,14 @@ def envelope_rows(parsed: DataFrame, keys: list[str], flat: bool = False) -> Dat
 
 
 def cursor_complete(parsed: DataFrame, order_col: str) -> DataFrame:
-    """Pages concatenate in ``order_col`` order; complete when the last
-    page has no ``cursor.after``. One row: pages, rows, complete."""
+    """Pages concatenate in ``order_col`` order; complete when no page is
+    an error and the last one has no ``cursor.after``. One row: pages, rows,
+    complete."""
     last = parsed.agg(F.max_by(F.col("env.result.cursor.after"), F.col(order_col)).alias("_after"),
+                      F.count_if("is_error").alias("_errors"),
                       F.count("*").alias("n_pages"),
                       F.sum(F.coalesce(F.size("env.result.data"), F.lit(0))).alias("n_rows"))
-    return last.select("n_pages", "n_rows", F.col("_after").isNull().alias("complete"))
+    return last.select("n_pages", "n_rows", (F.col("_after").isNull() & (F.col("_errors") == 0)).alias("complete"))
 
 
 def query_result_rows(docs: DataFrame, doc_col: str, keys: list[str], columns: list[str]) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulelake.functions.html import py_strip
+
 REVIEWER_T = "struct<target: string, blocking: boolean, is_group: boolean, github_username: string, github_user_id: bigint>"
 OUTPUT_SCHEMA = (
     "rules array<struct<id: string, name: string, author: string, status: string, type: string, "
@@ -89,7 +91,7 @@ def read_override_map(spark: SparkSession, path: str) -> DataFrame:
 def read_username_list(spark: SparkSession, path: str) -> DataFrame:
     """One name per line, trimmed, blanks and ``#`` lines dropped,
     de-duplicated keeping the first occurrence; ``pos`` keeps file order."""
-    lines = spark.read.text(path).select(F.trim("value").alias("name"),
+    lines = spark.read.text(path).select(py_strip("value").alias("name"),
                                          F.monotonically_increasing_id().alias("_seq"))
     kept = lines.where((F.col("name") != "") & ~F.col("name").startswith("#"))
     return kept.groupBy("name").agg(F.min("_seq").alias("pos"))

@@ -72,17 +72,25 @@ def run_page_ingest(spark: SparkSession, source: str, existing: DataFrame, base:
     """Merge streamed rule pages into the snapshot, one micro-batch at a time.
 
     ``source`` holds Parquet files of ``(url, html)``; ``existing`` is the
-    previous snapshot ``(rule_id, pos, name)``. Returns the newest snapshot.
+    previous snapshot ``(rule_id, pos, name)``. Returns the newest snapshot
+    ``(rule_id, added, pos, name)``; its order is ``(added, pos)``: a rule's
+    first batch (-1: the previous snapshot), then its place in it.
+
+    A batch merges into the newest version below its own number, so a
+    replayed batch gives the same version again.
     """
     versions = f"{base}/snapshots"
     initial = f"{versions}/v=-1"
     try:
         spark.read.parquet(initial)
     except AnalysisException:
-        existing.select("rule_id", "pos", "name").write.mode("overwrite").parquet(initial)
+        existing.select("rule_id", F.lit(-1).cast("bigint").alias("added"), F.col("pos").cast("bigint"), "name").write.mode(
+            "overwrite").parquet(initial)
 
-    def newest() -> DataFrame:
+    def newest(below: int | None = None) -> DataFrame:
         snaps = spark.read.parquet(versions)
+        if below is not None:
+            snaps = snaps.where(F.col("v") < below)
         top = snaps.agg(F.max("v")).first()[0]
         return snaps.where(F.col("v") == top).drop("v")
 
@@ -97,10 +105,11 @@ def run_page_ingest(spark: SparkSession, source: str, existing: DataFrame, base:
         fetched = R.with_id_order(kept.select("rule_id", "name")).select(
             "rule_id", F.col("sort_num").cast("bigint").alias("pos"), "name")
         failed = outcome.where(F.col("outcome") == "failed")
-        prev = newest()
-        merged = R.merge_snapshot(prev, fetched, outcome, failed).select(
-            "rule_id", F.coalesce("existing_pos", F.col("fetched_pos") + F.lit(10_000_000 * (batch_id + 1)))
-            .alias("pos"), "name")
+        prev = newest(batch_id)
+        merged = R.merge_snapshot(prev.drop("added"), fetched, outcome, failed).join(
+            prev.select("rule_id", "added"), "rule_id", "left").select(
+            "rule_id", F.coalesce("added", F.lit(batch_id).cast("bigint")).alias("added"),
+            F.coalesce("existing_pos", "fetched_pos").alias("pos"), "name")
         merged.write.mode("overwrite").parquet(f"{versions}/v={batch_id}")
         parsed.unpersist()
 
