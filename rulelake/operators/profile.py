@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rulelake.functions.arrays import explode_rows
 from rulelake.functions.html import decode_entities
+from rulelake.session import ensure_checkpoint_dir
 
 PHID_RE = "PHID-([A-Z]{4})-[a-z0-9]{20}"
 
@@ -90,6 +91,10 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> Data
     parts = max(df.sparkSession.sparkContext.defaultParallelism, 1)
     ranged = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
+    # counts and rows must come from the same partitioning (range bounds are
+    # sampled anew for each plan), so it is made once and kept in the shared folder
+    ensure_checkpoint_dir(df.sparkSession)
+    local = local.checkpoint()
     sizes = local.groupBy("_pid").agg(F.count("*").alias("_n"))
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_pid", "_off")
