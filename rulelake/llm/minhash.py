@@ -43,6 +43,9 @@ SHINGLE_WORDS = 5
 SKETCH = 64
 INDEX_DEPTH = 24
 BLOCK = 512
+#: Members of lists up to this length are paired by array functions; longer
+#: lists are dealt over blocks. Both give the same pairs.
+SHORT_LIST = 16
 #: Pairs whose estimate falls below this go: 0.75 less 4.2 standard deviations
 #: of a 64-value union sketch (0.054).
 LEAST_ESTIMATE = 0.52
@@ -190,18 +193,36 @@ def _cross_pairs(size: int, depth: int, least: float, percent: int):
     return run
 
 
-def _cells(named: DataFrame, block: int) -> DataFrame:
-    """Deal the members of every list with several components over cells so
-    that members of different components meet in exactly one cell.
+def _lists(named: DataFrame) -> DataFrame:
+    """Lists with several components: key, top (largest component), n, total."""
+    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    lists = per.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"),
+                                   F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return lists.select("key", F.col("top.comp").alias("top"), F.col("top.n").alias("n"), "total")
+
+
+def _short_pairs(named: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components and fitting sizes within short lists."""
+    rows = named.join(lists.select("key"), "key").groupBy("key").agg(
+        F.collect_list(F.struct("doc_id", "comp", "n_shingles")).alias("m"))
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.size("m") - 1), lambda i: F.transform(
+        F.slice("m", i + 1, F.size("m")), lambda y: F.struct(F.get("m", i - 1).alias("x"), y.alias("y")))))
+    fit = F.filter(pairs, lambda p: (p["x"]["comp"] != p["y"]["comp"]) & (
+        100 * F.least(p["x"]["n_shingles"], p["y"]["n_shingles"])
+        >= percent * F.greatest(p["x"]["n_shingles"], p["y"]["n_shingles"])))
+    both = rows.select(F.explode(fit).alias("p"))
+    return both.select(F.least("p.x.doc_id", "p.y.doc_id").alias("a"), F.greatest("p.x.doc_id", "p.y.doc_id").alias("b"))
+
+
+def _cells(named: DataFrame, lists: DataFrame, block: int) -> DataFrame:
+    """Deal the members of lists with several components over cells so that
+    members of different components meet in exactly one cell.
 
     The largest component of a list meets the others only: its blocks are
     paired with theirs, and the others' blocks among themselves. No cell
     holds more than about two blocks."""
-    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    lists = per.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"),
-                                   F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    lists = lists.select("key", F.col("top.comp").alias("top"), F.ceil(F.col("top.n") / block).cast("int").alias("mg"),
-                         F.ceil((F.col("total") - F.col("top.n")) / block).cast("int").alias("mo"))
+    lists = lists.select("key", "top", F.ceil(F.col("n") / block).cast("int").alias("mg"),
+                         F.ceil((F.col("total") - F.col("n")) / block).cast("int").alias("mo"))
     rows = named.join(lists, "key").withColumn("major", F.col("comp") == F.col("top"))
     rows = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.when(
         F.col("major"), F.col("mg")).otherwise(F.col("mo"))).cast("int"))
@@ -220,7 +241,7 @@ def _cells(named: DataFrame, block: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    sketch: int = SKETCH, index_depth: int = INDEX_DEPTH, block: int = BLOCK,
+                    sketch: int = SKETCH, index_depth: int = INDEX_DEPTH, block: int = BLOCK, short_list: int = SHORT_LIST,
                     least_estimate: float = LEAST_ESTIMATE, percent: int = LINK_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
@@ -241,7 +262,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "doc_id", "n_shingles", "d1", "sketch").dropDuplicates(["doc_id", "n_shingles", "d1"]), "mh_reps")
 
     head = F.slice("sketch", 1, index_depth)
-    keyed = reps.where(F.size("sketch") > 1).select("doc_id", F.posexplode(F.zip_with(
+    keyed = reps.where(F.size("sketch") > 1).select("doc_id", "n_shingles", F.posexplode(F.zip_with(
         F.slice(head, 1, F.size(head) - 1), F.slice(head, 2, F.size(head) - 1),
         lambda x, y: F.xxhash64(x, y))).alias("pos", "key"))
     lists = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("pivot"),
@@ -253,11 +274,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = _exact_links(first, texts, percent)
     comps = connected_components(links, "a", "b")
 
-    named = posts.select("key", "pos", "doc_id").join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "key", "pos", "doc_id", F.coalesce("component_id", "doc_id").alias("comp"))
-    cells = _cells(named, block).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    named = posts.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "key", "pos", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("comp"))
+    named = written(named, "mh_named")
+    lists = written(_lists(named), "mh_lists")
+    cells = _cells(named, lists.where(F.col("total") > short_list), block).join(
+        reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
     second = cells.groupBy("key", "gi", "gj").applyInPandas(
-        _cross_pairs(sketch, index_depth, least_estimate, percent), "a long, b long").distinct()
+        _cross_pairs(sketch, index_depth, least_estimate, percent), "a long, b long").unionByName(
+        _short_pairs(named, lists.where(F.col("total") <= short_list), percent)).distinct()
     second = written(_estimated(second, reps, sketch, least_estimate, percent), "mh_cand2")
     more = _exact_links(second, texts, percent)
 

@@ -68,8 +68,8 @@ def test_empty_table(make_docs):
     assert near_duplicates(make_docs([])).collect() == []
 
 
-@pytest.mark.parametrize("block", [16, 512])
-def test_families_chains_and_common_passages(make_docs, block):
+@pytest.mark.parametrize(("block", "short"), [(16, 4), (512, 16), (512, 500)])
+def test_families_chains_and_common_passages(make_docs, block, short):
     rng = np.random.default_rng(5)
     vocab = [f"t{i}" for i in range(4000)]
     rows, n = [], 0
@@ -92,7 +92,7 @@ def test_families_chains_and_common_passages(make_docs, block):
         n += 1
     order = rng.permutation(len(rows))
     rows = [(int(order[i]), t) for i, (_, t) in enumerate(rows)]
-    assert got(near_duplicates(make_docs(rows), block=block)) == brute(rows)
+    assert got(near_duplicates(make_docs(rows), block=block, short_list=short)) == brute(rows)
 
 
 def test_numpy_words_equal_the_pattern():
