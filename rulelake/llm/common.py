@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 from rulelake.session import shared_path
 
 #: Bytes of text handled at once inside a task; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Rows of an Arrow batch: as texts can be long, far fewer than Spark's default.
+ARROW_ROWS = 1024
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _U64 = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -26,12 +30,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, Arrow batches of jobs that start hold at most ``rows`` rows."""
+    usual = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, usual)
+
+
+def written(df: DataFrame, name: str, batch_rows: int = ARROW_ROWS) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends
     there, so a lost executor costs a re-read and no recomputation."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with arrow_rows(spark, batch_rows):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
