@@ -9,7 +9,8 @@ estimates the similarity, and the exact one is computed on the full sets.
 Why no all-pairs step: in a first round each list only compares its members
 with its smallest one, which joins most large groups; afterwards only members
 of *different* components of a list are still compared, inside tasks and in
-blocks, and only pairs whose sketches overlap enough leave the task.
+blocks, where the sketches decide which full sets are fetched and compared. A
+pair is compared in the first list that holds both; only links leave a task.
 
 What the sketch can miss: two sets of similarity 0.75 share each value of the
 union's sketch with probability 0.75. They meet in a list when two neighbours
@@ -145,14 +146,13 @@ def _runs_of(sketch: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _cross_pairs(size: int, depth: int, least: float, percent: int):
-    """Pairs of one grid cell from different components whose sizes and
+    """Row pairs of one grid cell from different components whose sizes and
     sketches allow the similarity; shared values are counted by a product of
     incidence rows."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         gi, gj = int(pdf["gi"].iloc[0]), int(pdf["gj"].iloc[0])
-        pdf = pdf.sort_values("doc_id", kind="stable").reset_index(drop=True)
-        ids, comp, blk = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy(), pdf["blk"].to_numpy()
+        comp, blk = pdf["comp"].to_numpy(), pdf["blk"].to_numpy()
         n, major = pdf["n_shingles"].to_numpy(), pdf["major"].to_numpy().astype(bool)
         ok = (comp[:, None] != comp[None, :]) & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
         if major.any():
@@ -162,8 +162,8 @@ def _cross_pairs(size: int, depth: int, least: float, percent: int):
         ok = np.triu(ok, 1)
         use = ok.any(0) | ok.any(1)
         if not use.any():
-            return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
-        pdf, ids, n, ok = pdf[use], ids[use], n[use], ok[np.ix_(use, use)]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ids, pdf, n, ok = np.flatnonzero(use), pdf[use], n[use], ok[np.ix_(use, use)]
         sketches = pdf["sketch"].to_list()
         lens = np.array([len(x) for x in sketches])
         _, inv, cnt = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
@@ -188,7 +188,40 @@ def _cross_pairs(size: int, depth: int, least: float, percent: int):
         for lo in range(0, len(i), 4096):
             x, y = before[i[lo:lo + 4096]], before[j[lo:lo + 4096]]
             first[lo:lo + 4096] = ~((x[:, :, None] == y[:, None, :]) & (x != 0)[:, :, None]).any((1, 2))
-        return pd.DataFrame({"a": ids[i[first]], "b": ids[j[first]]})
+        return ids[i[first]], ids[j[first]]
+
+    return run
+
+
+_CELL_ROW = ["key", "pos", "doc_id", "comp", "major", "blk", "gi", "gj"]
+_CELL_TYPE = "key long, pos int, doc_id long, comp long, major boolean, blk int, gi int, gj int"
+
+
+def _paired(pairs_of):
+    """The rows of a cell that are in some pair: those whose sets are needed."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pairs_of(pdf)
+        return pdf.iloc[np.unique(np.concatenate([i, j]))][_CELL_ROW]
+
+    return run
+
+
+def _linked(pairs_of, percent: int):
+    """The pairs of a cell that are similar by their full sets."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pairs_of(pdf)
+        sets, ids = pdf["vals"].to_list(), pdf["doc_id"].to_numpy()
+        good = np.zeros(len(i), bool)
+        for k, (x, y) in enumerate(zip(i, j)):
+            a, b = sets[x], sets[y]  # both sorted
+            at = np.searchsorted(a, b)
+            at[at == len(a)] = 0
+            both = int((a[at] == b).sum())
+            good[k] = 100 * both >= percent * (len(a) + len(b) - both)
+        x, y = ids[i[good]], ids[j[good]]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return run
 
@@ -278,25 +311,32 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "key", "pos", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("comp"))
     named = written(named, "mh_named")
     lists = written(_lists(named), "mh_lists")
-    cells = _cells(named, lists.where(F.col("total") > short_list), block).join(
-        reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    second = cells.groupBy("key", "gi", "gj").applyInPandas(
-        _cross_pairs(sketch, index_depth, least_estimate, percent), "a long, b long").unionByName(
-        _short_pairs(named, lists.where(F.col("total") <= short_list), percent)).distinct()
+    pairs_of = _cross_pairs(sketch, index_depth, least_estimate, percent)
+    sketches = reps.select("doc_id", "n_shingles", "sketch")
+    cells = _cells(named, lists.where(F.col("total") > short_list), block).join(sketches, "doc_id")
+    needed = written(cells.groupBy("key", "gi", "gj").applyInPandas(_paired(pairs_of), _CELL_TYPE), "mh_needed")
+    full = _sets_of(needed.select("doc_id"), texts).withColumn("n_shingles", F.size("vals").cast("long"))
+    far = needed.join(sketches, "doc_id").join(full, ["doc_id", "n_shingles"])
+    far = written(far.groupBy("key", "gi", "gj").applyInPandas(_linked(pairs_of, percent), "a long, b long"), "mh_far")
+    second = _short_pairs(named, lists.where(F.col("total") <= short_list), percent).distinct()
     second = written(_estimated(second, reps, sketch, least_estimate, percent), "mh_cand2")
     more = _exact_links(second, texts, percent)
 
-    edges = links.unionByName(more).unionByName(copies)
+    edges = links.unionByName(more).unionByName(far).unionByName(copies)
     final = connected_components(edges, "a", "b")
     out = sk.select("doc_id", "n_shingles").join(final, sk["doc_id"] == final["id"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The full shingle sets of some documents."""
+    return written(texts.join(ids.distinct(), "doc_id", "left_semi").mapInArrow(
+        _full_sets, "doc_id long, vals array<long>"), "mh_sets")
+
+
 def _exact_links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = written(texts.join(ids, "doc_id", "left_semi").mapInArrow(_full_sets, "doc_id long, vals array<long>"),
-                   "mh_sets")
+    sets = _sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), texts)
     return written(_verified(pairs, sets, percent), "mh_links")
 
 
