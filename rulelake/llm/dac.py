@@ -18,9 +18,12 @@ directory u64[] (ones before each block of 512 bits).
 
 from __future__ import annotations
 
+import os
 import struct
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +39,14 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Ids of a file, about; a longer document has a file of its own.
 FILE_IDS = 4 << 20
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+#: Pieces whose ids a worker remembers from task to task, and encodes at once.
+CACHE_WORDS = 600_000
+ENCODE_BATCH = 4096
 RANK_BITS = 512
 _HEAD = struct.Struct("<4sIQQ")
+# byte-level models show a byte that is no printable Latin-1 character as the next free one from U+0100 on
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
 
 
 # ------------------------------------------------------------------- format
@@ -126,20 +133,52 @@ class WordIds:
     other, and each distinct piece is encoded once."""
 
     def __init__(self, path: str | None = None, most: int = CACHE_WORDS) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
+        self.bare = Tokenizer(self.tok.model)
         self.known: dict[str, bytes] = {"": b""}
         self.most = most
 
     @staticmethod
     def pieces(text: str) -> list[str]:
+        if "<|" not in text:  # the tokenizer lower-cases all but its special strings
+            text = text.lower() if text.isascii() else text.encode().lower().decode()
         for c in "\t\n\x0b\x0c\r":
             if c in text:
                 text = text.replace(c, " ")
         return text.split(" ")
 
+    @staticmethod
+    def plain(word: str) -> bool:
+        """Lower-case Latin letters only: the tokenizer's rules keep such a
+        word whole and unchanged, so its model alone gives the ids."""
+        return word.isalpha() and (word.isascii() or (
+            max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word)))
+
+    def _learn(self, new: set[str]) -> None:
+        whole, words, ends = [], set(), []
+        for piece in new:
+            word = piece.rstrip(".,")
+            if not self.plain(word):
+                whole.append(piece)
+            else:
+                words.add(word)
+                if len(word) < len(piece):  # marks after letters are a token run of their own
+                    ends.append((piece, word, piece[len(word):]))
+        whole += {e for _, _, e in ends} - self.known.keys()
+        words = list(words - self.known.keys())
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN) for w in words]
+        for tok, pieces, texts in ((self.tok, whole, whole), (self.bare, words, shown)):
+            for lo in range(0, len(pieces), ENCODE_BATCH):
+                found = tok.encode_batch_fast(texts[lo:lo + ENCODE_BATCH], add_special_tokens=False)
+                for w, e in zip(pieces[lo:lo + ENCODE_BATCH], found):
+                    self.known[w] = array("I", e.ids).tobytes()
+        for piece, word, end in ends:
+            self.known[piece] = self.known[word] + self.known[end]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.pieces(t) for t in texts]
         new = set()
@@ -150,13 +189,21 @@ class WordIds:
             if len(self.known) + len(new) > self.most:
                 keep = set().union(*split)
                 self.known = {w: v for w, v in self.known.items() if w in keep}
-            new = list(new)
-            for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
 
+_LOADED: dict[str | None, WordIds] = {}
+
+
+def word_ids(path: str | None) -> WordIds:
+    """The worker's tokenizer, loaded once; its memory of pieces stays."""
+    if path not in _LOADED:
+        _LOADED[path] = WordIds(path)
+    return _LOADED[path]
+
+
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
         path = "/" + path[5:].lstrip("/")
@@ -169,7 +216,7 @@ def _writer(folder: str, tokenizer: str | None, end_id: int, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]):
         where, base = _file_system(folder)
         where.create_dir(base, recursive=True)
-        words, part, seq = WordIds(tokenizer), TaskContext.get().partitionId(), 0
+        words, part, seq = word_ids(tokenizer), TaskContext.get().partitionId(), 0
         docs: list = []
         blobs: list[bytes] = []
         held = 0
