@@ -15,6 +15,7 @@ vectors at the threshold cosine share no bucket with probability ``miss``.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ MISS = 1e-5
 LEAST_BITS = 8
 MOST_BITS = 40
 BLOCK = 1024
+#: Pairs compared at once inside a task.
+PAIRS = 1 << 16
 SEED = 29
 
 
@@ -61,36 +64,66 @@ def _codes(bits: int, tables: int, seed: int):
     return run
 
 
+_CELL = ["label", "dim", "tab", "code", "gi", "gj"]
+
+
+def _whole_cells(frames: Iterator[pd.DataFrame]):
+    """(rows, start of each cell) of runs of complete cells; the rows come
+    sorted by cell, and a cell cut by a batch's end waits for the next one."""
+    left = None
+    for pdf in frames:
+        if left is not None:
+            pdf = pd.concat([left, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        keys = pdf[_CELL].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
+        if starts[-1]:
+            yield pdf.iloc[:starts[-1]], starts[:-1]
+        left = pdf.iloc[starts[-1]:].reset_index(drop=True)
+    if left is not None and len(left):
+        yield left, np.array([0])
+
+
+def _pairs_within(starts: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All index pairs i < j within cells, cells of one size at a time."""
+    sizes = np.diff(np.append(starts, n))
+    for size in np.unique(sizes[sizes > 1]):
+        i, j = np.triu_indices(size, 1)
+        at = starts[sizes == size]
+        step = max(1, PAIRS // len(i))
+        for lo in range(0, len(at), step):
+            some = at[lo:lo + step, None]
+            yield (some + i).ravel(), (some + j).ravel()
+
+
 def _links(cosine: float):
-    """Links of one grid cell of a bucket: per member the number of vectors
-    (copies counted) that it links with first here, and a spanning forest."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        gi, gj, table = int(pdf["gi"].iloc[0]), int(pdf["gj"].iloc[0]), int(pdf["tab"].iloc[0])
-        ids, blk, copies = pdf["id"].to_numpy(), pdf["blk"].to_numpy(), pdf["copies"].to_numpy()
-        x = matrix(pdf["vec"])
-        norm = np.sqrt((x * x).sum(1))
-        near = (x @ x.T) / np.outer(norm, norm) >= cosine
-        np.fill_diagonal(near, False)
-        if gi == gj:
-            near &= (blk[:, None] == gi) & (blk[None, :] == gi)
-        else:
-            near &= blk[:, None] != blk[None, :]
-        i, j = np.nonzero(near)
-        codes = np.stack(pdf["codes"].to_list())
-        first = np.ones(len(i), bool)
-        for t in range(table):
-            first &= codes[i, t] != codes[j, t]
-        links = np.bincount(i[first], copies[j[first]], len(ids)).astype(np.int64)
-        root = ids.copy()
-        while len(i):  # smallest id spreads over the cell's links
-            new = root.copy()
-            np.minimum.at(new, i, root[j])
-            if (new == root).all():
-                break
-            root = new
-        some = (links > 0) | (root != ids)
-        return pd.DataFrame({"id": ids[some], "root": root[some], "links": links[some]})
+    """Links within cells: per vector the number of vectors (copies counted)
+    that it links with first here, and a forest that spans its links."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, starts in _whole_cells(frames):
+            x, codes = matrix(pdf["vec"]), np.stack(pdf["codes"].to_list())
+            norm = np.sqrt((x * x).sum(1))
+            blk, gi, gj = pdf["blk"].to_numpy(), pdf["gi"].to_numpy(), pdf["gj"].to_numpy()
+            copies, table = pdf["copies"].to_numpy(), pdf["tab"].to_numpy()
+            ids, node = np.unique(pdf["id"].to_numpy(), return_inverse=True)
+            links, root = np.zeros(len(ids)), np.arange(len(ids))
+            for i, j in _pairs_within(starts, len(pdf)):
+                ok = np.where(gi[i] == gj[i], (blk[i] == gi[i]) & (blk[j] == gi[i]), blk[i] != blk[j])
+                i, j = i[ok], j[ok]
+                near = np.einsum("ij,ij->i", x[i], x[j]) / (norm[i] * norm[j]) >= cosine
+                i, j = i[near], j[near]
+                first = ((codes[i] == codes[j]).argmax(1) == table[i]) if len(i) else np.zeros(0, bool)
+                a, b = node[i], node[j]
+                links += np.bincount(a[first], copies[j[first]], len(ids)) + np.bincount(b[first], copies[i[first]], len(ids))
+                while (root[a] != root[b]).any():  # the roots of linked nodes join under the smaller one
+                    above, below = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+                    np.minimum.at(root, below, above)
+                    while (root[root] != root).any():
+                        root = root[root]
+            some = (links > 0) | (root != np.arange(len(ids)))
+            yield pd.DataFrame({"id": ids[some], "root": ids[root[some]], "links": links[some].astype(np.int64)})
 
     return run
 
@@ -116,8 +149,8 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embed
     buckets = codes.select("id", F.posexplode("codes").alias("tab", "code")).join(
         reps.select("id", "label", F.size("vec").alias("dim")), "id")
     cells = block_grid(buckets, ["label", "dim", "tab", "code"], F.col("id"), block)
-    met = cells.join(coded.select("id", "vec", "copies", "codes"), "id").groupBy(
-        "label", "dim", "tab", "code", "gi", "gj").applyInPandas(_links(cosine), "id long, root long, links long")
+    cells = cells.join(coded.select("id", "vec", "copies", "codes"), "id")
+    met = cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInPandas(_links(cosine), "id long, root long, links long")
     met = written(met, "emb_links")
     comps = connected_components(met, "id", "root").withColumnRenamed("id", "rep")
     per = met.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))

@@ -1,10 +1,12 @@
 """Vector operators against brute force in double precision."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rulelake.llm import embdedup
 from rulelake.llm.ann import ShardIndex, nearest_vectors, op10_ann, threshold
 from rulelake.llm.embdedup import near_vectors, op2_embedding_dedup, tables_for
 
@@ -77,6 +79,48 @@ def test_clusters_copies_and_labels(spark, block):
     assert got(near_vectors(df, block=block)) == brute_links(rows)
 
 
+@pytest.mark.parametrize("pairs", [1, 3, 1000])
+def test_forests_span_all_links_of_cells(monkeypatch, pairs):
+    monkeypatch.setattr(embdedup, "PAIRS", pairs)
+    rng = np.random.default_rng(pairs)
+    n = 120
+    angle = rng.uniform(0, 6.28, n)
+    vec = np.stack([np.cos(angle), np.sin(angle)], 1)
+    rows = pd.DataFrame({"id": rng.permutation(n), "vec": list(vec), "copies": 1, "codes": [np.array([0, 0])] * n,
+                         "label": 0, "dim": 2, "tab": 0, "code": rng.integers(0, 3, n), "gi": 0, "gj": 0, "blk": 0})
+    rows = rows.sort_values("code", kind="stable")
+    frames = [rows.iloc[lo:lo + 17].reset_index(drop=True) for lo in range(0, n, 17)]
+    parent = {i: i for i in range(n)}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = dict.fromkeys(range(n), 0)
+    for out in embdedup._links(0.98)(iter(frames)):
+        for r in out.itertuples():
+            links[r.id] += r.links
+            a, b = sorted((root(r.id), root(r.root)))
+            parent[b] = a
+    want = {i: i for i in range(n)}
+    near = {i: set() for i in range(n)}
+    for _, g in rows.groupby("code"):
+        x, ids = np.stack(g["vec"]), g["id"].to_numpy()
+        for i, j in zip(*np.nonzero(x @ x.T >= 0.98)):
+            near[ids[i]].add(ids[j])
+    for i in range(n):
+        todo, seen = [i], set()
+        while todo:
+            k = todo.pop()
+            if k not in seen:
+                seen.add(k)
+                todo += near[k]
+        want[i] = min(seen)
+    assert {i: root(i) for i in range(n)} == want
+    assert links == {i: len(near[i] - {i}) for i in range(n)}
+
+
 def edge_rows():
     nan, inf = float("nan"), float("inf")
     return [(1, None, 0), (2, [0.0, 0.0], 0), (3, [1.0, None], 0), (4, [1.0, nan], 0), (5, [inf, 1.0], 0), (6, [], 0),
