@@ -155,8 +155,8 @@ class WordIds:
     def plain(word: str) -> bool:
         """Lower-case Latin letters only: the tokenizer's rules keep such a
         word whole and unchanged, so its model alone gives the ids."""
-        return word.isalpha() and (word.isascii() or (
-            max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word)))
+        return word.isalpha() and word == word.lower() and (word.isascii() or (
+            max(word) < "\u0250" and unicodedata.is_normalized("NFC", word)))
 
     def _learn(self, new: set[str]) -> None:
         whole, words, ends = [], set(), []

@@ -54,6 +54,21 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
 CACHE, WORDS = [], []
 
 
+@pytest.mark.parametrize("text", [
+    "The Cat sat <|endoftext|> Here", "<| The END", "THE, the. <|endoftext|>The<|startoftext|> ÉTÉ Straße", "<|ENDOFTEXT|> A a",
+    "Cat cat <|endoftext|>", "a<|Bc D"])
+def test_capitals_beside_special_strings(text, tok):
+    words = WordIds()
+    for t in (text, text.lower(), text):  # remembered pieces as well
+        assert np.frombuffer(words.encode([t])[0], "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_special_strings_and_capitals_in_files(spark, make_docs, tok):
+    rows = [(1, "The Cat sat <|endoftext|> Here"), (2, "The Cat sat Here"), (3, "<| NOT Special, The. End")]
+    out = read_token_files(write_token_files(make_docs(rows), new_path(spark, "dac-test")))
+    assert sorted(tuple(r) for r in out.collect()) == expected(rows, tok)
+
+
 def test_query_equals_the_tokenizer(spark, tok):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = sorted(tuple(r) for r in op3_token_files(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
