@@ -86,15 +86,27 @@ def _whole_cells(frames: Iterator[pd.DataFrame]):
 
 
 def _pairs_within(starts: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All index pairs i < j within cells, cells of one size at a time."""
+    """All index pairs i < j within cells, at most PAIRS at once: small cells
+    of one size together, a large cell by runs of its rows."""
     sizes = np.diff(np.append(starts, n))
     for size in np.unique(sizes[sizes > 1]):
-        i, j = np.triu_indices(size, 1)
         at = starts[sizes == size]
-        step = max(1, PAIRS // len(i))
-        for lo in range(0, len(at), step):
-            some = at[lo:lo + step, None]
-            yield (some + i).ravel(), (some + j).ravel()
+        if size * (size - 1) // 2 <= PAIRS:
+            i, j = np.triu_indices(size, 1)
+            step = max(1, PAIRS // len(i))
+            for lo in range(0, len(at), step):
+                some = at[lo:lo + step, None]
+                yield (some + i).ravel(), (some + j).ravel()
+            continue
+        step = max(1, PAIRS // int(size))
+        for start in at:
+            for lo in range(0, size - 1, step):
+                rows = np.arange(lo, min(lo + step, size - 1))
+                many = size - 1 - rows
+                i = np.repeat(rows, many)
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+                for cut in range(0, len(i), PAIRS):
+                    yield start + i[cut:cut + PAIRS], start + j[cut:cut + PAIRS]
 
 
 def _links(cosine: float):

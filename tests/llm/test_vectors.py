@@ -71,6 +71,29 @@ def test_small_table_equals_brute_force(spark):
     assert got(op2_embedding_dedup(spark, SF)) == brute_links(rows)
 
 
+@pytest.mark.parametrize("sizes", [[2048], [1, 2, 363, 362, 361, 2, 1, 2100, 363], [3] * 50_000, [1, 1]])
+def test_pairs_of_cells_are_compared_in_bounded_runs(sizes):
+    starts, seen = np.cumsum([0, *sizes[:-1]]), np.zeros(sum(sizes), np.int64)
+    cell, many = np.repeat(np.arange(len(sizes)), sizes), 0
+    for i, j in embdedup._pairs_within(starts, sum(sizes)):
+        assert len(i) == len(j) <= embdedup.PAIRS
+        assert (i < j).all() and (cell[i] == cell[j]).all()
+        assert len(np.unique(i * len(cell) + j)) == len(i)
+        seen += np.bincount(i, minlength=len(cell)) + np.bincount(j, minlength=len(cell))
+        many += len(i)
+    assert (seen == np.repeat(sizes, sizes) - 1).all()
+    assert many == sum(n * (n - 1) // 2 for n in sizes)
+
+
+@pytest.mark.parametrize("pairs", [7, 500])
+def test_large_cells_in_runs_equal_brute_force(monkeypatch, pairs):
+    monkeypatch.setattr(embdedup, "PAIRS", pairs)
+    found = [(i.tolist(), j.tolist()) for i, j in embdedup._pairs_within(np.array([0, 40, 42]), 60)]
+    assert all(len(i) <= pairs for i, _ in found)
+    pairs_of = {p for i, j in found for p in zip(i, j)}
+    assert pairs_of == {(a, b) for lo, hi in ((0, 40), (40, 42), (42, 60)) for a in range(lo, hi) for b in range(a + 1, hi)}
+
+
 @pytest.mark.parametrize("block", [8, 1024])
 def test_clusters_copies_and_labels(spark, block):
     rows = [(i, v, i % 2) for i, v in enumerate(clusters(2, 6, 30))]
