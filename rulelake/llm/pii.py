@@ -46,8 +46,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Texts without a match have no candidate at all.
-MAYBE = r"[0-9@]| dot |\(dot\)|\[dot\]"
+#: Texts without a match have no candidate at all: as wide as islands(), in any case and beside any mark or gap.
+MAYBE = r"[0-9@]|(^|[^A-Za-z])[Dd][Oo][Tt]([^A-Za-z]|$)|[(\[][Aa][Tt][)\]]"
 
 
 def _digits(s: str) -> str:

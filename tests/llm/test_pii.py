@@ -6,6 +6,8 @@ import math
 import random
 import re
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -154,3 +156,11 @@ def test_edges(make_docs, weights):
     assert out.count() == len(rows)
     assert found(make_docs([]), weights).collect() == []
     assert pii.fit(make_docs([]))
+
+
+@pytest.mark.parametrize("text", [
+    "joe at example DOT com", "joe at example\tdot\ncom", "joe (at) example [DOT] com", "joe at example (Dot) com",
+    "write joe (AT) example", "dot", "joe at example\u00a0dot\u00a0com", "joe at example ;Dot, com"])
+def test_prefilter_keeps_every_text_with_islands(text):
+    assert pii.islands(text)
+    assert pc.match_substring_regex(pa.array([text]), pii.MAYBE).to_pylist() == [True]
