@@ -13,6 +13,7 @@ from rulelake.llm.minhash import op4_minhash_dedup
 from rulelake.llm.mixing import OP1_SQL, op1_mixing
 from rulelake.llm.packing import op6_packing
 from rulelake.llm.pii import op7_pii
+from rulelake.llm.spelling import op11_spelling
 
 
 def queries() -> dict[str, QueryFn]:
@@ -27,6 +28,7 @@ def queries() -> dict[str, QueryFn]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_ann": op10_ann,
+        "op11_spelling": op11_spelling,
     }
 
 
