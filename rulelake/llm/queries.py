@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from rulelake.llm.ann import op10_ann
+from rulelake.llm.binswap import op12_best_fit
 from rulelake.llm.common import QueryFn
 from rulelake.llm.dac import op3_token_files
 from rulelake.llm.embdedup import op2_embedding_dedup
+from rulelake.llm.hardneg import op13_hard_negatives
 from rulelake.llm.langid import op5_language_id
 from rulelake.llm.lines import op9_line_dedup
 from rulelake.llm.lmscore import op8_lm_scoring
@@ -29,6 +31,8 @@ def queries() -> dict[str, QueryFn]:
         "op9_line_dedup": op9_line_dedup,
         "op10_ann": op10_ann,
         "op11_spelling": op11_spelling,
+        "op12_best_fit": op12_best_fit,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
