@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,62 +39,127 @@ LOOSE = 1 / 64
 #: Sweeps over a group's underfull bins at most; each stops early where nothing is gained.
 SWEEPS = 4
 #: Words whose ids a worker remembers, and words encoded at once.
-CACHE_WORDS = 1 << 19
-ENCODE_BATCH = 4096
+CACHE_WORDS = 1 << 20
+ENCODE_BATCH = 2048
 #: Letters of the texts encoded at once.
-TEXT_RUN = 1 << 20
-#: Bytes of ids a task hands on at once.
-OUT_BYTES = 1 << 22
+TEXT_RUN = 1 << 22
+#: Pieces a task hands on at once.
+OUT_PIECES = 1 << 12
 
 # ----------------------------------------------------------------- tokenizer
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _PLAIN = "!-~¡-ɏ"
-_GAP = r" \t\n\x0b\x0c\r"
-_OTHER = re.compile(f"[^{_GAP}{_PLAIN}]")
-#: Letters before a gap or common marks; such marks before a gap; anything up to a gap; gaps but for the blank that
-#: belongs to what follows.
-_PARTS = re.compile(f" ?[{_LETTER}]++(?=[{_GAP}.,;:!?]|$)|[.,;:!?]++(?=[{_GAP}]|$)| ?[{_PLAIN}]+|[{_GAP}]+(?![^{_GAP}])|[{_GAP}]")
+#: What keeps a text from being split at single blanks and line ends alone.
+_ODD = f"[^ \n{_PLAIN}]|  | \n|\n |\n\n|^[ \n]|[ \n]$|<\\|"
 _BLANKS = re.compile(f"(?= [{_PLAIN}])")
+_WORD = re.compile(f"([\x02\n]?)([{_LETTER}]+)([.,;:!?]*)")
+#: How the byte-level model writes bytes: printable ones as they are, the others from U+0100 on.
+_AS_IS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _AS_IS) if b != 10}
+
+
+def shown(text: str) -> str:
+    """A text's bytes as the model's vocabulary writes them, line ends left."""
+    return text.replace(" ", "\u0120") if text.isascii() else text.encode().decode("latin-1").translate(_SHOWN)
 
 
 class TextIds:
-    """Ids of whole texts, as little-endian uint32 bytes.
+    """Ids of whole texts, as little-endian uint32.
 
-    The tokenizer's rule never joins letters with the marks or gaps after them,
-    and a blank belongs only to what follows it, so a text's ids are those of
-    its parts one after the other, and each distinct part is encoded once.
-    Texts with other characters than Latin ones are cut before blanks alone;
-    texts that may hold a special string are encoded whole."""
+    By the tokenizer's rule a blank belongs only to what follows it and a
+    single line end to nothing, so the ids of a text are those of its words,
+    each with the blank or line end before it. Arrow splits the texts and finds
+    their distinct words; each is encoded once a worker, and the ids are
+    gathered by numpy. A word of letters alone needs the tokenizer's model only;
+    marks after letters are a token run of their own. Texts with other gaps or
+    characters go through the whole tokenizer, cut before blanks where that is
+    safe; texts that may hold a special string are not cut."""
 
     def __init__(self, path: str | None = None, most: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tok = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
         self.most = most
 
     @staticmethod
-    def parts(text: str) -> list[str]:
-        return _PARTS.findall(text) if _OTHER.search(text) is None else _BLANKS.split(text)
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+    def _encoded(tok, texts: list[str]) -> Iterator[bytes]:
         for lo in range(0, len(texts), ENCODE_BATCH):
-            for e in self.tok.encode_batch_fast(texts[lo:lo + ENCODE_BATCH], add_special_tokens=False):
+            for e in tok.encode_batch_fast(texts[lo:lo + ENCODE_BATCH], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [[] if "<|" in t else self.parts(t) for t in texts]
-        used = set().union(*split)
-        new = [p for p in used if p not in self.known]
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words. A word begins with U+0002 at a text's begin and
+        with the line end after one; any other has a blank before it."""
+        whole: dict[str, str] = {}
+        made, runs = [], {"\n"}
+        for w in words:
+            m = _WORD.fullmatch(w)
+            if m is None:
+                whole[w] = w[1:] if w[0] == "\x02" else w if w[0] == "\n" else " " + w
+                continue
+            first, letters, marks = m.groups()
+            runs.add(marks)
+            made.append((w, "\n" if first == "\n" else "", letters if first else " " + letters, marks))
+        self._learn_stems(list({stem for _, _, stem, _ in made if stem not in self.stems}))
+        self.known.update(zip(whole, self._encoded(self.tok, list(whole.values()))))
+        ids = {"": b""} | dict(zip(runs, self._encoded(self.tok, list(runs))))
+        for w, gap, stem, marks in made:
+            self.known[w] = ids[gap] + self.stems[stem] + ids[marks]
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        """Ids of letters alone, many as the words of one text."""
+        for lo in range(0, len(stems), ENCODE_BATCH):
+            part = stems[lo:lo + ENCODE_BATCH]
+            e = self.bare.encode(shown("\n".join(part)), add_special_tokens=False)
+            data = array("I", e.ids).tobytes()
+            ends = np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(part))) * 4
+            self.stems.update(zip(part, (data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist()))))
+
+    def _fast(self, texts: pa.Array) -> tuple[bytes, np.ndarray]:
+        """(ids of all texts, number of ids of each) of texts without oddities."""
+        lined = pc.binary_join_element_wise("\x02", pc.replace_substring(texts, "\n", " \n"), "")
+        split = pc.split_pattern(lined, " ")
+        coded = split.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        new = [w for w in words if w not in self.known]
         if new:
             if len(self.known) + len(new) > self.most:
-                self.known = {p: v for p, v in self.known.items() if p in used}
-            self.known.update(zip(new, self._encoded(new)))
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) if parts or not t else next(self._encoded([t])) for t, parts in zip(texts, split)]
+                used = set(words)
+                self.known = {w: v for w, v in self.known.items() if w in used}
+                self.stems = {}
+            self._learn(new)
+        each = [self.known[w] for w in words]
+        store = np.frombuffer(b"".join(each), "<u4")
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        first = np.cumsum(size) - size
+        n = size[at]
+        end = np.cumsum(n)
+        ids = store[np.repeat(first[at] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        edge = np.concatenate([[0], end])[split.offsets.to_numpy()]
+        return ids.tobytes(), np.diff(edge)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, _ODD)
+        flat, counts = self._fast(column.filter(pc.invert(odd)))
+        ends = np.cumsum(counts) * 4
+        plain = iter(zip(ends - counts * 4, ends))
+        out = []
+        for text, strange in zip(texts, odd.to_pylist()):
+            if strange:
+                out.append(b"".join(self._encoded(self.tok, [text] if "<|" in text else _BLANKS.split(text))))
+            else:
+                lo, hi = next(plain)
+                out.append(flat[lo:hi])
+        return out
 
 
 _LOADED: dict[str | None, TextIds] = {}
@@ -119,35 +185,36 @@ def _pieces(path: str | None, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = text_ids(path)
         number = TaskContext.get().partitionId() << 33
-        rows: list[tuple] = []
-        held = 0
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
-
         for batch in batches:
-            schema = pa.schema([("item", pa.int64()), batch.schema.field(0).with_name("doc_id"), ("piece", pa.int32()),
-                                ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             lo = 0
             while lo < len(texts):  # texts of about so many letters at once, a longer one alone
                 hi, letters = lo, 0
                 while hi < len(texts) and (hi == lo or letters + len(texts[hi] or "") <= TEXT_RUN):
                     letters += len(texts[hi] or "")
                     hi += 1
-                for doc_id, ids in zip(doc_ids[lo:hi], ids_of.encode([t or "" for t in texts[lo:hi]])):
-                    ids += end
-                    at = 0
-                    for piece, n in enumerate(piece_lengths(len(ids) // 4, capacity)):
-                        rows.append((number, doc_id, piece, at, n, ids[4 * at: 4 * (at + n)]))
-                        number, at, held = number + 1, at + n, held + 4 * n
-                        if held > OUT_BYTES:
-                            yield out()
-                            rows, held = [], 0
+                found = [ids + end for ids in ids_of.encode([t or "" for t in texts[lo:hi]])]
+                cut = [piece_lengths(len(ids) // 4, capacity) for ids in found]
+                length = np.array([n for c in cut for n in c], np.int64)
+                pieces = np.array([len(c) for c in cut])
+                stop = np.cumsum(length)
+                start = stop - length - np.repeat(np.concatenate([[0], stop[np.cumsum(pieces) - 1]])[:-1], pieces)
+                data = pa.py_buffer(b"".join(found))
+                # slices keep the 32-bit offsets of binary columns small, however long a text is
+                for a in range(0, len(length), OUT_PIECES):
+                    part = slice(a, a + OUT_PIECES)
+                    begin = 4 * (int(stop[a]) - int(length[a]))
+                    offsets = np.concatenate([[begin], 4 * stop[part]]) - begin
+                    ids = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [
+                        None, pa.py_buffer(offsets.astype(np.int32)), data.slice(begin)])
+                    owner = np.repeat(np.arange(lo, hi), pieces)[part]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(number + np.arange(a, a + len(ids))), doc_ids.take(pa.array(owner)),
+                        pa.array((np.arange(len(length)) - np.repeat(np.cumsum(pieces) - pieces, pieces))[part], pa.int32()),
+                        pa.array(start[part]), pa.array(length[part]), ids],
+                        names=["item", "doc_id", "piece", "start", "length", "ids"])
+                number += len(length)
                 lo = hi
-            if rows:
-                yield out()
-                rows, held = [], 0
 
     return run
 
@@ -323,11 +390,14 @@ def placements(items: DataFrame, *, capacity: int = CAPACITY, group: int = GROUP
     schema = "item long, length long, sequence_id long, offset long, fill long"
     n = items.count()
     dealt = items.select("item", "length", F.lit(0).cast("long").alias("sequence_id"))
+    tasks = 4 * items.sparkSession.sparkContext.defaultParallelism
     done = []
     key = F.xxhash64("item", F.lit(12))
     for round_no in range(rounds):
         groups = max(1, -(-n // group))
-        dealt = dealt.withColumn("grp", F.pmod(key, F.lit(groups).cast("long")))
+        # a group's search takes far longer than its few rows let expect, so tasks are not joined by size
+        dealt = dealt.withColumn("grp", F.pmod(key, F.lit(groups).cast("long"))).repartition(
+            max(min(groups, tasks), groups // 32), "grp")
         found = written(dealt.groupBy("grp").applyInPandas(_packed(capacity, round_no), schema), "packed")
         loose = F.col("fill") < int(capacity * (1 - LOOSE))
         n = found.where(loose).count() if groups > 1 and round_no + 1 < rounds else 0
