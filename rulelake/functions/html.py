@@ -12,29 +12,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references: the HTML 4 table of the standard library
-# (generated, not listed) plus ``apos``.
-def _entity_map_sql() -> str:
-    from html.entities import name2codepoint
+# Named character references: the HTML 5 table of the standard library (generated, not listed).
 
-    table = dict(name2codepoint)
-    table["apos"] = ord("'")
-    parts = []
-    for name, cp in sorted(table.items()):
-        ch = chr(cp).replace("\\", "\\\\").replace("'", "\\'")
-        parts.append(f"'{name}', '{ch}'")
-    return "map(" + ", ".join(parts) + ")"
 
+def _entity_table() -> str:
+    """``name<TAB>characters`` lines, the most frequent names first (a map is
+    searched in order). Two names that stand for the separators are left out;
+    :func:`decode_entities` knows them."""
+    from html.entities import html5
 
-_ENTITY_MAP_SQL = _entity_map_sql()
-_ENTITY_MAP: list[Column] = []
+    first = ["nbsp", "amp", "lt", "gt", "quot", "apos", "middot", "copy", "mdash", "ndash", "hellip"]
+    names = first + sorted(n[:-1] for n in html5 if n.endswith(";") and n[:-1] not in first)
+    return "\n".join(f"{n}\t{html5[n + ';']}" for n in names if n not in ("Tab", "NewLine"))
+
+
+def _legacy_names() -> str:
+    """The names that count without ``;``, longest first, as a regex."""
+    from html.entities import html5
+
+    return "^(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+
+
+_ENTITY_TABLE = _entity_table()
+_LEGACY = _legacy_names()
 
 
 def _entity_map() -> Column:
-    """The name table as one map expression, built once and reused."""
-    if not _ENTITY_MAP:
-        _ENTITY_MAP.append(F.expr(_ENTITY_MAP_SQL))
-    return _ENTITY_MAP[0]
+    """The name table as one foldable expression: the optimizer makes it a
+    literal, so a plan holds four nodes for it and no entry of its own."""
+    return F.str_to_map(F.lit(_ENTITY_TABLE), F.lit("\n"), F.lit("\t"))
+
+
 NAMED_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
                   ("&middot;", "\u00b7"), ("&copy;", "\u00a9")]  # the ones the oracles spell out
 
@@ -51,6 +59,12 @@ def at(arr, i) -> Column:
     return F.try_element_at(_col(arr), i if isinstance(i, Column) else F.lit(i))
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: a lambda variable stands for
+    it, so an expression that reads it many times does not repeat it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: drop leading and trailing Unicode white space."""
     return F.regexp_replace(_col(c), "(?U)^\\s+|\\s+$", "")
@@ -78,63 +92,80 @@ def _code_point_text(cp: Column) -> Column:
     159 the Windows-1252 character."""
     bad = cp.isNull() | (cp <= 0) | ((cp >= 0xD800) & (cp <= 0xDFFF)) | (cp > 0x10FFFF)
     safe = F.when(bad, F.lit(0xFFFD)).otherwise(cp)
-    western = F.array(*[F.lit(c) for c in _windows_1252()])
-    return F.when((safe >= 128) & (safe <= 159), F.try_element_at(western, (safe - 127).cast("int"))).otherwise(
+    western = F.substr(F.lit("".join(_windows_1252())), (safe - 127).cast("int"), F.lit(1))
+    return F.when((safe >= 128) & (safe <= 159), western).otherwise(
         F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32"))
 
 
-def _number(digits: Column, base: int, most: int) -> Column:
-    """A number's value, leading zeros aside; NULL with more than ``most`` digits."""
-    short = F.regexp_replace(digits, "^0+", "")
-    return F.when(short == "", F.lit(0).cast("bigint")).when(
-        F.length(short) <= most, F.conv(short, base, 10).cast("bigint"))
+def _decoded(text: Column, named, legacy=None) -> Column:
+    """``text`` with its character references replaced in one pass: it is split
+    at ``&``, and a piece that starts with a reference begins with its
+    characters instead, so ``&amp;lt;`` stays ``&lt;``."""
+    def read(seg: Column, ref: Column, name: Column) -> Column:
+        hexa = name.rlike("^#[xX]")
+        digits = F.regexp_replace(name, "^#[xX]?0*", "")
+        # NULL: more digits than any character has
+        number = F.when(F.length(digits) > 8, F.lit(None)).when(digits == "", F.lit("0")).when(
+            hexa, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        chars = F.when(name.startswith("#"), let(number, _code_point_text)).otherwise(named(name))
+        keep = F.concat(F.lit("&"), seg)
+        return let(chars, lambda c: F.when((ref != "") & c.isNotNull(), F.concat(c, F.substr(seg, F.length(ref) + 1))).otherwise(
+            keep if legacy is None else legacy(seg, keep)))
+
+    def one(seg: Column) -> Column:
+        ref = F.regexp_extract(seg, "^([A-Za-z][A-Za-z0-9]*;|#[0-9]+;?|#[xX][0-9a-fA-F]+;?)", 1)
+        return let(ref, lambda r: let(F.regexp_replace(r, ";$", ""), lambda name: read(seg, r, name)))
+
+    def whole(t: Column) -> Column:
+        segs = F.split(t, "&")
+        rest = F.transform(F.slice(segs, F.lit(2), F.greatest(F.size(segs) - 1, F.lit(1))), one)
+        return F.when(t.contains("&"), F.array_join(F.concat(F.array(at(segs, 1)), rest), "")).otherwise(t)
+
+    return let(text, whole)
 
 
 def decode_entities(c) -> Column:
-    """Decode character references in one left-to-right pass.
+    """Decode character references in one left-to-right pass: the HTML 5
+    names with ``;``, the old names that need none, and all numeric ones. The
+    name table is part of the plan, so use it once a plan; what reads
+    :func:`markup.canonical` pages needs :func:`decode_basic` alone."""
+    def named(name: Column) -> Column:
+        return F.when(name == "Tab", F.lit("\t")).when(name == "NewLine", F.lit("\n")).otherwise(
+            F.try_element_at(_entity_map(), name))
 
-    The text is split at ``&``; a piece that starts with ``name;`` (a known
-    name), ``#digits;`` or ``#xhex;`` is replaced by its character, any
-    other piece keeps its ``&``. One pass means ``&amp;lt;`` stays ``&lt;``
-    as in an HTML parser. Rows without ``&`` skip the work.
-    """
-    text = _col(c)
-    names = _entity_map()
-    segs = F.split(text, "&")
+    def legacy(seg: Column, keep: Column) -> Column:
+        return let(F.regexp_extract(seg, _LEGACY, 1), lambda name: F.when(name != "", F.concat(
+            F.try_element_at(_entity_map(), name), F.substr(seg, F.length(name) + 1))).otherwise(keep))
 
-    def one(seg: Column) -> Column:
-        name = F.regexp_extract(seg, "^([A-Za-z][A-Za-z0-9]*);", 1)
-        named = F.try_element_at(names, name)
-        dec = F.regexp_extract(seg, "^#([0-9]+);", 1)
-        hx = F.regexp_extract(seg, "^#[xX]([0-9a-fA-F]+);", 1)
-        return (F.when((name != "") & named.isNotNull(),
-                       F.concat(named, F.regexp_replace(seg, "^[A-Za-z][A-Za-z0-9]*;", "")))
-                .when(dec != "", F.concat(_code_point_text(_number(dec, 10, 9)), F.regexp_replace(seg, "^#[0-9]+;", "")))
-                .when(hx != "", F.concat(_code_point_text(_number(hx, 16, 8)),
-                                         F.regexp_replace(seg, "^#[xX][0-9a-fA-F]+;", "")))
-                .otherwise(F.concat(F.lit("&"), seg)))
+    return _decoded(_col(c), named, legacy)
 
-    rest = F.transform(F.slice(segs, 2, F.greatest(F.size(segs) - 1, F.lit(1))), one)
-    joined = F.array_join(F.concat(F.array(at(segs, 1)), rest), "")
-    return F.when(text.contains("&"), joined).otherwise(text)
 
+def decode_basic(c) -> Column:
+    """Decodes the few names that saved pages are full of and numeric
+    references; all others are gone from canonical pages."""
+    def named(name: Column) -> Column:
+        out = F.when(name == "amp", F.lit("&"))
+        for ref, ch in NAMED_ENTITIES:
+            out = out.when(name == ref[1:-1], F.lit(ch))
+        return out
 
-_SEP = "\u0001"
+    return _decoded(_col(c), named)
 
 
 def node_text(fragment, sep: str = "") -> Column:
-    """``get_text(sep, strip=True)`` of an HTML fragment, without lambdas.
+    """``get_text(sep, strip=True)`` of an HTML fragment.
 
-    Tags become a marker character, entities are decoded (safe now: no tag
-    is left to be confused with a decoded ``<``), white space is trimmed at
-    the ends, and every run of white space that contains a marker (a node
-    boundary, possibly around empty nodes) becomes ``sep``. White space
-    inside a text node is kept, as in the tree walk.
+    The fragment is split at its tags; every text node is decoded and
+    stripped, empty ones go and the rest is joined with ``sep``. Without
+    references the same is done by two replacements of runs of tags and white
+    space, which need no array: ``<>`` cannot occur outside a tag there.
     """
-    marked = F.regexp_replace(_col(fragment), "<[^>]*>", _SEP)
-    decoded = decode_entities(marked)
-    trimmed = F.regexp_replace(decoded, f"(?U)^[\\s{_SEP}]+|[\\s{_SEP}]+$", "")
-    return F.regexp_replace(trimmed, f"(?U)\\s*{_SEP}[\\s{_SEP}]*", sep)
+    def read(marked: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(marked, "(?U)^(?:\\s|<>)++|(?:\\s|<>)++$", ""), "(?U)\\s*+<>(?:\\s|<>)*+", sep)
+        nodes = F.transform(F.split(marked, "<>"), lambda node: py_strip(decode_basic(node)))
+        return F.when(marked.contains("&"), F.array_join(F.filter(nodes, lambda node: node != ""), sep)).otherwise(plain)
+
+    return let(F.regexp_replace(_col(fragment), "<[^>]*>", "<>"), read)
 
 
 def class_token(cls: str) -> str:
@@ -158,29 +189,32 @@ def inside(rest, tag: str) -> Column:
 
     The text is cut at the tag's openings and closings and the depth is
     counted over the pieces, so neither length nor nesting is limited."""
-    segs = F.split(_col(rest), f"(?=</?{tag}\\b)")
-
     def walk(state: Column, seg: Column) -> Column:
         opens = seg.rlike(f"^<{tag}\\b").cast("int")
         closes = seg.rlike(f"^</{tag}\\b").cast("int")
         depth = F.when(state["depth"] > 0, state["depth"] + opens - closes).otherwise(F.lit(0))
         return F.struct(depth.alias("depth"), (state["kept"] + (depth > 0).cast("int")).alias("kept"))
 
-    kept = F.aggregate(segs, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")), walk, lambda s: s["kept"])
-    return F.array_join(F.slice(segs, F.lit(1), kept), "")
+    def cut(segs: Column) -> Column:
+        kept = F.aggregate(segs, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")), walk, lambda s: s["kept"])
+        return F.array_join(F.slice(segs, F.lit(1), kept), "")
+
+    return let(F.split(_col(rest), f"(?=</?{tag}\\b)"), cut)
 
 
 def attr(tag_markup, name: str) -> Column:
     """Decoded value of attribute ``name`` of the first tag; NULL if absent."""
-    raw = F.regexp_extract(_col(tag_markup), f'^<[^>]*?\\s{name}="([^"]*)"', 1)
-    has = _col(tag_markup).rlike(f'^<[^>]*?\\s{name}="')
-    return F.when(has, decode_entities(raw))
+    def read(tag: Column) -> Column:
+        raw = F.regexp_extract(tag, f'^<[^>]*?\\s{name}="([^"]*)"', 1)
+        return F.when(tag.rlike(f'^<[^>]*?\\s{name}="'), decode_basic(raw))
+
+    return let(_col(tag_markup), read)
 
 
 def hrefs(html) -> Column:
     """All decoded href values of ``<a>`` tags, in page order."""
     raw = F.regexp_extract_all(_col(html), F.lit('<a\\s[^>]*?href="([^"]*)"'), 1)
-    return F.transform(raw, decode_entities)
+    return F.transform(raw, decode_basic)
 
 
 def handles(fragment) -> Column:
@@ -194,13 +228,10 @@ def handles(fragment) -> Column:
         F.lit(f"(?s)<a\\b[^>]*{class_token('phui-handle')}[^>]*>.*?</a>"), 0)
 
     def to_struct(a: Column) -> Column:
-        text = node_text(a, "")
-        pos = F.locate(" ", text)
-        name = F.when(pos > 0, F.substr(text, pos + 1)).otherwise(text)
-        href = F.coalesce(attr(a, "href"), F.lit(""))
-        is_group = (F.when(href.startswith("/tag/"), F.lit(True))
-                    .when(href.startswith("/p/"), F.lit(False))
-                    .otherwise(F.lit(None).cast("boolean")))
+        name = let(node_text(a, ""), lambda text: F.regexp_replace(text, "(?s)^[^ ]* ", ""))
+        is_group = let(F.coalesce(attr(a, "href"), F.lit("")), lambda href: (
+            F.when(href.startswith("/tag/"), F.lit(True)).when(href.startswith("/p/"), F.lit(False))
+            .otherwise(F.lit(None).cast("boolean"))))
         return F.struct(name.alias("name"), is_group.alias("is_group"))
 
     return F.transform(anchors, to_struct)

@@ -7,6 +7,8 @@ in the scan stage of whatever job reads the pages.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,15 @@ from rulelake.functions.html import (
     at,
     attr,
     class_token,
-    decode_entities,
+    decode_basic,
     elements,
     handles,
     inside,
+    let,
     node_text,
     py_strip,
 )
+from rulelake.functions.markup import canonical
 
 RULE_ID_RE = "^H[0-9]+$"
 
@@ -67,7 +71,7 @@ def _pager(html: Column) -> Column:
 def listing_next_url(html: Column) -> Column:
     """First pager href containing ``after=`` (NULL when none)."""
     hs = F.transform(F.regexp_extract_all(_pager(html), F.lit('<a\\s[^>]*?href="([^"]*)"'), 1),
-                     decode_entities)
+                     decode_basic)
     return at(F.filter(hs, lambda h: h.contains("after=")), 1)
 
 
@@ -124,20 +128,20 @@ def rule_author(html: Column) -> Column:
     titles = F.transform(_timeline_titles(html), lambda t: F.struct(
         node_text(t, "").alias("text"),
         at(_person_links(t), 1).alias("link")))
-    created_obj = F.filter(titles, lambda t: t["text"].contains("created this object")
-                           & t["link"].isNotNull())
-    created = F.filter(titles, lambda t: t["text"].contains("created") & t["link"].isNotNull())
-    link = F.coalesce(at(created_obj, 1)["link"], at(created, 1)["link"])
-    return F.coalesce(node_text(link, ""), F.lit("unknown"))
+    def link(made: Column) -> Column:
+        first = F.filter(made, lambda t: t["text"].contains("created this object"))
+        return F.coalesce(at(first, 1)["link"], at(made, 1)["link"])
+
+    made = F.filter(titles, lambda t: t["text"].contains("created") & t["link"].isNotNull())
+    return F.coalesce(node_text(let(made, link), ""), F.lit("unknown"))
 
 
 def rule_status(html: Column) -> Column:
     """``disabled`` / ``active`` from the header tag, default ``active``."""
     sub = inside(at(F.split(html, f"<div\\b[^>]*{class_token('phui-header-subheader')}[^>]*>", 2), 2), "div")
     tag = inside(at(F.split(sub, f"<span\\b[^>]*{class_token('phui-tag-view')}[^>]*>", 2), 2), "span")
-    text = F.lower(node_text(F.coalesce(tag, F.lit("")), ""))
-    return (F.when(text.contains("disabled"), F.lit("disabled"))
-            .otherwise(F.lit("active")))
+    off = F.lower(node_text(F.coalesce(tag, F.lit("")), "")).contains("disabled")
+    return F.when(off, F.lit("disabled")).otherwise(F.lit("active"))
 
 
 def properties(html: Column) -> Column:
@@ -152,10 +156,9 @@ def properties(html: Column) -> Column:
 
 
 def _object_type(value_text: Column) -> Column:
-    v = F.lower(value_text)
-    return (F.when(v.contains("differential"), F.lit("differential-revision"))
-            .when(v.contains("commit"), F.lit("commit"))
-            .when(v.contains("task"), F.lit("task")))
+    return let(F.lower(value_text), lambda v: (
+        F.when(v.contains("differential"), F.lit("differential-revision"))
+        .when(v.contains("commit"), F.lit("commit")).when(v.contains("task"), F.lit("task"))))
 
 
 def rule_object_type(props: Column) -> Column:
@@ -387,17 +390,19 @@ def reviewer_rows(actions: DataFrame) -> DataFrame:
 
 def _adds_reviewer(item: Column) -> Column:
     """Row-level R4 test: the action item adds at least one reviewer."""
-    text = node_text(item, "")
     has_handle = item.rlike(f"<a\\b[^>]*{class_token('phui-handle')}")
 
-    def plain(prefix: str) -> Column:
-        after = F.regexp_extract(text, "(?s)^.*?\\Q" + prefix + "\\E(.*)$", 1)
-        return py_strip(F.regexp_replace(py_strip(after), "\\.+$", "")).rlike("(?U)[^,\\s]")
+    def adds(text: Column) -> Column:
+        def plain(prefix: str) -> Column:
+            after = F.regexp_extract(text, "(?s)^.*?\\Q" + prefix + "\\E(.*)$", 1)
+            return py_strip(F.regexp_replace(py_strip(after), "\\.+$", "")).rlike("(?U)[^,\\s]")
 
-    blocking = text.contains("Add blocking reviewers:")
-    plain_add = text.startswith("Add reviewers:") & ~F.lower(text).contains("blocking")
-    return (blocking & (has_handle | plain("Add blocking reviewers:"))) | (
-        ~blocking & plain_add & (has_handle | plain("Add reviewers:")))
+        blocking = text.contains("Add blocking reviewers:")
+        plain_add = text.startswith("Add reviewers:") & ~F.lower(text).contains("blocking")
+        return (blocking & (has_handle | plain("Add blocking reviewers:"))) | (
+            ~blocking & plain_add & (has_handle | plain("Add reviewers:")))
+
+    return let(node_text(item, ""), adds)
 
 
 def parse_rule_pages(pages: DataFrame, html_col: str = "html", match_any: bool = False) -> DataFrame:
@@ -415,11 +420,22 @@ def parse_rule_pages(pages: DataFrame, html_col: str = "html", match_any: bool =
     sections, properties) are computed once in the first; Catalyst keeps it
     separate because collapsing would repeat them.
     """
-    html = F.col(html_col)
     cols = [c for c in pages.columns if c != html_col]
-    s1 = pages.select(*cols, html.alias("_html"), rule_id(html).alias("_rid"),
-                      rule_name(html).alias("_name"), sections(html).alias("_secs"),
-                      properties(html).alias("_props"))
+    s1 = pages.select(*cols, canonical(F.col(html_col)).alias("_html")).select("*", *_page_parts())
+    return s1.select(*cols, *_rule_columns(match_any))
+
+
+@lru_cache
+def _page_parts() -> tuple[Column, ...]:
+    """The page-level intermediates. Columns are built once a process: that
+    costs a call into the JVM for every node, a query's plan only reads them."""
+    html = F.col("_html")
+    return (rule_id(html).alias("_rid"), rule_name(html).alias("_name"), sections(html).alias("_secs"),
+            properties(html).alias("_props"))
+
+
+@lru_cache
+def _rule_columns(match_any: bool) -> tuple[Column, ...]:
     secs = F.col("_secs")
     has_all = F.exists(secs, lambda s: s["header"].contains("When all of these conditions are met"))
     cond_items = section_items(secs, "When all of these conditions are met")
@@ -434,8 +450,7 @@ def parse_rule_pages(pages: DataFrame, html_col: str = "html", match_any: bool =
             F.exists(secs, lambda s: s["header"].contains("When any of these conditions are met")),
             F.lit("any")).alias("combinator"))
     action_items = section_items(secs, "Take these actions")
-    return s1.select(
-        *cols,
+    return (
         ok.alias("parse_ok"),
         F.when(ok, F.col("_rid")).alias("rule_id"),
         F.when(ok, F.col("_name")).alias("name"),
@@ -476,7 +491,7 @@ _PROJECT_ID_PATTERNS = ["members", "manage", "profile", "subprojects"]
 
 def project_numeric_id(html: Column) -> Column:
     """X18 id: first link for /project/{members,manage,profile,subprojects}/<n>."""
-    hs = F.transform(F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_entities)
+    hs = F.transform(F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_basic)
     def first_id(kind: str) -> Column:
         ids = F.transform(hs, lambda h: F.regexp_extract(h, f"/project/{kind}/([0-9]+)", 1))
         return at(F.filter(ids, lambda x: x != ""), 1)
@@ -489,10 +504,10 @@ def project_slug(html: Column, props: Column) -> Column:
     with ``_``, the title before " · ", else ``unknown-project``."""
     looks = at(F.filter(props, lambda p: p["key"].contains("Looks Like")), 1)
     looks_href = at(F.transform(F.regexp_extract_all(
-        looks["value_html"], F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_entities), 1)
+        looks["value_html"], F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_basic), 1)
     looks_slug = F.when(looks_href.rlike("^/tag/.*/$"),
                         F.regexp_extract(looks_href, "^/tag/(.*)/$", 1))
-    hs = F.transform(F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_entities)
+    hs = F.transform(F.regexp_extract_all(html, F.lit('<a\\s[^>]*?href="([^"]*)"'), 1), decode_basic)
     tag_slugs = F.filter(F.transform(hs, lambda h: F.when(h.rlike("^/tag/.*/$"),
                                                           F.regexp_extract(h, "^/tag/(.*)/$", 1))),
                          lambda s: s.isNotNull() & (s != "") & ~s.startswith("_"))

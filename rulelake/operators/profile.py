@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rulelake.functions.arrays import explode_rows
-from rulelake.functions.html import decode_entities
+from rulelake.functions.html import decode_basic
 from rulelake.session import ensure_checkpoint_dir
 
 PHID_RE = "PHID-([A-Z]{4})-[a-z0-9]{20}"
@@ -135,7 +135,7 @@ def occurrence_context(html: Column, needle: Column, before: int = 100, after: i
 def raw_text(html: Column) -> Column:
     """Page text as a tree's plain ``get_text()``: no script, style or comments."""
     t = F.regexp_replace(html, "(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>", "")
-    return decode_entities(F.regexp_replace(t, "<[^>]*>", ""))
+    return decode_basic(F.regexp_replace(t, "<[^>]*>", ""))
 
 
 def section_clips(df: DataFrame, html_col: str = "html") -> DataFrame:

@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulelake.functions.arrays import explode_rows
+from rulelake.functions.markup import canonical
 from rulelake.operators import extract as X
 
 
 def project_info(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Slug, numeric project id and display name of project pages."""
-    html = F.col(html_col)
     cols = [c for c in pages.columns if c != html_col]
-    staged = pages.select(*cols, html.alias("_h"), X.properties(html).alias("_props"))
+    read = pages.select(*cols, canonical(F.col(html_col)).alias("_h"))
+    staged = read.select("*", X.properties(F.col("_h")).alias("_props"))
     return staged.select(*cols,
                          X.project_slug(F.col("_h"), F.col("_props")).alias("slug"),
                          X.project_numeric_id(F.col("_h")).alias("project_id"),
@@ -30,15 +31,16 @@ def project_info(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 def member_list(pages: DataFrame, keys: Sequence[str], html_col: str = "html") -> DataFrame:
     """One row per distinct member of each members page."""
-    arr = pages.select(*keys, X.members_from_list_page(F.col(html_col)).alias("_m"))
+    read = pages.select(*keys, canonical(F.col(html_col)).alias("_h"))
+    arr = read.select(*keys, X.members_from_list_page(F.col("_h")).alias("_m"))
     return explode_rows(arr, list(keys), "_m", "member_pos", "member")
 
 
 def member_pager(pages: DataFrame, keys: Sequence[str], html_col: str = "html") -> DataFrame:
     """Next-page flag and link of each members page."""
-    html = F.col(html_col)
-    return pages.select(*keys, X.members_has_next(html).alias("has_next"),
-                        X.members_next_url(html).alias("next_url"))
+    html = F.col("_h")
+    return pages.select(*keys, canonical(F.col(html_col)).alias("_h")).select(
+        *keys, X.members_has_next(html).alias("has_next"), X.members_next_url(html).alias("next_url"))
 
 
 def membership_events(pages: DataFrame, keys: Sequence[str], order: str,
@@ -49,7 +51,8 @@ def membership_events(pages: DataFrame, keys: Sequence[str], order: str,
     the in-page position follows page order. Output: keys, ``seq`` struct
     (page order, in-page position), ``action``, ``member``.
     """
-    ev = pages.select(*keys, order, X.membership_events(F.col(html_col)).alias("_e"))
+    read = pages.select(*keys, order, canonical(F.col(html_col)).alias("_h"))
+    ev = read.select(*keys, order, X.membership_events(F.col("_h")).alias("_e"))
     rows = explode_rows(ev, [*keys, order], "_e", "_p", "e")
     return rows.select(*keys, F.struct(F.col(order).alias("page"), F.col("e.pos").alias("pos")).alias("seq"),
                        F.col("e.action").alias("action"), F.col("e.member").alias("member"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulelake.functions.markup import canonical
 from rulelake.operators import extract as X
 from rulelake.operators import rules as R
 from rulelake.plans import render
@@ -117,8 +118,10 @@ def rendered_rule_pages(spark, sf_dir) -> DataFrame:
 
 
 def rendered_listing_pages(spark, sf_dir) -> DataFrame:
-    """The listing pages rendered from ``part``, written as a page dump."""
-    return staged(spark, sf_dir, "rendered_listing_pages", lambda: render.listing_pages(_part(spark, sf_dir)))
+    """The listing pages rendered from ``part``, written as a page dump in
+    canonical markup (which the listing functions read)."""
+    return staged(spark, sf_dir, "rendered_listing_pages", lambda: render.listing_pages(_part(spark, sf_dir)).withColumn(
+        "html", canonical(F.col("html"))))
 
 
 def _rule_pages(spark, sf_dir) -> DataFrame:
