@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rulelake.llm.common import read_table, word_size, written
 from rulelake.llm.langid import LEAST_KNOWN, UNKNOWN, fit, identified
-from rulelake.llm.lines import deduped_lines
+from rulelake.llm.lines import PASSAGE_WORDS, deduped_lines
 from rulelake.llm.minhash import near_duplicates
 from rulelake.llm.mixing import emitted, mixed
 from rulelake.llm.packing import packed
@@ -32,9 +32,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks and long lines go but for their first
-    occurrence; documents of which nothing is left go with them."""
-    out = deduped_lines(docs, keep=COLUMNS)
+    """Repeated multi-line chunks, long lines and whole lines of 50 words
+    together go but for their first occurrence; documents of which nothing is
+    left go with them."""
+    out = deduped_lines(docs, passage_words=PASSAGE_WORDS, keep=COLUMNS)
     changed = F.col("dedup.n_removed") > 0
     out = out.withColumn("n_chars", F.when(changed, F.length("dedup.text").cast("long")).otherwise(F.col("n_chars")))
     out = out.where(~changed | F.col("dedup.text").rlike(r"[^\x20\x09-\x0D]"))
