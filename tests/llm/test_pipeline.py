@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from test_lines import brute as brute_lines
+from test_lines import passage_brute as brute_lines
 from test_minhash import brute as brute_near
 
 import corpus_pipeline as P
