@@ -53,7 +53,8 @@ _PLAIN = "!-~¡-ɏ"
 #: What keeps a text from being split at single blanks and line ends alone.
 _ODD = f"[^ \n{_PLAIN}]|  | \n|\n |\n\n|^[ \n]|[ \n]$|<\\|"
 _BLANKS = re.compile(f"(?= [{_PLAIN}])")
-_WORD = re.compile(f"([\x02\n]?)([{_LETTER}]+)([.,;:!?]*)")
+#: Marks at a word's end.
+_MARKS = f"([{_LETTER}])([.,;:!?]+)( |\n|$)"
 #: How the byte-level model writes bytes: printable ones as they are, the others from U+0100 on.
 _AS_IS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _AS_IS) if b != 10}
@@ -71,8 +72,8 @@ class TextIds:
     single line end to nothing, so the ids of a text are those of its words,
     each with the blank or line end before it. Arrow splits the texts and finds
     their distinct words; each is encoded once a worker, and the ids are
-    gathered by numpy. A word of letters alone needs the tokenizer's model only;
-    marks after letters are a token run of their own. Texts with other gaps or
+    gathered by numpy. Letters alone need the tokenizer's model only; marks
+    between letters and a gap are a word of their own. Texts with other gaps or
     characters go through the whole tokenizer, cut before blanks where that is
     safe; texts that may hold a special string are not cut."""
 
@@ -86,7 +87,6 @@ class TextIds:
         self.bare = Tokenizer(self.tok.model)
         self.bare.pre_tokenizer = WhitespaceSplit()
         self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         self.most = most
 
     @staticmethod
@@ -96,36 +96,31 @@ class TextIds:
                 yield array("I", e.ids).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words. A word begins with U+0002 at a text's begin and
-        with the line end after one; any other has a blank before it."""
-        whole: dict[str, str] = {}
-        made, runs = [], {"\n"}
-        for w in words:
-            m = _WORD.fullmatch(w)
-            if m is None:
-                whole[w] = w[1:] if w[0] == "\x02" else w if w[0] == "\n" else " " + w
-                continue
-            first, letters, marks = m.groups()
-            runs.add(marks)
-            made.append((w, "\n" if first == "\n" else "", letters if first else " " + letters, marks))
-        self._learn_stems(list({stem for _, _, stem, _ in made if stem not in self.stems}))
-        self.known.update(zip(whole, self._encoded(self.tok, list(whole.values()))))
-        ids = {"": b""} | dict(zip(runs, self._encoded(self.tok, list(runs))))
-        for w, gap, stem, marks in made:
-            self.known[w] = ids[gap] + self.stems[stem] + ids[marks]
-
-    def _learn_stems(self, stems: list[str]) -> None:
+        """Ids of new words. A word begins with U+0002 at a text's begin, with
+        the line end after one and with U+0003 if it is the marks after
+        letters; any other has a blank before it."""
+        inner = [w for w in words if w.isalpha()]
+        self.known.update(zip(inner, self._letters([" " + w for w in inner])))
+        first = [w for w in words if w[0] in "\x02\n" and w[1:].isalpha()]
+        gap = {"\x02": b"", "\n": next(self._encoded(self.tok, ["\n"]))}
+        self.known.update((w, gap[w[0]] + ids) for w, ids in zip(first, self._letters([w[1:] for w in first])))
+        rest = [w for w in words if w not in self.known]
+        self.known.update(zip(rest, self._encoded(self.tok, [
+            w[1:] if w[0] in "\x02\x03" else w if w[0] == "\n" else " " + w for w in rest])))
+
+    def _letters(self, words: list[str]) -> Iterator[bytes]:
         """Ids of letters alone, many as the words of one text."""
-        for lo in range(0, len(stems), ENCODE_BATCH):
-            part = stems[lo:lo + ENCODE_BATCH]
+        for lo in range(0, len(words), ENCODE_BATCH):
+            part = words[lo:lo + ENCODE_BATCH]
             e = self.bare.encode(shown("\n".join(part)), add_special_tokens=False)
             data = array("I", e.ids).tobytes()
-            ends = np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(part))) * 4
-            self.stems.update(zip(part, (data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist()))))
+            ends = (np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(part))) * 4).tolist()
+            yield from (data[x:y] for x, y in zip([0, *ends], ends))
 
     def _fast(self, texts: pa.Array) -> tuple[bytes, np.ndarray]:
         """(ids of all texts, number of ids of each) of texts without oddities."""
-        lined = pc.binary_join_element_wise("\x02", pc.replace_substring(texts, "\n", " \n"), "")
+        marked = pc.replace_substring_regex(texts, _MARKS, "\\1 \x03\\2\\3")
+        lined = pc.binary_join_element_wise("\x02", pc.replace_substring(marked, "\n", " \n"), "")
         split = pc.split_pattern(lined, " ")
         coded = split.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -134,7 +129,6 @@ class TextIds:
             if len(self.known) + len(new) > self.most:
                 used = set(words)
                 self.known = {w: v for w, v in self.known.items() if w in used}
-                self.stems = {}
             self._learn(new)
         each = [self.known[w] for w in words]
         store = np.frombuffer(b"".join(each), "<u4")
@@ -286,68 +280,64 @@ class Exchange:
         """What bin b can give back for a lot: (total, number of pieces, pieces)."""
         return [(0, 0, ())] + [(total, len(own), own) for total, own in self.lots(b, True)]
 
+    def _offer(self, b: int) -> None:
+        """Puts what bin b can give back into the arrays, in place of its old offers."""
+        self.owner[self.owner == b] = -1
+        if 0 < self.fill[b] < self.capacity:
+            new = self._offers(b)
+            self.given += [own for _, _, own in new]
+            self.total = np.concatenate([self.total, [t for t, _, _ in new]])
+            self.number = np.concatenate([self.number, [n for _, n, _ in new]])
+            self.owner = np.concatenate([self.owner, np.full(len(new), b)])
+        if 2 * np.count_nonzero(self.owner < 0) > len(self.owner):
+            keep = np.flatnonzero(self.owner >= 0)
+            self.given = [self.given[k] for k in keep]
+            self.total, self.number, self.owner = self.total[keep], self.number[keep], self.owner[keep]
+
     def run(self, sweeps: int = SWEEPS) -> list[list[int]]:
-        offers: dict[int, list] = {int(b): self._offers(b) for b in np.flatnonzero(self.fill < self.capacity)}
+        under = [int(b) for b in np.flatnonzero(self.fill < self.capacity)]
+        flat = [(t, n, b, own) for b in under for t, n, own in self._offers(b)]
+        self.total, self.number, self.owner = (np.array([f[k] for f in flat], np.int64) for k in range(3))
+        self.given = [f[3] for f in flat]
         for _ in range(sweeps):
-            if self.left <= self.needed or len(offers) < 2:
+            if self.left <= self.needed:
                 break
             gained = False
-            for source in sorted(offers, key=lambda b: (self.fill[b], b)):
-                if source not in offers or self.left <= self.needed:
-                    continue
-                gained |= self._empty(source, offers)
+            for source in sorted(under, key=lambda b: (self.fill[b], b)):
+                if self.left > self.needed and 0 < self.fill[source] < self.capacity:
+                    gained |= self._empty(source)
             if not gained:
                 break
         return [b for b in self.bins if b]
 
-    def _empty(self, source: int, offers: dict[int, list]) -> bool:
+    def _empty(self, source: int) -> bool:
         """Exchanges from one bin, the best first, until nothing is gained."""
-        others = [b for b in offers if b != source]
-        if not others:
-            return False
-        flat = [(total, n, b, own) for b in others for total, n, own in offers[b]]
-        total = np.array([f[0] for f in flat])
-        number = np.array([f[1] for f in flat])
-        owner = np.array([f[2] for f in flat])
         gained = False
         while self.bins[source]:
             mine = self.fill[source]
+            full = self.fill[self.owner]
+            room = np.where((self.owner >= 0) & (self.owner != source), self.capacity - full, 0)
             best, choice = 0, None
-            room, full = self.capacity - self.fill[owner], self.fill[owner]
             for lot, own in self.lots(source, True):
-                moved = lot - total
+                moved = lot - self.total
                 # one piece moves or goes for one or two; two go for one
-                fits = (moved > 0) & (moved <= room) & ((number == 1) | (len(own) == 1))
+                fits = (moved > 0) & (moved <= room) & ((self.number == 1) | (len(own) == 1))
                 gain = np.where(fits, moved * (full - mine + moved), 0)
-                k = int(gain.argmax())
-                if gain[k] > best:
-                    best, choice = gain[k], (own, flat[k], k)
+                k = int(gain.argmax()) if len(gain) else 0
+                if len(gain) and gain[k] > best:
+                    best, choice = gain[k], (own, self.given[k], int(self.owner[k]), int(moved[k]))
             if choice is None:
                 break
             gained = True
-            own, (back, _, target, given), _ = choice
-            moved = sum(self.sizes[i] for i in own) - back
+            own, given, target, moved = choice
             self.bins[source] = [i for i in self.bins[source] if i not in own] + list(given)
             self.bins[target] = [i for i in self.bins[target] if i not in given] + list(own)
             self.fill[source] -= moved
             self.fill[target] += moved
-            keep = owner != target  # the target's offers change
-            new = [] if self.fill[target] == self.capacity else [(t, n, target, o) for t, n, o in self._offers(target)]
-            flat = [f for f, k in zip(flat, keep) if k] + new
-            total = np.concatenate([total[keep], np.array([f[0] for f in new], int)])
-            number = np.concatenate([number[keep], np.array([f[1] for f in new], int)])
-            owner = np.concatenate([owner[keep], np.array([f[2] for f in new], int)])
-            if new:
-                offers[target] = [(t, n, o) for t, n, _, o in new]
-            else:
-                offers.pop(target, None)
-            if not flat:
-                break
-        if not self.bins[source]:
-            self.left -= 1
-            offers.pop(source, None)
-        elif gained:
-            offers[source] = self._offers(source)
+            self._offer(target)
+        if gained:
+            self._offer(source)
+            self.left -= not self.bins[source]
         return gained
 
 
