@@ -10,7 +10,12 @@ Why no all-pairs step: in a first round each list only compares its members
 with its smallest one, which joins most large groups; afterwards only members
 of *different* components of a list are still compared, inside tasks and in
 blocks, where the sketches decide which full sets are fetched and compared. A
-pair is compared in the first list that holds both; only links leave a task.
+block holds as many members as a task's memory allows (by count and by total
+set size), so few copies of a member travel; inside the task a cell is
+compared strip by strip. A pair is compared in the first list that holds both;
+only links leave a task. Sizes that rule out the similarity are seen before
+any sketch travels, and sketches travel as 32-bit floats: those keep the order
+and 24 bits of every value however small it is.
 
 What the sketch can miss: two sets of similarity 0.75 share each value of the
 union's sketch with probability 0.75. They meet in a list when two neighbours
@@ -43,7 +48,14 @@ from rulelake.llm.common import (
 SHINGLE_WORDS = 5
 SKETCH = 64
 INDEX_DEPTH = 24
-BLOCK = 512
+#: Members of a block, and shingles of all its members: what bounds a task.
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 21
+#: Members of a cell that are compared with the whole cell at once.
+STRIP = 512
+#: Values held by more members of a cell than this are counted by a product of
+#: incidence rows, the others by their pairs of holders.
+DENSE = 32
 #: Members of lists up to this length are paired by array functions; longer
 #: lists are dealt over blocks. Both give the same pairs.
 SHORT_LIST = 16
@@ -52,7 +64,7 @@ SHORT_LIST = 16
 LEAST_ESTIMATE = 0.52
 LINK_PERCENT = 75
 
-_SKETCH_TYPE = "doc_id long, n_shingles long, d1 long, d2 long, sketch array<long>"
+_SKETCH_TYPE = "doc_id long, n_shingles long, d1 long, d2 long, head array<long>, sketch array<int>"
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, words: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
@@ -81,7 +93,12 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, words: int = SHINGLE_WORDS)
         at += c
 
 
-def _sketches(size: int):
+def short_values(values: np.ndarray) -> np.ndarray:
+    """Values as the bits of 32-bit floats, which sort as the values do."""
+    return values.astype(np.float32).view(np.int32)
+
+
+def _sketches(size: int, depth: int):
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -94,14 +111,17 @@ def _sketches(size: int):
                         d2.append(int(mix64(s ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)) if len(s) else 0)
                         kept.append(s[:size])
                     sizes = np.array([len(k) for k in kept])
-                    flat = np.concatenate(kept).astype(np.int64) if kept else np.zeros(0, np.int64)
+                    flat = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
+                    heads = [k[:depth] for k in kept]
+                    first_values = np.concatenate(heads).astype(np.int64) if kept else np.zeros(0, np.int64)
                     yield pa.RecordBatch.from_arrays([
                         ids.slice(first, len(ns)).cast(pa.int64()),
                         pa.array(ns, pa.int64()),
                         pa.array(np.array(d1, np.uint64).view(np.int64)),
                         pa.array(np.array(d2, np.uint64).view(np.int64)),
-                        list_array(flat, sizes, pa.int64()),
-                    ], names=["doc_id", "n_shingles", "d1", "d2", "sketch"])
+                        list_array(first_values, np.minimum(sizes, depth), pa.int64()),
+                        list_array(short_values(flat), sizes, pa.int32()),
+                    ], names=["doc_id", "n_shingles", "d1", "d2", "head", "sketch"])
     return run
 
 
@@ -145,50 +165,75 @@ def _runs_of(sketch: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+class _Shared:
+    """Values that members of a cell have in common, strip by strip."""
+
+    def __init__(self, sketches: list[np.ndarray]) -> None:
+        self.members = len(sketches)
+        rows = np.repeat(np.arange(self.members), [len(x) for x in sketches])
+        _, inv, cnt = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
+        order = np.argsort(inv, kind="stable")
+        rows, inv = rows[order], inv[order]
+        self.holders = cnt[inv]
+        self.rows, self.inv = rows, inv
+        self.start = (np.cumsum(cnt) - cnt)[inv]
+        often = self.holders > DENSE
+        self.dense_rows, self.dense_at = rows[often], (np.cumsum(cnt > DENSE) - 1)[inv[often]]
+
+    def strip(self, part: slice, width: int = 1024) -> np.ndarray:
+        """Counts for the members ``part`` against every member."""
+        n, high = self.members, part.stop - part.start
+        use = (self.rows >= part.start) & (self.rows < part.stop) & (self.holders > 1) & (self.holders <= DENSE)
+        many, start = self.holders[use], self.start[use]
+        own = np.repeat(self.rows[use] - part.start, many)
+        other = self.rows[np.repeat(start - (np.cumsum(many) - many), many) + np.arange(len(own))]
+        out = np.bincount(own * n + other, minlength=high * n).reshape(high, n).astype(np.float32)
+        row, at = self.dense_rows, self.dense_at
+        for lo in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+            i, j = np.searchsorted(at, [lo, lo + width])
+            holds = np.zeros((n, min(width, int(at[-1]) + 1 - lo)), np.float32)
+            holds[row[i:j], at[i:j] - lo] = 1
+            out += holds[part] @ holds.T
+        return out
+
+
 def _cross_pairs(size: int, depth: int, least: float, percent: int):
     """Row pairs of one grid cell from different components whose sizes and
-    sketches allow the similarity; shared values are counted by a product of
-    incidence rows."""
+    sketches allow the similarity."""
 
     def run(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         gi, gj = int(pdf["gi"].iloc[0]), int(pdf["gj"].iloc[0])
         comp, blk = pdf["comp"].to_numpy(), pdf["blk"].to_numpy()
         n, major = pdf["n_shingles"].to_numpy(), pdf["major"].to_numpy().astype(bool)
-        ok = (comp[:, None] != comp[None, :]) & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
-        if major.any():
-            ok &= major[:, None] != major[None, :]
-        elif gi != gj:
-            ok &= blk[:, None] != blk[None, :]
-        ok = np.triu(ok, 1)
-        use = ok.any(0) | ok.any(1)
-        if not use.any():
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ids, pdf, n, ok = np.flatnonzero(use), pdf[use], n[use], ok[np.ix_(use, use)]
-        sketches = pdf["sketch"].to_list()
-        lens = np.array([len(x) for x in sketches])
-        _, inv, cnt = np.unique(np.concatenate(sketches), return_inverse=True, return_counts=True)
-        often = cnt[inv] > 1
-        row, at = np.repeat(np.arange(len(ids)), lens)[often], (np.cumsum(cnt > 1) - 1)[inv[often]]
-        order = np.argsort(at, kind="stable")
-        row, at = row[order], at[order]
-        shared, width = np.zeros((len(ids), len(ids)), np.float32), 4096
-        for lo in range(0, int(at[-1]) + 1 if len(at) else 0, width):
-            i, j = np.searchsorted(at, [lo, lo + width])
-            part = np.zeros((len(ids), min(width, int(at[-1]) + 1 - lo)), np.float32)
-            part[row[i:j], at[i:j] - lo] = 1
-            shared += part @ part.T
-        need = least * np.minimum(size, np.maximum(n[:, None], n[None, :]))
-        i, j = np.nonzero(ok & (shared >= need))
+        place, sketches = pdf["pos"].to_numpy(), pdf["sketch"].to_list()
+        shared = _Shared(sketches)
         # the first list that holds both: no earlier run of values in common
         with np.errstate(over="ignore"):
             code = np.array([_runs_of(x, depth) for x in sketches])
-        place = pdf["pos"].to_numpy()
         before = np.where(np.arange(depth) < place[:, None], code, 0)
-        first = np.ones(len(i), bool)
-        for lo in range(0, len(i), 4096):
-            x, y = before[i[lo:lo + 4096]], before[j[lo:lo + 4096]]
-            first[lo:lo + 4096] = ~((x[:, :, None] == y[:, None, :]) & (x != 0)[:, :, None]).any((1, 2))
-        return ids[i[first]], ids[j[first]]
+        left, right = [], []
+        for top in range(0, len(n), STRIP):
+            part = slice(top, min(top + STRIP, len(n)))
+            ok = comp[part, None] != comp[None, :]
+            ok &= 100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)
+            if major.any():
+                ok &= major[part, None] != major[None, :]
+            elif gi != gj:
+                ok &= blk[part, None] != blk[None, :]
+            ok = np.triu(ok, top + 1)
+            if not ok.any():
+                continue
+            i, j = np.nonzero(ok & (shared.strip(part) >= least * np.minimum(
+                size, np.maximum(n[part, None], n[None, :]))))
+            i = i + top
+            first = np.ones(len(i), bool)
+            for lo in range(0, len(i), 4096):
+                x, y = before[i[lo:lo + 4096]], before[j[lo:lo + 4096]]
+                first[lo:lo + 4096] = ~((x[:, :, None] == y[:, None, :]) & (x != 0)[:, :, None]).any((1, 2))
+            left.append(i[first])
+            right.append(j[first])
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *left]), np.concatenate([none, *right])
 
     return run
 
@@ -207,19 +252,32 @@ def _paired(pairs_of):
     return run
 
 
+def _runs(left: np.ndarray, sizes: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Runs of pairs of one left member, of about ``most`` values together."""
+    total = np.cumsum(sizes)
+    cuts = np.flatnonzero((np.diff(left) != 0) | (np.diff(total // most) != 0)) + 1
+    edges = [0, *cuts.tolist(), len(left)] if len(left) else []
+    yield from zip(edges, edges[1:])
+
+
 def _linked(pairs_of, percent: int):
     """The pairs of a cell that are similar by their full sets."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = pairs_of(pdf)
         sets, ids = pdf["vals"].to_list(), pdf["doc_id"].to_numpy()
+        lens = np.array([len(x) for x in sets])
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
         good = np.zeros(len(i), bool)
-        for k, (x, y) in enumerate(zip(i, j)):
-            a, b = sets[x], sets[y]  # both sorted
-            at = np.searchsorted(a, b)
-            at[at == len(a)] = 0
-            both = int((a[at] == b).sum())
-            good[k] = 100 * both >= percent * (len(a) + len(b) - both)
+        for lo, hi in _runs(i, lens[j]):
+            own = sets[i[lo]]  # sets are sorted
+            others = np.concatenate([sets[y] for y in j[lo:hi]])
+            at = np.searchsorted(own, others)
+            at[at == len(own)] = 0
+            starts = np.cumsum(lens[j[lo:hi]]) - lens[j[lo:hi]]
+            both = np.add.reduceat((own[at] == others).astype(np.int64), starts)
+            good[lo:hi] = 100 * both >= percent * (len(own) + lens[j[lo:hi]] - both)
         x, y = ids[i[good]], ids[j[good]]
         return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
@@ -227,11 +285,13 @@ def _linked(pairs_of, percent: int):
 
 
 def _lists(named: DataFrame) -> DataFrame:
-    """Lists with several components: key, top (largest component), n, total."""
-    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    lists = per.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"),
-                                   F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    return lists.select("key", F.col("top.comp").alias("top"), F.col("top.n").alias("n"), "total")
+    """Lists with several components: key, top (largest component), n, total,
+    and the shingles of that component (top_size) and of all members (size)."""
+    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    lists = per.groupBy("key").agg(F.max(F.struct("n", "comp", "size")).alias("top"), F.sum("n").alias("total"),
+                                   F.sum("size").alias("size"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return lists.select("key", F.col("top.comp").alias("top"), F.col("top.n").alias("n"), "total",
+                        F.col("top.size").alias("top_size"), "size")
 
 
 def _short_pairs(named: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
@@ -247,15 +307,19 @@ def _short_pairs(named: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     return both.select(F.least("p.x.doc_id", "p.y.doc_id").alias("a"), F.greatest("p.x.doc_id", "p.y.doc_id").alias("b"))
 
 
-def _cells(named: DataFrame, lists: DataFrame, block: int) -> DataFrame:
+def _cells(named: DataFrame, lists: DataFrame, block: int, shingles: int) -> DataFrame:
     """Deal the members of lists with several components over cells so that
     members of different components meet in exactly one cell.
 
     The largest component of a list meets the others only: its blocks are
     paired with theirs, and the others' blocks among themselves. No cell
     holds more than about two blocks."""
-    lists = lists.select("key", "top", F.ceil(F.col("n") / block).cast("int").alias("mg"),
-                         F.ceil((F.col("total") - F.col("n")) / block).cast("int").alias("mo"))
+
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / block), F.ceil(size / shingles)).cast("int")
+
+    lists = lists.select("key", "top", blocks(F.col("n"), F.col("top_size")).alias("mg"), blocks(
+        F.col("total") - F.col("n"), F.col("size") - F.col("top_size")).alias("mo"))
     rows = named.join(lists, "key").withColumn("major", F.col("comp") == F.col("top"))
     rows = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.when(
         F.col("major"), F.col("mg")).otherwise(F.col("mo"))).cast("int"))
@@ -274,7 +338,8 @@ def _cells(named: DataFrame, lists: DataFrame, block: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    sketch: int = SKETCH, index_depth: int = INDEX_DEPTH, block: int = BLOCK, short_list: int = SHORT_LIST,
+                    sketch: int = SKETCH, index_depth: int = INDEX_DEPTH, block: int = BLOCK,
+                    block_shingles: int = BLOCK_SHINGLES, short_list: int = SHORT_LIST,
                     least_estimate: float = LEAST_ESTIMATE, percent: int = LINK_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
@@ -283,26 +348,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     id takes no part (component_id null, kept true). Other columns of
     ``docs`` are not read, whatever their names."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sk = written(texts.mapInArrow(_sketches(sketch), _SKETCH_TYPE), "mh_sketch")
+    sk = written(texts.mapInArrow(_sketches(sketch, index_depth), _SKETCH_TYPE), "mh_sketch")
     live = sk.where("n_shingles > 0 and doc_id is not null")
 
-    # equal sets collapse; an id with several texts links its sets by `alias`
-    sets_of = live.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    class_of = live.select("doc_id", "n_shingles", "d1", "d2").join(sets_of, ["n_shingles", "d1", "d2"])
-    copies = class_of.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    # (d1, d2) name the set; a set's own key is its representative id and digest
-    reps = written(live.join(sets_of, ["n_shingles", "d1", "d2"]).where("doc_id = rep").select(
-        "doc_id", "n_shingles", "d1", "sketch").dropDuplicates(["doc_id", "n_shingles", "d1"]), "mh_reps")
-
-    head = F.slice("sketch", 1, index_depth)
-    keyed = reps.where(F.size("sketch") > 1).select("doc_id", "n_shingles", F.posexplode(F.zip_with(
-        F.slice(head, 1, F.size(head) - 1), F.slice(head, 2, F.size(head) - 1),
+    # equal sets collapse to the smallest id; only real copies are looked up, and
+    # an id with several texts links its sets by being on edges of all of them
+    same = ["n_shingles", "d1", "d2"]
+    sets_of = live.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last")
+    copies = live.select("doc_id", *same).join(sets_of.drop("last"), same).where("doc_id <> rep").distinct()
+    copies = written(copies, "mh_copies")
+    reps = live.join(copies.select("doc_id", *same), ["doc_id", *same], "left_anti")
+    repeated = live.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    reps = reps.join(repeated, "doc_id", "left_anti").unionByName(
+        reps.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "n_shingles", "d1"]))
+    reps = written(reps.select("doc_id", "n_shingles", "head", "sketch"), "mh_reps")
+    copies = copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+    keyed = reps.where(F.size("head") > 1).select("doc_id", "n_shingles", F.posexplode(F.zip_with(
+        F.slice("head", 1, F.size("head") - 1), F.slice("head", 2, F.size("head") - 1),
         lambda x, y: F.xxhash64(x, y))).alias("pos", "key"))
-    lists = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("pivot"),
-                                     F.max("doc_id").alias("top")).where("n > 1 and pivot < top")
-    posts = written(keyed.join(lists.select("key", "pivot"), "key"), "mh_posts")
-
-    star = posts.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    lists = keyed.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles")).alias("pivot"),
+                                     F.max("doc_id").alias("top")).where("pivot.doc_id < top")
+    posts = written(keyed.join(lists.select("key", F.col("pivot.doc_id").alias("pivot"), F.col(
+        "pivot.n_shingles").alias("pivot_shingles")), "key"), "mh_posts")
+    reps = reps.select("doc_id", "n_shingles", "sketch")
+
+    fits = 100 * F.least("n_shingles", "pivot_shingles") >= percent * F.greatest("n_shingles", "pivot_shingles")
+    star = posts.where((F.col("doc_id") != F.col("pivot")) & fits).select(
+        F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
     first = written(_estimated(star, reps, sketch, least_estimate, percent), "mh_cand1")
     links = _exact_links(first, texts, percent)
     comps = connected_components(links, "a", "b")
@@ -312,11 +385,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     named = written(named, "mh_named")
     lists = written(_lists(named), "mh_lists")
     pairs_of = _cross_pairs(sketch, index_depth, least_estimate, percent)
-    sketches = reps.select("doc_id", "n_shingles", "sketch")
-    cells = _cells(named, lists.where(F.col("total") > short_list), block).join(sketches, "doc_id")
+    cells = _cells(named, lists.where(F.col("total") > short_list), block, block_shingles).join(reps, "doc_id")
     needed = written(cells.groupBy("key", "gi", "gj").applyInPandas(_paired(pairs_of), _CELL_TYPE), "mh_needed")
     full = _sets_of(needed.select("doc_id"), texts).withColumn("n_shingles", F.size("vals").cast("long"))
-    far = needed.join(sketches, "doc_id").join(full, ["doc_id", "n_shingles"])
+    far = needed.join(reps, "doc_id").join(full, ["doc_id", "n_shingles"])
     far = written(far.groupBy("key", "gi", "gj").applyInPandas(_linked(pairs_of, percent), "a long, b long"), "mh_far")
     second = _short_pairs(named, lists.where(F.col("total") <= short_list), percent).distinct()
     second = written(_estimated(second, reps, sketch, least_estimate, percent), "mh_cand2")

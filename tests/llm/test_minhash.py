@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rulelake.llm import common
-from rulelake.llm.minhash import near_duplicates, shingle_sets
+from rulelake.llm import minhash
+from rulelake.llm.minhash import near_duplicates, shingle_sets, short_values
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -68,8 +69,9 @@ def test_empty_table(make_docs):
     assert near_duplicates(make_docs([])).collect() == []
 
 
-@pytest.mark.parametrize(("block", "short"), [(16, 4), (512, 16), (512, 500)])
-def test_families_chains_and_common_passages(make_docs, block, short):
+@pytest.mark.parametrize(("block", "shingles", "short"), [(16, 1 << 21, 4), (512, 1000, 16), (2048, 1 << 21, 16),
+                                                          (512, 1 << 21, 500)])
+def test_families_chains_and_common_passages(make_docs, block, shingles, short):
     rng = np.random.default_rng(5)
     vocab = [f"t{i}" for i in range(4000)]
     rows, n = [], 0
@@ -92,7 +94,7 @@ def test_families_chains_and_common_passages(make_docs, block, short):
         n += 1
     order = rng.permutation(len(rows))
     rows = [(int(order[i]), t) for i, (_, t) in enumerate(rows)]
-    assert got(near_duplicates(make_docs(rows), block=block, short_list=short)) == brute(rows)
+    assert got(near_duplicates(make_docs(rows), block=block, block_shingles=shingles, short_list=short)) == brute(rows)
 
 
 def test_numpy_words_equal_the_pattern():
@@ -124,3 +126,32 @@ def test_short_text_is_one_shingle():
         data = np.frombuffer(b"a b c", np.uint8)
         sets = list(shingle_sets(data, np.array([0, 5])))
     assert [len(s) for s in sets] == [1]
+
+
+def test_values_in_common_are_counted_alike_by_pairs_and_products():
+    rng = np.random.default_rng(3)
+    sketches = [np.unique(np.concatenate([rng.choice(60, 8), rng.choice(5000, 20)])).astype(np.int32) for _ in range(700)]
+    shared = minhash._Shared(sketches)
+    for lo in (0, 512):
+        part = slice(lo, min(lo + 512, 700))
+        found = shared.strip(part, width=16)
+        for i in rng.choice(range(part.start, part.stop), 10):
+            want = [len(np.intersect1d(sketches[i], other)) for other in sketches]
+            seen = found[i - lo].copy()
+            assert [int(x) for x in np.delete(seen, i)] == list(np.delete(want, i))
+
+
+def test_short_values_keep_the_order():
+    with np.errstate(over="ignore"):
+        x = np.sort(common.mix64(np.arange(100000, dtype=np.uint64)) >> np.uint64(1))
+    for part in (x, x[:64]):
+        assert (np.diff(short_values(part).astype(np.int64)) >= 0).all()
+    assert len(np.unique(short_values(x[:64]))) == 64
+
+
+def test_one_row_many_times_is_one_node(make_docs):
+    rng = np.random.default_rng(8)
+    words = [f"v{i}" for i in rng.integers(0, 10**6, 90)]
+    rows = [(4, " ".join(words))] * 300 + [(k, " ".join([*words[:85], f"e{k}"])) for k in range(40)]
+    rows += [(4, " ".join(words[:40]))] * 50 + [(50, " ".join(words[:39]))] * 20
+    assert got(near_duplicates(make_docs(rows), block=16, short_list=4)) == brute(rows)
