@@ -401,9 +401,31 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+#: Bits of a map: what one row of ``bitmap_construct_agg`` holds.
+MAP_BITS = 32768
+#: Rows of maps that are sent to every task at most: 16 MB.
+MOST_MAPS = 4096
+
+
+def maybe_among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is in ``ids``, and a few others, without a
+    shuffle of ``rows``: the ids set bits in maps of bounded size, about 32
+    bits an id, which are sent to every task. Beyond about 10^8 ids more and
+    more other rows stay, none is lost. A null key is never in ``ids``."""
+    ids = ids.select(key).where(F.col(key).isNotNull())
+    maps = min(MOST_MAPS, max(1, -(-32 * ids.count() // MAP_BITS)))
+    bit = F.pmod(F.xxhash64(key), F.lit(maps * MAP_BITS)) + 1
+    built = ids.groupBy(F.bitmap_bucket_number(bit).alias("_map")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.where(F.col(key).isNotNull()).join(F.broadcast(built), F.bitmap_bucket_number(bit) == F.col("_map"))
+    return met.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """The full shingle sets of some documents."""
-    return written(texts.join(ids.distinct(), "doc_id", "left_semi").mapInArrow(
+    """The full shingle sets of some documents, and of a few others."""
+    return written(maybe_among(texts, ids, "doc_id").mapInArrow(
         _full_sets, "doc_id long, vals array<long>"), "mh_sets")
 
 

@@ -155,3 +155,14 @@ def test_one_row_many_times_is_one_node(make_docs):
     rows = [(4, " ".join(words))] * 300 + [(k, " ".join([*words[:85], f"e{k}"])) for k in range(40)]
     rows += [(4, " ".join(words[:40]))] * 50 + [(50, " ".join(words[:39]))] * 20
     assert got(near_duplicates(make_docs(rows), block=16, short_list=4)) == brute(rows)
+
+
+def test_maps_keep_every_wanted_row(spark):
+    rows = spark.range(-3000, 3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("_bits")).union(
+        spark.sql("select cast(null as long), 'y'"))
+    ids = spark.range(0, 6000, 7).select(F.col("id").alias("doc_id"))
+    ids = ids.union(ids).union(spark.sql("select cast(null as long)"))
+    kept = [r.doc_id for r in minhash.maybe_among(rows.select("doc_id"), ids, "doc_id").collect()]
+    wanted = set(range(0, 3000, 7))
+    assert wanted <= set(kept) and len(kept) == len(set(kept)) < len(wanted) + 400 and None not in kept
+    assert minhash.maybe_among(rows.select("doc_id"), ids.where("false"), "doc_id").count() == 0
