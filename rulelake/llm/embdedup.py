@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelake.llm.common import block_grid, connected_components, list_array, read_table, written
-from rulelake.llm.vectors import distinct_vectors, matrix
+from rulelake.llm.vectors import distinct_vectors, matrix, scaled
 
 COSINE = 0.98
 MISS = 1e-5
@@ -57,7 +57,7 @@ def _codes(bits: int, tables: int, seed: int):
                 if d not in planes:
                     planes[d] = np.random.default_rng([seed, int(d)]).standard_normal((int(d), bits * tables))
                 at = np.flatnonzero(dims == d)
-                signs = np.array([vecs[i] for i in at], np.float64) @ planes[d] > 0
+                signs = scaled(np.array([vecs[i] for i in at], np.float64)) @ planes[d] > 0
                 codes[at] = signs.reshape(len(at), tables, bits) @ place
             yield pa.RecordBatch.from_arrays(
                 [ids, list_array(codes.ravel(), np.full(len(vecs), tables), pa.int64())], names=["id", "codes"])
@@ -115,7 +115,7 @@ def _links(cosine: float):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts in _whole_cells(frames):
-            x, codes = matrix(pdf["vec"]), np.stack(pdf["codes"].to_list())
+            x, codes = scaled(matrix(pdf["vec"])), np.stack(pdf["codes"].to_list())
             norm = np.sqrt((x * x).sum(1))
             blk, gi, gj = pdf["blk"].to_numpy(), pdf["gi"].to_numpy(), pdf["gj"].to_numpy()
             copies, table = pdf["copies"].to_numpy(), pdf["tab"].to_numpy()
@@ -147,13 +147,16 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embed
     Vectors that are null, zero or hold null or non-finite components, rows
     without label and rows without id link with nothing (component_id is
     their own id, kept true). Vectors of different length never link. Rows
-    equal in id, label and vector count as one vector. Other columns are not
-    read, whatever their names."""
+    equal in id, label and vector count as one vector. Rows of one id with
+    different vectors have links of their own (to each other as well, if they
+    are near), but are one node of the components. An empty table gives an
+    empty result. Other columns are not read, whatever their names."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"), F.col(label_col).alias("label"))
     live = distinct_vectors(rows, "id", "vec", "label").where("label is not null")
+    # a vector has a number of its own, fixed by the written table: ids may repeat
     same = live.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("copies"))
-    same = written(same, "emb_same")
-    reps = same.select(F.col("rep").alias("id"), "label", "vec", "copies")
+    same = written(same.withColumn("node", F.monotonically_increasing_id()), "emb_same")
+    reps = same.select(F.col("node").alias("id"), "label", "vec", "copies")
     bits, tables = tables_for(same.count(), cosine, miss)
 
     codes = written(reps.select("id", "vec").mapInArrow(_codes(bits, tables, seed), "id long, codes array<long>"), "emb_codes")
@@ -164,10 +167,17 @@ def near_vectors(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embed
     cells = cells.join(coded.select("id", "vec", "copies", "codes"), "id")
     met = cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInPandas(_links(cosine), "id long, root long, links long")
     met = written(met, "emb_links")
-    comps = connected_components(met, "id", "root").withColumnRenamed("id", "rep")
-    per = met.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
+    per = met.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
 
-    known = same.join(per, "rep", "left").join(comps, "rep", "left").select(
+    # the components join ids: those of linked vectors, and those of an id's several vectors
+    forest = met.where("id <> root").select("id", "root").distinct()
+    forest = forest.join(same.select(F.col("node").alias("id"), F.col("rep").alias("a")), "id").join(
+        same.select(F.col("node").alias("root"), F.col("rep").alias("b")), "root").select("a", "b")
+    several = live.groupBy("id").count().where("count > 1").select("id")
+    own = live.join(several, "id").join(same, ["label", "vec"]).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    comps = connected_components(forest.unionByName(own), "a", "b").withColumnRenamed("id", "rep")
+
+    known = same.join(per, "node", "left").join(comps, "rep", "left").select(
         "label", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component_id", "rep").alias("component_id"))
     out = rows.join(known, ["label", "vec"], "left").select(

@@ -25,3 +25,10 @@ def distinct_vectors(df: DataFrame, id_col: str, vec_col: str, *more: str) -> Da
 def matrix(column) -> np.ndarray:
     """Rows of equal length as a float64 matrix."""
     return np.stack([np.asarray(v, np.float64) for v in column])
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to 0.5
+    to 1, so that no product over- or underflows; the cosine is unchanged."""
+    _, power = np.frexp(np.abs(x).max(1))
+    return np.ldexp(x, -power[:, None])

@@ -219,3 +219,24 @@ def test_all_equal_vectors_and_collision_counts():
     at = x[5] @ index.axes
     want = (np.abs(x @ index.axes - at) <= 0.7).sum(1)
     assert index.collisions(at, 0.7).tolist() == want.tolist()
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    near = clusters(4, 2, 3, spread=0.001)
+    rows = [(1, near[0], 0), (1, near[1], 0), (1, near[0], 0), (2, near[2], 0), (3, near[3], 0), (1, near[4], 0),
+            (4, near[0], 1), (5, near[5], 0)]
+    out = near_vectors(spark.createDataFrame(rows, VECS)).collect()
+    assert len(out) == len(rows)
+    found = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out)
+    # ids 1 and 2 hold three near vectors, ids 1, 3 and 5 three others: id 1 joins them
+    assert found == sorted([(1, 2, 1, True)] * 4 + [(2, 2, 1, False), (3, 2, 1, False), (5, 2, 1, False), (4, 0, 4, True)])
+
+
+@pytest.mark.parametrize("size", [1e-300, 1e-200, 1e200, 1e300])
+def test_magnitudes_do_not_matter(spark, size):
+    base = [np.array(v, float) for v in clusters(6, 3, 4)]
+    rows = [(i, (v / np.abs(v).max() * (size if i % 2 else 1.0)).tolist(), 0) for i, v in enumerate(base)]
+    plain = [(i, (v / np.abs(v).max()).tolist(), 0) for i, v in enumerate(base)]
+    kind = "vec_id long, embedding array<double>, label int"
+    found, want = (got(near_vectors(spark.createDataFrame(r, kind))) for r in (rows, plain))
+    assert found == want and any(n for _, n, _, _ in want)
