@@ -13,6 +13,9 @@ Inputs (long tables, any size):
   cached           (lookup_name, username, user_id)       previously resolved
   prev_unresolved  (lookup_name, reason)                  previously unresolved
 
+Profiles, names, overrides, cached and earlier reasons may hold a key several
+times (a row fetched again); each key counts once.
+
 The search cascade is a union of candidate matches tagged with
 (round, strategy, position) and a single ``min_by`` per user, which equals
 "first strategy that matches, first candidate in result order, second
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from rulelake.functions.html import py_strip
 from rulelake.functions.text import clean_real_name, email_local_part, fold_name, lookup_name
+from rulelake.operators.latest import one_per_key
 
 # Reason codes.
 PROFILE_NOT_FOUND = "pmo_profile_not_found"
@@ -118,6 +122,13 @@ def pick_candidates(cands: DataFrame) -> DataFrame:
         F.col("p.strategy").alias("pick_strategy"))
 
 
+def one_profile(profiles: DataFrame) -> DataFrame:
+    """A directory profile fetched several times counts once: the latest by
+    ``fetch_seq`` where the table has that column."""
+    order = [c for c in ("fetch_seq",) if c in profiles.columns]
+    return one_per_key(profiles.select("username", "github_id", "bmo_id", *order), "username", order)
+
+
 def resolve_directory_users(pending: DataFrame, info: DataFrame, profiles: DataFrame, search: DataFrame,
                             gh_names: DataFrame) -> DataFrame:
     """Resolve users that have no override, cache entry or old reason.
@@ -129,6 +140,7 @@ def resolve_directory_users(pending: DataFrame, info: DataFrame, profiles: DataF
     id -> name lookup (J8, a missing name still resolves with the id).
     Output: lookup_name, github_username, github_user_id, reason, matched_by.
     """
+    profiles = one_profile(profiles)
     prof = profiles.select(F.col("username").alias("p_user"), F.col("github_id").alias("p_gh"),
                            F.col("bmo_id").alias("p_bmo"))
     base = pending.join(info, "lookup_name", "left")
@@ -156,7 +168,7 @@ def resolve_directory_users(pending: DataFrame, info: DataFrame, profiles: DataF
     matched = (F.when(found1, F.element_at(F.array(*[F.lit(s) for s in STRATEGIES]), F.col("pick_strategy") + 1))
                .when(F.col("found0"), F.lit("exact")))
     step = j.select("lookup_name", reason.alias("reason"), gid.alias("github_user_id"), matched.alias("matched_by"))
-    names = gh_names.select(F.col("github_id").alias("github_user_id"), "gh_username")
+    names = one_per_key(gh_names.select(F.col("github_id").alias("github_user_id"), "gh_username"), "github_user_id")
     out = step.join(names, "github_user_id", "left")
     resolved_any = F.col("reason").isNull() & (F.coalesce(F.col("gh_username"), F.lit("")) != "") | (
         F.col("reason").isNull() & F.coalesce(F.col("github_user_id") != 0, F.lit(False)))
@@ -179,11 +191,14 @@ def resolve_users(users: DataFrame, user_records: DataFrame, accounts: DataFrame
     Output: lookup_name, status, github_username, github_user_id, reason,
     source, matched_by.
     """
+    overrides, cached = (one_per_key(t.select("lookup_name", "username", "user_id"), "lookup_name")
+                         for t in (overrides, cached))
     ov = overrides.select("lookup_name", F.col("username").alias("o_user"), F.col("user_id").alias("o_id"),
                           F.lit(True).alias("_ov"))
     ca = cached.select("lookup_name", F.col("username").alias("c_user"), F.col("user_id").alias("c_id"),
                        F.lit(True).alias("_ca"))
-    pu = prev_unresolved.select("lookup_name", F.col("reason").alias("p_reason"), F.lit(True).alias("_pu"))
+    pu = one_per_key(prev_unresolved.select("lookup_name", F.col("reason").alias("p_reason")), "lookup_name").withColumn(
+        "_pu", F.lit(True))
     u = users.select("lookup_name").distinct().join(ov, "lookup_name", "left").join(ca, "lookup_name", "left") \
         .join(pu, "lookup_name", "left")
     pending = u.where(F.col("_ov").isNull() & F.col("_ca").isNull() & F.col("_pu").isNull()).select("lookup_name")
@@ -252,7 +267,8 @@ def resolution_stats(results: DataFrame) -> DataFrame:
 
 def lookup_stats(users: DataFrame, profiles: DataFrame) -> DataFrame:
     """Profile lookups found with id / found without id / not found."""
-    p = profiles.select(F.col("username").alias("lookup_name"), "github_id", F.lit(True).alias("_f"))
+    p = one_per_key(profiles.select(F.col("username").alias("lookup_name"), "github_id"), "lookup_name").withColumn(
+        "_f", F.lit(True))
     j = users.select("lookup_name").distinct().join(p, "lookup_name", "left")
     cat = (F.when(F.col("_f").isNull(), F.lit("not_found"))
            .when(F.col("github_id").isNull() | (F.col("github_id") == ""), F.lit("found_without_id"))

@@ -28,3 +28,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     rank = F.struct(*[F.col(c) for c in order])
     picked = df.groupBy(*keys).agg(F.max_by(row, rank).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+
+
+def one_per_key(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """One row per ``key`` before a join: the latest by ``order``, and without
+    an order (or at ties) the largest row, so that reruns agree."""
+    rest = [c for c in df.columns if c != key]
+    return latest_per_key(df, [key], [*order, *[c for c in rest if c not in order]]) if rest else df.distinct()

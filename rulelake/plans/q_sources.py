@@ -48,7 +48,8 @@ def api_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT count(DISTINCT s_suppkey // 100) AS n_pages, count(*) AS n_rows, true AS complete FROM supplier
 """)
 def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.cursor_complete(_project_pages(spark, sf_dir), "page")
+    pages = _project_pages(spark, sf_dir).withColumn("asked", F.col("page").cast("string"))
+    return S.cursor_complete(pages, "page", "asked")
 
 
 @query("project_members", sql="""

@@ -59,15 +59,31 @@ def envelope_rows(parsed: DataFrame, keys: list[str], flat: bool = False) -> Dat
     return explode_rows(ok.select(*keys, F.col(arr).alias("_rows")), keys, "_rows", "row_pos", "row")
 
 
-def cursor_complete(parsed: DataFrame, order_col: str) -> DataFrame:
-    """Pages concatenate in ``order_col`` order; complete when no page is
-    an error and the last one has no ``cursor.after``. One row: pages, rows,
-    complete."""
-    last = parsed.agg(F.max_by(F.col("env.result.cursor.after"), F.col(order_col)).alias("_after"),
-                      F.count_if("is_error").alias("_errors"),
-                      F.count("*").alias("n_pages"),
-                      F.sum(F.coalesce(F.size("env.result.data"), F.lit(0))).alias("n_rows"))
-    return last.select("n_pages", "n_rows", (F.col("_after").isNull() & (F.col("_errors") == 0)).alias("complete"))
+def cursor_complete(parsed: DataFrame, order_col: str, cursor_col: str | None = None) -> DataFrame:
+    """Pages concatenate in ``order_col`` order; complete when every page
+    is a readable reply without error and only the last one has no
+    ``cursor.after``. With ``cursor_col`` (the cursor a page was asked with)
+    the links are followed as well: every ``after`` must be the cursor of
+    exactly one later page, so a page that is missing, asked for twice or
+    part of a loop leaves the chain incomplete, and so does having no page at
+    all. One row: pages, rows, complete."""
+    after = F.col("env.result.cursor.after")
+    # an unreadable reply parses to no result at all
+    bad = F.col("is_error") | F.col("env.result.data").isNull()
+    total = parsed.agg(F.max_by(F.struct(after.alias("after")), F.col(order_col)).alias("_last"),
+                       F.count_if(bad).alias("_bad"),
+                       F.count("*").alias("n_pages"),
+                       F.count(after).alias("_afters"),
+                       F.coalesce(F.sum(F.coalesce(F.size("env.result.data"), F.lit(0))), F.lit(0)).alias("n_rows"))
+    fine = F.col("_last.after").isNull() & (F.col("_bad") == 0) & (F.col("_afters") == F.col("n_pages") - 1)
+    if cursor_col:
+        links = parsed.where(after.isNotNull()).select(after.alias("_to"), F.col(order_col).alias("_at"))
+        asked = parsed.select(F.col(cursor_col).cast("string").alias("_to"), F.col(order_col).alias("_next"))
+        met = links.join(asked, "_to").where("_next > _at").agg(
+            F.count("*").alias("_met"), F.count_distinct("_next").alias("_pages"))
+        total = total.join(met, F.lit(True))
+        fine = fine & (F.col("_met") == F.col("_afters")) & (F.col("_pages") == F.col("_afters"))
+    return total.select("n_pages", "n_rows", fine.alias("complete"))
 
 
 def query_result_rows(docs: DataFrame, doc_col: str, keys: list[str], columns: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@ references out of range, siblings between items, repeated inputs."""
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from rulelake.functions.html import decode_entities, inside
@@ -115,6 +116,24 @@ def test_error_page_makes_a_cursor_chain_incomplete(spark):
     assert S.cursor_complete(parsed, "page").first()["complete"] is False
 
 
+@pytest.mark.parametrize(("pages", "complete"), [
+    ([("0", "1"), ("1", "2"), ("2", None)], True),
+    ([("0", "1"), ("1", "7"), ("2", None)], False),    # a page that was never asked for
+    ([("0", "1"), ("2", None)], False),                # a gap
+    ([("0", "1"), ("1", "0"), ("2", None)], False),    # back to the first page
+    ([("0", "1"), ("1", None), ("2", None)], False),   # two ends
+    ([("0", "1"), ("1", "1"), ("2", None)], False),    # a page after itself
+    ([("0", "1"), ("1", "2"), ("2", "not json")], False),
+    ([("0", None)], True), ([], False)])
+def test_cursor_links_are_followed(spark, pages, complete):
+    doc = '{"result": {"data": [{"id": 1}], "cursor": {"after": %s}}}'
+    rows = [(n, asked, "<html>sorry</html>" if to == "not json" else doc % (f'"{to}"' if to else "null"))
+            for n, (asked, to) in enumerate(pages)]
+    docs = spark.createDataFrame(rows, "page int, asked string, doc string").orderBy(F.rand(3))
+    parsed = S.parse_envelope(docs, "doc", S.PROJECT_SEARCH_SCHEMA)
+    assert S.cursor_complete(parsed, "page", "asked").first()["complete"] is complete
+
+
 def test_name_list_with_tabs(spark, tmp_path):
     (tmp_path / "names.txt").write_text("\tann\t\n\t# note\n \t \nbo\nann\n")
     assert {r.name for r in read_username_list(spark, str(tmp_path / "names.txt")).collect()} == {"ann", "bo"}

@@ -57,3 +57,21 @@ def test_precedence_and_no_directory(spark):
     assert (out["c"].source, out["c"].github_username) == ("cache", "cch")
     assert (out["p"].status, out["p"].reason) == ("unresolved", "old")
     assert out["n"].reason == "no_people_directory_cookie"
+
+
+def test_rows_fetched_again_give_one_result(spark):
+    df = spark.createDataFrame
+    users = df([("ann",), ("ovr",), ("cch",), ("prv",)], "lookup_name string")
+    profiles = df([("ann", "1001", None, 1), ("ann", "1002", None, 2), ("ann", None, None, 0)],
+                  "username string, github_id string, bmo_id string, fetch_seq int")
+    kept = "lookup_name string, username string, user_id bigint"
+    out = I.resolve_users(
+        users, df([], E), df([], "phid string, account_id bigint, pos int"), profiles,
+        df([], "query string, pos int, username string, first_name string, last_name string, email string"),
+        df([(1002, "new"), (1002, "new"), (1001, "old")], "github_id bigint, gh_username string"),
+        df([("ovr", "o", 1), ("ovr", "o", 1)], kept), df([("cch", "c", 2), ("cch", "b", 2)], kept),
+        df([("prv", "x"), ("prv", "x")], "lookup_name string, reason string"))
+    rows = sorted((r.lookup_name, r.github_username, r.reason) for r in out.collect())
+    assert rows == [("ann", "new", None), ("cch", "c", None), ("ovr", "o", None), ("prv", None, "x")]
+    stats = {r.outcome: r.n for r in I.lookup_stats(users, profiles).collect()}
+    assert stats == {"found_with_id": 1, "not_found": 3}
