@@ -1,4 +1,4 @@
-"""Scalar functions on the reference's own small cases (FIXTURES.md section 5)."""
+"""Scalar functions on small cases of our own."""
 
 from pyspark.sql import functions as F
 
@@ -11,32 +11,39 @@ def one(spark, col, value, schema="v string"):
 
 
 def test_slugify(spark):
-    assert one(spark, T.slugify(F.col("v")), "OMC Reviewers") == "omc-reviewers"
-    assert one(spark, T.slugify(F.col("v")), "--A  b__c--") == "a-b-c"
-    assert one(spark, T.slugify(F.col("v")), "!!!") == ""
+    slug = T.slugify(F.col("v"))
+    assert one(spark, slug, "Storage & Sync, Team 7") == "storage-sync-team-7"
+    assert one(spark, slug, "\t__Üpper__\n") == "pper"
+    assert one(spark, slug, "9/4") == "9-4"
+    assert one(spark, slug, "¿?") == ""
+    assert one(spark, slug, None) is None
 
 
 def test_coerce_string_list(spark):
     c = T.coerce_string_list(F.col("v"))
-    assert one(spark, c, None) == []
-    assert one(spark, c, "   ") == []
-    assert one(spark, c, '["a", "b"]') == ["a", "b"]
-    assert one(spark, c, "a, b;c  d") == ["a", "b", "c", "d"]
-    assert one(spark, c, '[["a"], "b"]') == ["a", "b"]
-    assert one(spark, c, "[not json") == ["[not", "json"]
+    for blank in (None, "", "\t \n"):
+        assert one(spark, c, blank) == []
+    assert one(spark, c, ";;, kim\tlee;;max,") == ["kim", "lee", "max"]
+    assert one(spark, c, ' ["kim lee", ["max;noa", []], null]') == ["kim", "lee", "max", "noa"]
+    assert one(spark, c, "[1, 2.5, true]") == ["1", "2.5", "true"]
+    assert one(spark, c, "[]") == []
+    assert one(spark, c, '["open') == ['["open']
 
 
 def test_clean_real_name(spark):
     c = T.clean_real_name(F.col("v"))
-    assert one(spark, c, "Aaa Bbb [:nick]") == "Aaa Bbb"
-    assert one(spark, c, "Aaa [:x] Bbb") == "Aaa Bbb"
-    assert one(spark, c, " [:only] ") is None
+    assert one(spark, c, "Kim [:k1] Lee [:k2] (away)") == "Kim Lee (away)"
+    assert one(spark, c, "Kim [k1]") == "Kim [k1]"
+    assert one(spark, c, "[:]") is None
+    assert one(spark, c, "\u00a0Noa\u2003 Max ") == "Noa Max"
 
 
 def test_fold_name(spark):
     c = T.fold_name(F.col("v"))
-    assert one(spark, c, "Tést  Üser") == "test user"
-    assert one(spark, c, "Tést") == "test"
+    assert one(spark, c, "  ŁUCJA\u00a0Žák ") == "łucja zak"
+    assert one(spark, c, "ﬁlip Ⅳ") == "filip iv"
+    assert one(spark, c, "Plain  ASCII") == "plain ascii"
+    assert one(spark, c, None) is None
 
 
 def test_prefix_hash_and_pseudonym(spark):
@@ -48,11 +55,14 @@ def test_prefix_hash_and_pseudonym(spark):
 
 
 def test_email_and_lookup(spark):
-    assert one(spark, T.lookup_name(F.col("v")), "bob@x.org") == "bob"
-    assert one(spark, T.email_local_part(F.col("v")), " Alias_Loc@example.com") == "alias_loc"
-    assert one(spark, T.email_local_part(F.col("v")), "nobody") is None
-    assert one(spark, T.to_int_id(F.col("v")), " 42 ") == 42
-    assert one(spark, T.to_int_id(F.col("v")), "GHID-x") is None
+    assert one(spark, T.lookup_name(F.col("v")), "kim@home@host") == "kim"
+    assert one(spark, T.lookup_name(F.col("v")), "kim") == "kim"
+    local = T.email_local_part(F.col("v"))
+    assert one(spark, local, "\tKim.Lee+1@host.example") == "kim.lee+1"
+    assert one(spark, local, "@host.example") == ""
+    assert one(spark, local, "kim at host") is None
+    number = T.to_int_id(F.col("v"))
+    assert [one(spark, number, v) for v in ("\t-7\n", "007", "7x", "")] == [-7, 7, None, None]
 
 
 def test_node_text_and_entities(spark):
