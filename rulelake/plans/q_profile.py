@@ -99,7 +99,7 @@ def context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("page_facts", sql="""
-SELECT CAST(p_partkey // 100 + 1 AS INTEGER) AS page_no, 'Herald Rules' AS title, 0 AS n_crumbs,
+SELECT CAST(p_partkey // 100 + 1 AS INTEGER) AS page_no, 'All rules' AS title, 0 AS n_crumbs,
        bool_or(p_type <> 'LARGE') AS has_global, bool_or(p_type = 'LARGE') AS has_personal, false AS has_object
 FROM part GROUP BY 1
 """)

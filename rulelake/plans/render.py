@@ -224,7 +224,7 @@ def rule_page(part: DataFrame) -> DataFrame:
     html = F.concat(
         L('<!DOCTYPE html><html><head><meta charset="UTF-8" />'), title, L("</head><body>"),
         L('<div class="phui-crumbs-view"><a href="/herald/" class="phui-crumb-view">'
-          '<span class="phui-crumb-name"> Herald </span></a>'), crumb, L("</div>"), self_link,
+          '<span class="phui-crumb-name"> Rules </span></a>'), crumb, L("</div>"), self_link,
         L('<div class="phui-header-subheader"><span class="phui-tag-view phui-tag-type-shade">'
           '<span class="phui-tag-core "><span class="visual-only" aria-hidden="true"></span>'),
         status, L('</span></span><span class="policy-header-callout"><a class="policy-link" '
@@ -277,7 +277,7 @@ def listing_pages(part: DataFrame) -> DataFrame:
         F.lit('<div class="phui-pager-view"><a href="/herald/query/all/?after='),
         F.col("_max").cast("string"), F.lit('" class="button">Next Page</a></div>'))).otherwise(
         F.lit('<div class="phui-pager-view"></div>'))
-    html = F.concat(F.lit('<html><head><title>Herald Rules</title></head><body><ul class="phui-oi-list-view">'),
+    html = F.concat(F.lit('<html><head><title>All rules</title></head><body><ul class="phui-oi-list-view">'),
                     F.col("body"), F.lit("</ul>"), pager, F.lit("</body></html>"))
     return pages.select(F.concat(F.lit("https://review.example.com/herald/query/all/?page="),
                                  F.col("page_no").cast("string")).alias("url"), "page_no", html.alias("html"))
