@@ -111,7 +111,7 @@ SELECT (SELECT count(*) FROM merged) AS total_rules,
 """)
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3-W5 for one run over the rendered pages and the resolution tables."""
-    merged = q_rules.snapshot_merge(spark, sf_dir)
+    merged = q_rules.merged_names(spark, sf_dir)
     outcome = q_rules._outcome(spark, sf_dir)
     slugs = G.referenced_group_slugs(_kept_reviewers(spark, sf_dir))
     found = _found(spark, sf_dir)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rulelake.functions.markup import canonical
 from rulelake.operators import extract as X
 from rulelake.operators import rules as R
+from rulelake.operators import snapshot as N
 from rulelake.plans import render
 from rulelake.functions.arrays import explode_rows
 from rulelake.plans.stage import staged
@@ -382,27 +383,88 @@ def rule_select(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("rule_id", "name", "status")
 
 
-@query("snapshot_merge", sql=BASE + """,
-fetched AS (SELECT o.rule_id, o.k AS pos, p_name || ' & ' || p_brand || '''s' AS name
-            FROM outcome o JOIN p USING (k) WHERE outcome = 'kept'),
-failed AS (SELECT rule_id FROM outcome WHERE outcome = 'failed'),
-attempted AS (SELECT rule_id FROM outcome)
-SELECT coalesce(f.rule_id, e.rule_id) AS rule_id, e.pos AS existing_pos,
-       CASE WHEN e.pos IS NULL THEN f.pos END AS fetched_pos,
-       CASE WHEN f.rule_id IS NOT NULL THEN 'fetched' ELSE 'existing' END AS source,
-       CASE WHEN f.rule_id IS NOT NULL THEN f.name ELSE e.name END AS name
-FROM existing e FULL OUTER JOIN fetched f ON e.rule_id = f.rule_id
-WHERE f.rule_id IS NOT NULL
-   OR coalesce(f.rule_id, e.rule_id) NOT IN (SELECT rule_id FROM attempted)
-   OR coalesce(f.rule_id, e.rule_id) IN (SELECT rule_id FROM failed)
-""")
-def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+# the whole rules of both sides, as text, and what R6 keeps of them
+_WHOLE_SQL = BASE + """,
+ctext AS (SELECT k, string_agg(cond_type || '|' || operator || '|' || value_kind || '|' || value, ';' ORDER BY pos)
+            AS conditions FROM conds GROUP BY k),
+atext AS (SELECT k, string_agg(action_type || '|' || coalesce(targets, '-'), ';' ORDER BY pos) AS actions
+          FROM acts GROUP BY k),
+rtext AS (
+  SELECT k, string_agg(target || '|' || CASE WHEN idx = 0 THEN 'true' ELSE 'false' END || '|' ||
+                       CASE WHEN (idx = 0 AND p_size % 5 = 0) OR (idx = 1 AND p_size % 5 = 1) THEN '-'
+                            WHEN idx = 0 AND rp = 1 THEN 'false' ELSE 'true' END, ';' ORDER BY pos, rp) AS reviewers
+  FROM (SELECT a.*, p.p_size, generate_subscripts(string_split(reviewer_targets, '|'), 1) - 1 AS rp,
+               unnest(string_split(reviewer_targets, '|')) AS target
+        FROM acts a JOIN p USING (k) WHERE idx IN (0, 1)) r
+  GROUP BY k),
+fetched AS (
+  SELECT o.rule_id, o.k AS pos, p_name || ' & ' || p_brand || '''s' AS name,
+         CASE WHEN p_size % 6 <> 0 THEN 'USER-' || b ELSE 'unknown' END AS author, 'active' AS status,
+         CASE p_size % 4 WHEN 0 THEN 'differential-revision' WHEN 1 THEN 'commit'
+                         WHEN 2 THEN 'task' ELSE 'unknown' END AS object_type,
+         p_type <> 'LARGE' AS is_global, coalesce(c.conditions, '') AS conditions,
+         coalesce(a.actions, '') AS actions, coalesce(r.reviewers, '') AS reviewers
+  FROM outcome o JOIN p USING (k) LEFT JOIN ctext c USING (k) LEFT JOIN atext a USING (k) LEFT JOIN rtext r USING (k)
+  WHERE outcome = 'kept'),
+whole AS (
+  SELECT e.*, 'USER-old' AS author, 'active' AS status, 'commit' AS object_type, e.pos % 2 = 0 AS is_global,
+         'repository|is-any-of|list|' || name AS conditions, 'add-reviewers|-;do-nothing|' AS actions,
+         'H' || e.pos || '-owners|true|true' AS reviewers
+  FROM existing e),
+merged AS (
+  SELECT coalesce(f.rule_id, e.rule_id) AS rule_id, e.pos AS existing_pos,
+         CASE WHEN e.pos IS NULL THEN f.pos END AS fetched_pos,
+         CASE WHEN f.rule_id IS NOT NULL THEN 'fetched' ELSE 'existing' END AS source,
+         {payload}
+  FROM whole e FULL OUTER JOIN fetched f ON e.rule_id = f.rule_id
+  WHERE f.rule_id IS NOT NULL
+     OR coalesce(f.rule_id, e.rule_id) NOT IN (SELECT rule_id FROM outcome)
+     OR coalesce(f.rule_id, e.rule_id) IN (SELECT rule_id FROM outcome WHERE outcome = 'failed'))
+""".replace("{payload}", ",\n         ".join(
+    f"CASE WHEN f.rule_id IS NOT NULL THEN f.{c} ELSE e.{c} END AS {c}"
+    for c in (*N.HEADER, "conditions", "actions", "reviewers")))
+
+INGESTED_SQL = _WHOLE_SQL + "SELECT * EXCLUDE (existing_pos, fetched_pos, source) FROM merged"
+
+
+def existing_whole(spark, sf_dir) -> DataFrame:
+    """The previous snapshot with whole rules."""
+    none = F.lit(None)
+    reviewer = F.struct(F.concat("rule_id", F.lit("-owners")).alias("target"), F.lit(True).alias("blocking"),
+                        F.lit(True).alias("is_group"))
+    empty = F.array().cast("array<string>")
+    # ids follow their position, so the owners' name does too
+    return _existing(spark, sf_dir).select(
+        "rule_id", "pos", "name", F.lit("USER-old").alias("author"), F.lit("active").alias("status"),
+        F.lit("commit").alias("object_type"), (F.col("pos") % 2 == 0).alias("is_global"),
+        F.array(F.struct(F.lit("repository").alias("type"), F.lit("is-any-of").alias("operator"),
+                         F.lit("list").alias("value_kind"), F.array("name").alias("value_list"),
+                         none.cast("string").alias("value_text"), none.cast("boolean").alias("value_bool")))
+        .alias("conditions"),
+        F.array(F.struct(F.lit("add-reviewers").alias("type"), F.array(reviewer).alias("reviewers"),
+                         none.cast("array<string>").alias("targets")),
+                F.struct(F.lit("do-nothing").alias("type"),
+                         none.cast("array<struct<target:string,blocking:boolean,is_group:boolean>>").alias("reviewers"),
+                         empty.alias("targets"))).alias("actions"))
+
+
+def merged_names(spark, sf_dir) -> DataFrame:
+    """The merged snapshot's ids and names: reports that need no items parse none."""
     outcome = _outcome(spark, sf_dir)
-    kept = _kept(spark, sf_dir)
-    fetched = R.with_id_order(kept.select("rule_id", "name")).select(
+    fetched = R.with_id_order(_kept(spark, sf_dir).select("rule_id", "name")).select(
         "rule_id", F.col("sort_num").cast("bigint").alias("pos"), "name")
-    failed = outcome.where(F.col("outcome") == "failed")
-    return R.merge_snapshot(_existing(spark, sf_dir), fetched, outcome, failed)
+    return R.merge_snapshot(_existing(spark, sf_dir), fetched, outcome, outcome.where(F.col("outcome") == "failed"))
+
+
+@query("snapshot_merge", sql=_WHOLE_SQL + "SELECT * FROM merged")
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 on whole rules: header, conditions, actions and reviewers of the copy that stays."""
+    outcome, kept = _outcome(spark, sf_dir), _kept(spark, sf_dir)
+    rules = R.with_id_order(N.whole_rules(kept, X.condition_rows(kept), X.action_rows(kept)))
+    fetched = rules.withColumn("pos", F.col("sort_num").cast("bigint")).drop("sort_group", "sort_num")
+    merged = R.merge_snapshot(existing_whole(spark, sf_dir), fetched, outcome,
+                              outcome.where(F.col("outcome") == "failed"))
+    return merged.select("rule_id", "existing_pos", "fetched_pos", "source", *N.HEADER, *N.rule_text())
 
 
 @query("refresh_counts", sql=BASE + """

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rulelake.operators import snapshot as N
 from rulelake.plans import q_projects, q_rules  # noqa: F401  (q_projects registers the oracle)
 from rulelake.plans.registry import all_sql, query
 from rulelake.plans.stage import run_path
@@ -29,16 +30,11 @@ def membership_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  file_glob="events.parquet")
 
 
-@query("page_ingest_stream", sql=all_sql()["snapshot_merge"].replace(
-    "SELECT coalesce(f.rule_id, e.rule_id) AS rule_id, e.pos AS existing_pos,\n"
-    "       CASE WHEN e.pos IS NULL THEN f.pos END AS fetched_pos,\n"
-    "       CASE WHEN f.rule_id IS NOT NULL THEN 'fetched' ELSE 'existing' END AS source,\n",
-    "SELECT coalesce(f.rule_id, e.rule_id) AS rule_id,\n"))
+@query("page_ingest_stream", sql=q_rules.INGESTED_SQL)
 def page_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule pages arrive as files (four drops); each micro-batch is merged
-    into the snapshot (R6)."""
+    into the versioned rule table (R6), whole rules."""
     drops = run_path(spark, "page_drops")
     q_rules.rendered_rule_pages(spark, sf_dir).repartition(4, "url").write.parquet(drops)
-    out = T.run_page_ingest(spark, drops, q_rules._existing(spark, sf_dir), run_path(spark, "ingest"))
-    return out.select("rule_id", "name")
-
+    out = T.run_page_ingest(spark, drops, q_rules.existing_whole(spark, sf_dir), run_path(spark, "ingest"))
+    return out.select("rule_id", *N.HEADER, *N.rule_text())
