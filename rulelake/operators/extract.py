@@ -362,22 +362,32 @@ def _item_rows(rules: DataFrame, items_col: str) -> DataFrame:
     keys = [c for c in ("page_key", "rule_id") if c in rules.columns]
     # items are NULL on failed pages; see explode_rows for why not explode()
     rows = explode_rows(rules, keys, items_col, "pos", "item")
-    return rows.select(*keys, "pos", node_text(F.col("item"), "").alias("text"),
-                       handles(F.col("item")).alias("hs"))
+    return rows.select(*keys, "pos", *_item_columns())
+
+
+@lru_cache
+def _item_columns() -> tuple[Column, ...]:
+    """Built once a process, as :func:`_page_parts`; so are the two classifications."""
+    return node_text(F.col("item"), "").alias("text"), handles(F.col("item")).alias("hs")
+
+
+@lru_cache
+def _classified(sql: str) -> Column:
+    return F.expr(sql)
 
 
 def condition_rows(rules: DataFrame) -> DataFrame:
     """X11+X12: one row per condition of every parsed rule, in page order."""
     rows = _item_rows(rules, "cond_items")
     keys = [c for c in rows.columns if c in ("page_key", "rule_id", "pos")]
-    return rows.select(*keys, F.expr(CONDITION_SQL).alias("c")).select(*keys, "c.*")
+    return rows.select(*keys, _classified(CONDITION_SQL).alias("c")).select(*keys, "c.*")
 
 
 def action_rows(rules: DataFrame) -> DataFrame:
     """X11+X13+X15: one row per action of every parsed rule, in page order."""
     rows = _item_rows(rules, "action_items")
     keys = [c for c in rows.columns if c in ("page_key", "rule_id", "pos")]
-    return rows.select(*keys, F.expr(ACTION_SQL).alias("a")).select(*keys, "a.*")
+    return rows.select(*keys, _classified(ACTION_SQL).alias("a")).select(*keys, "a.*")
 
 
 def reviewer_rows(actions: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A folder holds
 
-- ``data/<write>/<table>/bucket=<n>``: Parquet files of one write, never
+- ``data/<write>/<table>/bucket=<n>`` (``bucket_`` beside a column of that name): Parquet files of one write, never
   changed afterwards;
 - ``versions/v=<number>``: one line of JSON naming, for every table, its
   schema and the writes its buckets are in.
@@ -58,6 +58,14 @@ def bucket_of(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
+def _folder(columns: Sequence[str]) -> str:
+    """The name of the bucket folders, which no column of the table has."""
+    name, taken = "bucket", {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def newest(spark: SparkSession, base: str, below: int | None = None) -> Version | None:
     """The newest complete version (below a number), None where there is none.
 
@@ -91,7 +99,8 @@ def _read_line(spark: SparkSession, base: str, number: int) -> Version | None:
 def read(spark: SparkSession, version: Version, name: str, buckets: Collection[int] | None = None) -> DataFrame:
     """A table of a version, or some of its buckets (a table without rows has its columns)."""
     table = version.tables[name]
-    paths = [f"{version.base}/data/{write}/{name}/bucket={b}" for write, held in table.writes.items()
+    folder = _folder(table.struct().names)
+    paths = [f"{version.base}/data/{write}/{name}/{folder}={b}" for write, held in table.writes.items()
              for b in held if buckets is None or b in buckets]
     if not paths:
         return spark.createDataFrame([], table.struct())
@@ -103,16 +112,16 @@ def write_table(spark: SparkSession, base: str, name: str, df: DataFrame, key: S
     """Write a table's rows under a write of their own; no version names them yet."""
     write = uuid.uuid4().hex
     path = f"{base}/data/{write}/{name}"
-    key = list(key)
+    key, folder = list(key), _folder(df.columns)
     if key:
-        dealt = df.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
+        dealt = df.withColumn(folder, bucket_of(key, buckets)).repartition(folder)
     else:
-        buckets, dealt = 1, df.withColumn("bucket", F.lit(0))
-    dealt.write.partitionBy("bucket").parquet(path)
+        buckets, dealt = 1, df.withColumn(folder, F.lit(0))
+    dealt.write.partitionBy(folder).parquet(path)
     held: list[int] = []
     try:  # the names of the buckets, from the folder
         files = spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(path).inputFiles()
-        held = sorted({int(m.group(1)) for m in (re.search(r"/bucket=(\d+)/[^/]*$", f) for f in files) if m})
+        held = sorted({int(m.group(1)) for m in (re.search(rf"/{folder}=(\d+)/[^/]*$", f) for f in files) if m})
     except AnalysisException:
         pass
     return Table(df.schema.json(), key, buckets, {write: held} if held else {})

@@ -30,5 +30,5 @@ def test_membership_fold_over_three_drops(spark):
     got = T.run_membership_fold(spark, src + "/*", schema, _events, base, max_files_per_trigger=1)
     want = PR.replay_membership(_events(events).withColumnRenamed("seq", "event_id"), ["group_id"], "event_id")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    # the sink wrote one folder per micro-batch
-    assert len([d for d in os.listdir(os.path.join(base, "updates")) if d.startswith("batch_id=")]) >= 3
+    # one version per micro-batch
+    assert len([d for d in os.listdir(os.path.join(base, "versions")) if d.startswith("v=")]) >= 3
