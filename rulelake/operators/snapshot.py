@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulelake.operators import extract as X
+from rulelake.operators import groups as G
+from rulelake.operators import identity as I
 from rulelake.operators import rules as R
 from rulelake.sinks import versions as V
 
@@ -45,9 +47,14 @@ def start(spark: SparkSession, base: str, existing: DataFrame, buckets: int = V.
     version = V.newest(spark, base)
     if version is not None:
         return version
+    return V.commit(spark, base, -1, {TABLE: first_table(spark, base, existing, buckets)})
+
+
+def first_table(spark: SparkSession, base: str, existing: DataFrame, buckets: int = V.BUCKETS) -> V.Table:
+    """The rule table of a first version, written but not yet committed."""
     rows = existing.select("rule_id", F.lit(-1).cast("bigint").alias("added"), F.col("pos").cast("bigint"),
                            *PAYLOAD, digest().alias("digest"))
-    return V.commit(spark, base, -1, {TABLE: V.write_table(spark, base, TABLE, rows, ["rule_id"], buckets)})
+    return V.write_table(spark, base, TABLE, rows, ["rule_id"], buckets)
 
 
 def merge(spark: SparkSession, base: str, number: int, fetched: DataFrame, outcome: DataFrame) -> list[int]:
@@ -56,15 +63,26 @@ def merge(spark: SparkSession, base: str, number: int, fetched: DataFrame, outco
     ``outcome(rule_id, outcome)`` names what was attempted. Returns the
     buckets rewritten. A number that is committed already is left alone, so
     a replayed batch changes nothing; a batch whose rules all have the digest
-    they had writes no rows. The digests of the old version are read as two
-    columns; rows are read, merged and written in changed buckets only. What
-    comes to the driver is numbers of buckets.
+    they had writes no rows.
     """
     old = V.newest(spark, base, below=number + 1)
     if old is None:
         raise ValueError(f"no rule table in {base}; call start first")
     if old.number == number:
         return []
+    table, touched = merged_table(spark, old, number, fetched, outcome)
+    V.commit(spark, base, number, old.tables | {TABLE: table})
+    return touched
+
+
+def merged_table(spark: SparkSession, old: V.Version, number: int, fetched: DataFrame,
+                 outcome: DataFrame) -> tuple[V.Table, list[int]]:
+    """The rule table after R6, written but not yet committed, and the buckets rewritten.
+
+    The digests of the old version are read as two columns; rows are read,
+    merged and written in changed buckets only. What comes to the driver is
+    numbers of buckets.
+    """
     table = old.tables[TABLE]
     failed = outcome.where(F.col("outcome") == "failed").select("rule_id")
     attempted = outcome.select("rule_id").distinct()
@@ -80,8 +98,7 @@ def merge(spark: SparkSession, base: str, number: int, fetched: DataFrame, outco
     bucket = V.bucket_of(table.key, table.buckets)
     touched = sorted(r["b"] for r in state.where(renewed | dropped).select(bucket.alias("b")).distinct().collect())
     if not touched:
-        V.commit(spark, base, number, old.tables)
-        return []
+        return table, []
 
     def within(df: DataFrame) -> DataFrame:
         return df.where(bucket.isin(touched))
@@ -94,9 +111,36 @@ def merge(spark: SparkSession, base: str, number: int, fetched: DataFrame, outco
                               placed(within(fetched), F.lit(number)), within(attempted), within(failed))
     place = F.coalesce("existing_pos", "fetched_pos")
     rows = merged.select("rule_id", place["added"].alias("added"), place["pos"].alias("pos"), *PAYLOAD, "digest")
-    new = V.write_table(spark, base, TABLE, rows, table.key, table.buckets)
-    V.commit(spark, base, number, old.tables | {TABLE: V.replaced(table, new, touched)})
-    return touched
+    new = V.write_table(spark, old.base, TABLE, rows, table.key, table.buckets)
+    return V.replaced(table, new, touched), touched
+
+
+def resume_run(spark: SparkSession, base: str, fetched: DataFrame, outcome: DataFrame, groups: DataFrame,
+               resolved: DataFrame) -> V.Version:
+    """S8 + K1: a run that goes on from the tables of the run before and commits its own together.
+
+    Rules are merged (R6), groups with members and resolved users of before
+    are kept unless this run has them anew (J5, U18): ``groups(slug,
+    display_name, members)``, ``resolved(lookup_name, username, user_id)``.
+    Without a complete run before, this one starts afresh; what a run left
+    that died before its commit is not read.
+    """
+    old = V.newest(spark, base)
+    if old is None:
+        old = V.Version(base, -1, {TABLE: first_table(spark, base, fetched.limit(0))})
+    rules, _ = merged_table(spark, old, old.number + 1, fetched, outcome)
+    if "groups" in old.tables:
+        groups = G.overlay_groups(V.read(spark, old, "groups"), groups)
+    if "users" in old.tables:
+        resolved = I.overlay_resolved(V.read(spark, old, "users"), resolved)
+    return V.commit(spark, base, old.number + 1, old.tables | {TABLE: rules} | run_tables(spark, base, groups, resolved))
+
+
+def run_tables(spark: SparkSession, base: str, groups: DataFrame, resolved: DataFrame) -> dict[str, V.Table]:
+    """The tables of a run beside its rules, written but not yet committed."""
+    return {"groups": V.write_table(spark, base, "groups", groups.select("slug", "display_name", "members"), ["slug"]),
+            "users": V.write_table(spark, base, "users", resolved.select(
+                "lookup_name", "username", F.col("user_id").cast("bigint")), ["lookup_name"])}
 
 
 def current(spark: SparkSession, base: str) -> DataFrame:

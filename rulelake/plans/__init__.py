@@ -8,6 +8,7 @@ from rulelake.plans import (  # noqa: F401
     q_projects,
     q_pseudonym,
     q_references,
+    q_resume,
     q_rules,
     q_sources,
     q_streams,

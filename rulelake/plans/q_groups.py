@@ -164,6 +164,12 @@ SELECT coalesce(n.slug, o.slug) AS slug,
 FROM (SELECT * FROM prev WHERE len(members) > 0) o FULL OUTER JOIN new n ON o.slug = n.slug
 """)
 def group_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = G.overlay_groups(*overlay_sides(spark, sf_dir))
+    return out.withColumn("members", F.array_join("members", ","))
+
+
+def overlay_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The groups of the run before and those of this one."""
     part = read_table(spark, sf_dir, "part")
     snap = _snapshot(spark, sf_dir)
     refs = render.referenced_slugs_from_parts(part)
@@ -171,8 +177,7 @@ def group_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           snap.join(part.select(F.col("p_partkey").alias("seq"), "p_size"), "seq")
                                           .where(F.col("p_size") <= 25).drop("p_size")))
     new = G.lookup_groups(refs.where(F.col("slug").endswith("-reviewers")), _current(spark, sf_dir, snap))
-    out = G.overlay_groups(prev, new)
-    return out.withColumn("members", F.array_join("members", ","))
+    return prev, new
 
 
 @query("group_complete", sql=BASE + """

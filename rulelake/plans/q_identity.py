@@ -267,10 +267,15 @@ SELECT coalesce(n.lookup_name, p.lookup_name) AS lookup_name,
 FROM prev p FULL OUTER JOIN new n ON p.lookup_name = n.lookup_name
 """)
 def resolved_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.overlay_resolved(*overlay_sides(spark, sf_dir))
+
+
+def overlay_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The users resolved by the run before and by this one."""
     t = _tables(spark, sf_dir)
     new = _resolved_all(spark, sf_dir).where(F.col("status") == "resolved").select(
         "lookup_name", F.col("github_username").alias("username"), F.col("github_user_id").alias("user_id"))
-    return I.overlay_resolved(t["cached"], new)
+    return t["cached"], new
 
 
 @query("profile_responses", sql="""

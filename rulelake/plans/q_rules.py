@@ -448,6 +448,13 @@ def existing_whole(spark, sf_dir) -> DataFrame:
                          empty.alias("targets"))).alias("actions"))
 
 
+def fetched_whole(spark, sf_dir) -> DataFrame:
+    """The kept rules of this run, whole."""
+    kept = _kept(spark, sf_dir)
+    rules = R.with_id_order(N.whole_rules(kept, X.condition_rows(kept), X.action_rows(kept)))
+    return rules.withColumn("pos", F.col("sort_num").cast("bigint")).drop("sort_group", "sort_num")
+
+
 def merged_names(spark, sf_dir) -> DataFrame:
     """The merged snapshot's ids and names: reports that need no items parse none."""
     outcome = _outcome(spark, sf_dir)
@@ -459,10 +466,8 @@ def merged_names(spark, sf_dir) -> DataFrame:
 @query("snapshot_merge", sql=_WHOLE_SQL + "SELECT * FROM merged")
 def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 on whole rules: header, conditions, actions and reviewers of the copy that stays."""
-    outcome, kept = _outcome(spark, sf_dir), _kept(spark, sf_dir)
-    rules = R.with_id_order(N.whole_rules(kept, X.condition_rows(kept), X.action_rows(kept)))
-    fetched = rules.withColumn("pos", F.col("sort_num").cast("bigint")).drop("sort_group", "sort_num")
-    merged = R.merge_snapshot(existing_whole(spark, sf_dir), fetched, outcome,
+    outcome = _outcome(spark, sf_dir)
+    merged = R.merge_snapshot(existing_whole(spark, sf_dir), fetched_whole(spark, sf_dir), outcome,
                               outcome.where(F.col("outcome") == "failed"))
     return merged.select("rule_id", "existing_pos", "fetched_pos", "source", *N.HEADER, *N.rule_text())
 

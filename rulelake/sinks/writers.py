@@ -1,7 +1,7 @@
 """Sinks K1-K3.
 
-The main sink writes every entity table as Parquet with the committer's
-atomic job commit (K1 table form). The single-document JSON of the
+The main sink writes the entity tables as Parquet and commits them together
+(K1 table form, ``sinks/versions.py``). The single-document JSON of the
 reference (K1 document form) is an export: its arrays and maps are built
 with bounded per-key aggregations (items of one rule, members of one
 group) and only the final document is assembled in one task, written as one
@@ -13,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rulelake.sinks import versions as V
+
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:
-    """K1 table form: one Parquet folder per entity, replaced atomically per table."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    """K1 table form: the entity tables as one version; readers (``versions.read_version``)
+    see all of them or the version before."""
+    if tables:
+        V.write_version(next(iter(tables.values())).sparkSession, path, tables)
 
 
 def document(rules: DataFrame, groups: DataFrame, resolved: DataFrame, unresolved: DataFrame,
