@@ -146,3 +146,22 @@ def test_membership_updates_are_folded(spark):
     # the stream started again without new files leaves the version as it is
     T.run_membership_fold(spark, src + "/*", rows, lambda d: d, base, max_files_per_trigger=1, fold_after=3)
     assert V.newest(spark, base).tables == version.tables
+
+
+def test_a_run_starts_afresh_or_resumes(spark):
+    base = _base()
+
+    def groups(*rows):
+        return spark.createDataFrame(list(rows), "slug string, display_name string, members array<string>")
+
+    def users(*rows):
+        return spark.createDataFrame(list(rows), "lookup_name string, username string, user_id bigint")
+
+    N.resume_run(spark, base, _rules(spark, _rule(1), _rule(2)), _outcome(spark, H1="kept", H2="kept"),
+                 groups(("g", "G", ["m"]), ("e", "E", [])), users(("a", "ga", 1), ("b", "gb", None)))
+    N.resume_run(spark, base, _rules(spark, _rule(2, name="x")), _outcome(spark, H1="failed", H2="kept"),
+                 groups(("h", "H", ["k"])), users(("a", "new", 2)))
+    got = V.read_version(spark, base)
+    assert {r.rule_id: r.name for r in got["rules"].collect()} == {"H1": "n", "H2": "x"}
+    assert sorted(r.slug for r in got["groups"].collect()) == ["g", "h"]  # groups without members are collected anew
+    assert sorted(map(tuple, got["users"].collect())) == [("a", "new", 2), ("b", "gb", None)]
