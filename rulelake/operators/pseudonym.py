@@ -341,20 +341,35 @@ def rename_plan(files: DataFrame, file_col: str = "file", force: bool = False) -
                     status.alias("status"))
 
 
+#: Names are told apart by their length and a hash of their first letters before paths meet them.
+HEAD_LETTERS, HEADS = 4, 1 << 12
+
+
+def _head(name: Column) -> Column:
+    return F.pmod(F.crc32(F.substr(name, F.lit(1), F.lit(HEAD_LETTERS)).cast("binary")), F.lit(HEADS)).cast("int")
+
+
 def names_in_paths(files: DataFrame, mapping: DataFrame, file_col: str = "file") -> DataFrame:
     """File names, of any length, that contain a known real username.
 
     Only substrings as long as some mapped name are generated (one window
-    over the path for each distinct length) and equi-joined to the names: an
-    exact "name occurs in path" test without a cross join of files and
-    names. Output: file, username.
+    over the path for each distinct length); those that begin as no name of
+    their length does are dropped in the scan (at most HEADS numbers a length
+    are broadcast), and the rest is equi-joined to the names: an exact "name
+    occurs in path" test without a cross join of files and names. The names
+    are never broadcast: what they are made of is far smaller than they are,
+    so the planner would take them for a small table. Output: file, username.
     """
     f = files.select(F.col(file_col).alias("file")).distinct()
     names = mapping.select(F.col("real").alias("username")).where("username <> ''").distinct()
-    lengths = [r[0] for r in names.select(F.length("username")).distinct().collect()]  # a short list of numbers
-    windows = F.flatten(F.transform(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>"), lambda n: F.when(
+    heads = names.select(F.length("username").alias("_n"), _head(F.col("username")).alias("_h")).distinct().collect()
+    lengths = sorted({r["_n"] for r in heads})
+    begins = files.sparkSession.createDataFrame([tuple(r) for r in heads], "_n int, _h int")
+    windows = F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: F.when(
         F.length("file") >= n, F.transform(F.sequence(F.lit(1), F.length("file") - n + 1),
                                            lambda i: F.substr(F.col("file"), i, n))).otherwise(
         F.array().cast("array<string>"))))
     pieces = explode_rows(f.select("file", F.array_distinct(windows).alias("_s")), ["file"], "_s", "_p", "username")
-    return pieces.join(names, "username").select("file", "username")
+    likely = pieces.select("file", "username", F.length("username").alias("_n"), _head(F.col("username")).alias("_h")).join(
+        F.broadcast(begins), ["_n", "_h"], "left_semi")
+    return likely.join(names.hint("merge"), "username").select("file", "username")
