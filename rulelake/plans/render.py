@@ -417,7 +417,7 @@ def people_markdown(customer: DataFrame) -> DataFrame:
     u = login_col()
     md = F.concat(L("Reviewed by ["), u, L("](https://review.example.com/p/"), u, L(") with @"), u,
                   L(", cc @"), u, L("x and `"), u, L("`; ping @USER-1a2b3c4d or mail ops@example.com."))
-    return customer.select("c_custkey", md.alias("md"))
+    return spread(customer, "c_custkey").select("c_custkey", md.alias("md"))
 
 
 def people_json(customer: DataFrame) -> DataFrame:
@@ -436,7 +436,8 @@ def people_json(customer: DataFrame) -> DataFrame:
         F.struct(F.concat(u, L("_graphql")).alias("file"), graphql.alias("doc")),
         F.struct(F.concat(u, L("_rest")).alias("file"), rest.alias("doc")),
         F.struct(F.concat(L("search_"), u).alias("file"), search.alias("doc")))
-    return customer.select("c_custkey", F.explode(docs).alias("d")).select("c_custkey", "d.file", "d.doc")
+    return spread(customer, "c_custkey").select("c_custkey", F.explode(docs).alias("d")).select(
+        "c_custkey", "d.file", "d.doc")
 
 
 # --------------------------------------------------------------------------
