@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,6 +43,8 @@ FILE_IDS = 4 << 20
 #: Pieces whose ids a worker remembers from task to task, and encodes at once.
 CACHE_WORDS = 600_000
 ENCODE_BATCH = 4096
+#: Letters encoded at once, about.
+TEXT_RUN = 6 << 20
 RANK_BITS = 512
 _HEAD = struct.Struct("<4sIQQ")
 # byte-level models show a byte that is no printable Latin-1 character as the next free one from U+0100 on
@@ -136,9 +139,11 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tok = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
         self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
         self.known: dict[str, bytes] = {"": b""}
         self.most = most
 
@@ -155,8 +160,9 @@ class WordIds:
     def plain(word: str) -> bool:
         """Lower-case Latin letters only: the tokenizer's rules keep such a
         word whole and unchanged, so its model alone gives the ids."""
-        return word.isalpha() and word == word.lower() and (word.isascii() or (
-            max(word) < "\u0250" and unicodedata.is_normalized("NFC", word)))
+        if word.isascii():
+            return word.isalpha() and word.islower()
+        return word.isalpha() and word == word.lower() and max(word) < "\u0250" and unicodedata.is_normalized("NFC", word)
 
     def _learn(self, new: set[str]) -> None:
         whole, words, ends = [], set(), []
@@ -168,30 +174,50 @@ class WordIds:
                 words.add(word)
                 if len(word) < len(piece):  # marks after letters are a token run of their own
                     ends.append((piece, word, piece[len(word):]))
-        whole += {e for _, _, e in ends} - self.known.keys()
-        words = list(words - self.known.keys())
+        # asked word by word: a difference of sets would walk through all that is known
+        whole += {e for _, _, e in ends if e not in self.known}
+        words = [w for w in words if w not in self.known]
         shown = [w if w.isascii() else w.encode().decode("latin-1").translate(_SHOWN) for w in words]
-        for tok, pieces, texts in ((self.tok, whole, whole), (self.bare, words, shown)):
-            for lo in range(0, len(pieces), ENCODE_BATCH):
-                found = tok.encode_batch_fast(texts[lo:lo + ENCODE_BATCH], add_special_tokens=False)
-                for w, e in zip(pieces[lo:lo + ENCODE_BATCH], found):
-                    self.known[w] = array("I", e.ids).tobytes()
+        for lo in range(0, len(whole), ENCODE_BATCH):
+            part = whole[lo:lo + ENCODE_BATCH]
+            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[w] = array("I", e.ids).tobytes()
+        for lo in range(0, len(words), ENCODE_BATCH):  # letters alone: many as the words of one text
+            part = words[lo:lo + ENCODE_BATCH]
+            e = self.bare.encode("\n".join(shown[lo:lo + ENCODE_BATCH]), add_special_tokens=False)
+            data = array("I", e.ids).tobytes()
+            stops = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)))).tolist()
+            self.known.update(zip(part, (data[x:y] for x, y in zip([0, *stops], stops))))
         for piece, word, end in ends:
             self.known[piece] = self.known[word] + self.known[end]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces(t) for t in texts]
-        new = set()
-        for s in split:
-            new.update(s)
-        new -= self.known.keys()
+    def _gathered(self, split: pa.Array) -> list[bytes]:
+        """Ids of texts given as lists of pieces: Arrow finds the distinct
+        pieces, each is looked up once, and numpy gathers the ids."""
+        coded = split.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        new = {w for w in words if w not in self.known}
         if new:
             if len(self.known) + len(new) > self.most:
-                keep = set().union(*split)
+                keep = set(words)
                 self.known = {w: v for w, v in self.known.items() if w in keep}
             self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        each = [self.known[w] for w in words]
+        store = np.frombuffer(b"".join(each), "<u4")
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        n = size[at]
+        end = np.cumsum(n)
+        ids = store[np.repeat((np.cumsum(size) - size)[at] - (end - n), n) + np.arange(end[-1] if len(end) else 0)].tobytes()
+        edge = (4 * np.concatenate([[0], end])[split.offsets.to_numpy()]).tolist()
+        return [ids[x:y] for x, y in zip(edge, edge[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if any("<|" in t for t in texts):
+            return self._gathered(pa.array([self.pieces(t) for t in texts], pa.large_list(pa.large_string())))
+        column = pc.ascii_lower(pa.array(texts, pa.large_string()))
+        for c in "\t\n\x0b\x0c\r":
+            column = pc.replace_substring(column, c, " ")
+        return self._gathered(pc.split_pattern(column, " "))
 
 
 _LOADED: dict[str | None, WordIds] = {}
@@ -210,6 +236,22 @@ def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
 
 
+def _text_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Rows of about TEXT_RUN letters at once (a longer text with those before
+    it), so a word is looked up once a run and not once a batch."""
+    ids, texts, letters = [], [], 0
+    for batch in batches:
+        for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids.append(d)
+            texts.append(t or "")
+            letters += len(texts[-1])
+            if letters >= TEXT_RUN:
+                yield ids, texts
+                ids, texts, letters = [], [], 0
+    if texts:
+        yield ids, texts
+
+
 def _writer(folder: str, tokenizer: str | None, end_id: int, file_ids: int):
     end = struct.pack("<I", end_id)
 
@@ -235,16 +277,13 @@ def _writer(folder: str, tokenizer: str | None, end_id: int, file_ids: int):
             seq += 1
             return row
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                for d, b in zip(some.column(0).to_pylist(), words.encode(texts)):
-                    docs.append(d)
-                    blobs.append(b + end)
-                    held += len(b) // 4 + 1
-                    if held >= file_ids:
-                        yield flush()
+        for ids, texts in _text_runs(batches):
+            for d, b in zip(ids, words.encode(texts)):
+                docs.append(d)
+                blobs.append(b + end)
+                held += len(b) // 4 + 1
+                if held >= file_ids:
+                    yield flush()
         if docs:
             yield flush()
     return run
