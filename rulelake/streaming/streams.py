@@ -113,8 +113,8 @@ def run_page_ingest(spark: SparkSession, source: str, existing: DataFrame, base:
     ``(added, pos)``: a rule's first batch (-1: the previous snapshot), then
     its place in it.
 
-    Each batch parses its pages once into a written table and rewrites the
-    buckets whose rules changed. A page that is null or no rule fails and
+    Each batch parses its pages once, by all cores, into a written table of one
+    row a rule, writes their outcome, and rewrites the buckets whose rules changed. A page that is null or no rule fails and
     leaves the rule as it was.
     """
     N.start(spark, base, existing, buckets)
@@ -122,16 +122,22 @@ def run_page_ingest(spark: SparkSession, source: str, existing: DataFrame, base:
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         pages = classify_pages(batch).where(F.col("page_kind") == "rule")
         drop = f"{base}/drops/batch={batch_id}"
-        X.parse_rule_pages(pages).write.mode("overwrite").parquet(f"{drop}/pages")
-        parsed = N.one_page_per_rule(spark.read.parquet(f"{drop}/pages").drop("url", "page_kind"))
-        outcome = R.rule_outcome(parsed.select(F.col("page_key").alias("rule_id")), parsed)
+
+        def written(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{drop}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{drop}/{name}")
+
+        # a drop is few files, and pages compress so well that a file is one task: all cores parse
+        dealt = pages.repartition(2 * max(spark.sparkContext.defaultParallelism, 1), "url")
+        parsed = written(N.one_page_per_rule(X.parse_rule_pages(dealt).drop("url", "page_kind")), "pages")
+        outcome = written(R.rule_outcome(parsed.select(F.col("page_key").alias("rule_id")), parsed), "outcome")
         kept = R.select_rules(parsed, outcome.where(F.col("outcome") == "kept"))
         # two addresses may show one rule: the smaller one counts
         kept = R.dedup_first(kept, "rule_id", ["page_key"]).drop("page_key")
         rules = N.whole_rules(kept, X.condition_rows(kept), X.action_rows(kept))
-        R.with_id_order(rules).withColumn("pos", F.col("sort_num").cast("bigint")).drop(
-            "sort_group", "sort_num").write.mode("overwrite").parquet(f"{drop}/rules")
-        N.merge(spark, base, batch_id, spark.read.parquet(f"{drop}/rules"), outcome)
+        rules = written(R.with_id_order(rules).withColumn("pos", F.col("sort_num").cast("bigint")).drop(
+            "sort_group", "sort_num"), "rules")
+        N.merge(spark, base, batch_id, rules, outcome)
 
     stream = (spark.readStream.schema("url string, html string")
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source))

@@ -1,7 +1,11 @@
 """Plans that hold at any size: no table that grows is broadcast, no step runs in one task."""
 
+import pytest
+
+from rulelake.operators import extract as X
 from rulelake.operators import pseudonym as A
 from rulelake.plans import render
+from rulelake.streaming import streams as T
 
 
 def _plan(df) -> str:
@@ -31,3 +35,28 @@ def test_documents_of_a_table_of_one_file_are_dealt_over_tasks(spark, tmp_path):
     for docs in (render.people_json(customer), render.people_markdown(customer)):
         assert docs.rdd.getNumPartitions() > 1
     assert render.people_json(customer).count() == 600
+
+
+def test_a_drop_of_one_file_is_parsed_by_all_cores(spark, tmp_path):
+    """A repeated address counts once, and the parsed drop has a file for each task that had pages."""
+    html = ('<title>☿ H{0} x</title><span class="phabricator-last-crumb"><span class="phui-crumb-name">H{0}</span></span>'
+            '<p class="herald-list-description">Take these actions every time this rule matches:</p>'
+            '<div class="herald-list-item">Add reviewers: <a href="/p/bob/" class="phui-handle">bob</a></div>')
+    pages = [(f"https://review.example.com/H{i}", html.format(i)) for i in range(1, 41)]
+    source, base = str(tmp_path / "drop"), str(tmp_path / "base")
+    spark.createDataFrame(pages + pages[:5], "url string, html string").coalesce(1).write.parquet(source)
+    whole = ("rule_id string, pos bigint, name string, author string, status string, object_type string, is_global boolean, "
+             "conditions array<struct<type:string,operator:string,value_kind:string,value_list:array<string>,"
+             "value_text:string,value_bool:boolean>>, actions array<struct<type:string,"
+             "reviewers:array<struct<target:string,blocking:boolean,is_group:boolean>>,targets:array<string>>>")
+    parse, parts = X.parse_rule_pages, []
+
+    def counted(pages, *more, **named):
+        parts.append(pages.rdd.getNumPartitions())
+        return parse(pages, *more, **named)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(X, "parse_rule_pages", counted)
+        out = T.run_page_ingest(spark, source, spark.createDataFrame([], whole), base)
+        assert sorted(r.rule_id for r in out.collect()) == sorted(f"H{i}" for i in range(1, 41))
+    assert parts and min(parts) > 1
