@@ -117,9 +117,11 @@ def _decoded(text: Column, named, legacy=None) -> Column:
         return let(ref, lambda r: let(F.regexp_replace(r, ";$", ""), lambda name: read(seg, r, name)))
 
     def whole(t: Column) -> Column:
-        segs = F.split(t, "&")
-        rest = F.transform(F.slice(segs, F.lit(2), F.greatest(F.size(segs) - 1, F.lit(1))), one)
-        return F.when(t.contains("&"), F.array_join(F.concat(F.array(at(segs, 1)), rest), "")).otherwise(t)
+        def joined(segs: Column) -> Column:
+            rest = F.transform(F.slice(segs, F.lit(2), F.greatest(F.size(segs) - 1, F.lit(1))), one)
+            return F.array_join(F.concat(F.array(at(segs, 1)), rest), "")
+
+        return F.when(t.contains("&"), let(F.split(t, "&"), joined)).otherwise(t)
 
     return let(text, whole)
 
@@ -149,7 +151,16 @@ def decode_basic(c) -> Column:
             out = out.when(name == ref[1:-1], F.lit(ch))
         return out
 
-    return _decoded(_col(c), named)
+    def read(t: Column) -> Column:
+        # an apostrophe is the one frequent numeric reference; without others, plain replacements do
+        # (&amp; last, since what it leaves is not read again)
+        rest = F.replace(t, F.lit("&#039;"), F.lit("'"))
+        plain = rest
+        for ref, ch in [*NAMED_ENTITIES, ("&amp;", "&")]:
+            plain = F.replace(plain, F.lit(ref), F.lit(ch))
+        return F.when(~t.contains("&"), t).when(~rest.contains("&#"), plain).otherwise(_decoded(t, named))
+
+    return let(_col(c), read)
 
 
 def node_text(fragment, sep: str = "") -> Column:
@@ -187,19 +198,27 @@ def inside(rest, tag: str) -> Column:
     """Markup up to the closing tag of the element whose opening tag stands
     just before ``rest`` (all of it if the element is not closed).
 
-    The text is cut at the tag's openings and closings and the depth is
-    counted over the pieces, so neither length nor nesting is limited."""
+    Mostly no such tag is nested in it, and the text before the first closing
+    tag is all. Else the text is cut at the tag's openings and closings and
+    the depth is counted over the pieces, so neither length nor nesting is
+    limited."""
     def walk(state: Column, seg: Column) -> Column:
-        opens = seg.rlike(f"^<{tag}\\b").cast("int")
-        closes = seg.rlike(f"^</{tag}\\b").cast("int")
-        depth = F.when(state["depth"] > 0, state["depth"] + opens - closes).otherwise(F.lit(0))
+        depth = F.when(state["depth"] > 0, state["depth"] + F.when(seg.startswith("/"), F.lit(-1)).otherwise(F.lit(1))) \
+            .otherwise(F.lit(0))
         return F.struct(depth.alias("depth"), (state["kept"] + (depth > 0).cast("int")).alias("kept"))
 
     def cut(segs: Column) -> Column:
-        kept = F.aggregate(segs, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")), walk, lambda s: s["kept"])
-        return F.array_join(F.slice(segs, F.lit(1), kept), "")
+        # every piece but the first begins with the name of a tag, "/" before it where it closes
+        kept = F.aggregate(F.slice(segs, F.lit(2), F.greatest(F.size(segs) - 1, F.lit(1))),
+                           F.struct(F.lit(1).alias("depth"), F.lit(1).alias("kept")), walk, lambda s: s["kept"])
+        return F.array_join(F.slice(segs, F.lit(1), kept), "<")
+
+    def read(text: Column) -> Column:
+        first = F.substring_index(text, f"</{tag}>", 1)
+        return let(first, lambda f: F.when(~f.contains(f"<{tag}") & ~f.contains(f"</{tag}"), f).otherwise(
+            let(F.split(text, f"<(?=/?{tag}\\b)"), cut)))
 
-    return let(F.split(_col(rest), f"(?=</?{tag}\\b)"), cut)
+    return let(_col(rest), read)
 
 
 def attr(tag_markup, name: str) -> Column:

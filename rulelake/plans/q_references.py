@@ -12,6 +12,7 @@ from rulelake.operators import groups as G
 from rulelake.operators import identity as I
 from rulelake.plans import q_groups, q_identity, q_rules
 from rulelake.plans.registry import query
+from rulelake.plans.stage import staged
 
 # kept rules' reviewer targets that name a group (is_group true, or unknown without '@')
 RREF_CTE = """
@@ -28,15 +29,22 @@ CHAIN = (q_rules.BASE + "," + q_groups.SNAP_CTE + "," + q_groups._cur("cur") + "
          + "," + RREF_CTE + "," + q_groups._found("found", "rref", "cur", "idx"))
 
 
-def _kept_reviewers(spark, sf_dir) -> DataFrame:
-    kept = q_rules._outcome(spark, sf_dir).where(F.col("outcome") == "kept").select("rule_id")
-    revs = X.reviewer_rows(q_rules._actions(spark, sf_dir))
-    return revs.join(kept, "rule_id", "left_semi")
+def _kept_reviewers(spark, sf_dir, *columns: str) -> DataFrame:
+    """Reviewers of the kept rules; the pages are parsed for these and for ``columns``."""
+    q_rules.reading_only(spark, sf_dir, "action_items", *columns)
 
+    def build():
+        return X.reviewer_rows(X.action_rows(q_rules._kept(spark, sf_dir).select("page_key", "rule_id", "action_items")))
+    return staged(spark, sf_dir, "kept_reviewers", build)
 
-def _found(spark, sf_dir) -> DataFrame:
-    slugs = G.referenced_group_slugs(_kept_reviewers(spark, sf_dir))
-    return G.lookup_groups(slugs, q_groups._current(spark, sf_dir))
+
+def _referenced(spark, sf_dir, *columns: str) -> DataFrame:
+    return staged(spark, sf_dir, "referenced_slugs", lambda: G.referenced_group_slugs(
+        _kept_reviewers(spark, sf_dir, *columns)))
+
+
+def _found(spark, sf_dir, *columns: str) -> DataFrame:
+    return G.lookup_groups(_referenced(spark, sf_dir, *columns), q_groups._current(spark, sf_dir))
 
 
 @query("referenced_slugs", sql=CHAIN + """
@@ -77,8 +85,8 @@ SELECT DISTINCT raw_name, ref FROM (
 """)
 def user_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1 + U2 + J9: every referenced user with where it is referenced."""
+    found = _found(spark, sf_dir, "author")
     kept = q_rules._kept(spark, sf_dir).select("rule_id", "author")
-    found = _found(spark, sf_dir)
     from_rules = I.user_refs_from_rules(kept, _kept_reviewers(spark, sf_dir), found.select("slug"))
     return I.merge_refs(from_rules, I.user_refs_from_groups(found))
 
@@ -91,8 +99,7 @@ FROM rref
 """)
 def groups_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 over the rules' referenced slugs and the collected groups."""
-    slugs = G.referenced_group_slugs(_kept_reviewers(spark, sf_dir))
-    return G.groups_complete_flag(G.group_completeness(slugs, _found(spark, sf_dir)))
+    return G.groups_complete_flag(G.group_completeness(_referenced(spark, sf_dir), _found(spark, sf_dir)))
 
 
 @query("run_metadata", sql=CHAIN + """,
@@ -111,9 +118,9 @@ SELECT (SELECT count(*) FROM merged) AS total_rules,
 """)
 def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3-W5 for one run over the rendered pages and the resolution tables."""
+    found = _found(spark, sf_dir, "name")
     merged = q_rules.merged_names(spark, sf_dir)
     outcome = q_rules._outcome(spark, sf_dir)
-    slugs = G.referenced_group_slugs(_kept_reviewers(spark, sf_dir))
-    found = _found(spark, sf_dir)
+    slugs = _referenced(spark, sf_dir)
     return I.run_metadata(merged, found, q_identity._resolved_all(spark, sf_dir), outcome,
                           G.group_completeness(slugs, found), "https://review.example.com:8443/herald/")

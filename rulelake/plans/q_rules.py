@@ -136,6 +136,13 @@ def _parsed(spark, sf_dir) -> DataFrame:
     return staged(spark, sf_dir, "rule_pages", lambda: X.parse_rule_pages(_rule_pages(spark, sf_dir), match_any=True))
 
 
+def reading_only(spark, sf_dir, *columns: str) -> None:
+    """The pages of this call are parsed for these columns alone: what no
+    report of it reads is neither computed nor written."""
+    wanted = dict.fromkeys(("page_key", "parse_ok", "rule_id", "status", "has_reviewers", *columns))
+    staged(spark, sf_dir, "rule_pages", lambda: X.parse_rule_pages(_rule_pages(spark, sf_dir)).select(*wanted))
+
+
 def _conditions(spark, sf_dir) -> DataFrame:
     return staged(spark, sf_dir, "rule_conditions", lambda: X.condition_rows(_parsed(spark, sf_dir)))
 
@@ -466,6 +473,7 @@ def merged_names(spark, sf_dir) -> DataFrame:
 @query("snapshot_merge", sql=_WHOLE_SQL + "SELECT * FROM merged")
 def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 on whole rules: header, conditions, actions and reviewers of the copy that stays."""
+    reading_only(spark, sf_dir, *N.HEADER, "cond_items", "action_items")
     outcome = _outcome(spark, sf_dir)
     merged = R.merge_snapshot(existing_whole(spark, sf_dir), fetched_whole(spark, sf_dir), outcome,
                               outcome.where(F.col("outcome") == "failed"))

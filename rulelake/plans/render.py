@@ -50,7 +50,7 @@ def snapshot_members_text() -> Column:
 
 def review_group_snapshot(part: DataFrame) -> DataFrame:
     """Append-only review-groups table: one row per part, ``seq`` = load order."""
-    return part.select(
+    return spread(part, "p_partkey").select(
         F.col("p_partkey").alias("seq"),
         snapshot_group_name().alias("group_name"),
         snapshot_members_text().alias("group_usernames"))

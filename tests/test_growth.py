@@ -2,9 +2,12 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from rulelake.functions import html as H
 from rulelake.operators import extract as X
 from rulelake.operators import pseudonym as A
-from rulelake.plans import render
+from rulelake.plans import q_groups, q_references, q_rules, render, stage
 from rulelake.streaming import streams as T
 
 
@@ -60,3 +63,48 @@ def test_a_drop_of_one_file_is_parsed_by_all_cores(spark, tmp_path):
         out = T.run_page_ingest(spark, source, spark.createDataFrame([], whole), base)
         assert sorted(r.rule_id for r in out.collect()) == sorted(f"H{i}" for i in range(1, 41))
     assert parts and min(parts) > 1
+
+
+def _part(spark, path):
+    kinds = ["STANDARD", "PROMO", "LARGE", "MEDIUM", "SMALL"]
+    rows = [(k, ["red bolt", "hot ring", "blue nut"][k % 3], f"Brand#{k % 5}", kinds[k % 5], k % 51) for k in range(1, 103)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").coalesce(
+        1).write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+_OUTCOME = {"page_key", "parse_ok", "rule_id", "status", "has_reviewers"}
+
+
+@pytest.mark.parametrize("report, more", [
+    (q_references.groups_completeness, {"action_items"}),
+    (q_references.user_refs, {"action_items", "author"}),
+    (q_rules.snapshot_merge, {"action_items", "cond_items", "name", "author", "object_type", "is_global"})])
+def test_pages_are_parsed_for_the_columns_a_report_reads(spark, tmp_path, report, more):
+    sf_dir = _part(spark, tmp_path)
+    with stage.run_scope():
+        rows = sorted(map(str, report(spark, sf_dir).collect()))
+        assert set(q_rules._parsed(spark, sf_dir).columns) == _OUTCOME | more
+    with stage.run_scope():  # the same from pages parsed whole
+        q_rules._parsed(spark, sf_dir)
+        assert rows and sorted(map(str, report(spark, sf_dir).collect())) == rows
+
+
+def test_a_snapshot_of_one_file_is_dealt_over_tasks(spark, tmp_path):
+    assert q_groups._snapshot(spark, _part(spark, tmp_path)).rdd.getNumPartitions() > 1
+
+
+def test_an_element_without_nested_ones_is_cut_without_counting(spark):
+    cases = [("a</div>b", "a"), ("a<div>b</div>c</div>d", "a<div>b</div>c"), ("a</div >b", "a"), ("a</divx></div>b", "a</divx>"),
+             ("<divx>a</div>b", "<divx>a"), ("</div>a", ""), ("a", "a"), ("", ""), ("<div>a", "<div>a"), (None, None)]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, rest string, want string")
+    got = {r.i: r.got for r in df.select("i", H.inside("rest", "div").alias("got")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_frequent_references_are_replaced_once(spark):
+    cases = [("&amp;lt;", "&lt;"), ("a&#039;s &amp;#039;", "a's &#039;"), ("&#65;&#039;&lt;", "A'<"), ("&#&#039;1;", "&#'1;"),
+             ("&copy &nbsp;.", "&copy \u00a0."), ("&&amp;amp;", "&&amp;"), ("x", "x"), ("", ""), (None, None)]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, want string")
+    got = {r.i: r.got for r in df.select("i", H.decode_basic(F.col("t")).alias("got")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
