@@ -26,6 +26,7 @@ def resume_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run commits rules, groups and users together; a second dies
     before its commit; a third goes on from the first and its tables are read back."""
     base = run_path(spark, "run_tables")
+    q_rules.reading_only(spark, sf_dir, *N.HEADER, "cond_items", "action_items")
     old_groups, groups = q_groups.overlay_sides(spark, sf_dir)
     old_users, users = q_identity.overlay_sides(spark, sf_dir)
     existing = q_rules.existing_whole(spark, sf_dir)
