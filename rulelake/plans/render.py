@@ -59,7 +59,7 @@ def review_group_snapshot(part: DataFrame) -> DataFrame:
 def referenced_slugs_from_parts(part: DataFrame) -> DataFrame:
     """Slugs rules would reference: dashed name, '-reviewers' form, upper case."""
     dashed = F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))
-    return part.select(F.explode(F.array(
+    return spread(part, "p_partkey").select(F.explode(F.array(
         dashed, F.concat(dashed, F.lit("-reviewers")), F.upper(dashed))).alias("slug")).distinct()
 
 

@@ -91,7 +91,11 @@ def test_pages_are_parsed_for_the_columns_a_report_reads(spark, tmp_path, report
 
 
 def test_a_snapshot_of_one_file_is_dealt_over_tasks(spark, tmp_path):
-    assert q_groups._snapshot(spark, _part(spark, tmp_path)).rdd.getNumPartitions() > 1
+    sf_dir = _part(spark, tmp_path)
+    assert q_groups._snapshot(spark, sf_dir).rdd.getNumPartitions() > 1
+    slugs = render.referenced_slugs_from_parts(q_rules._part(spark, sf_dir))
+    assert "REPARTITION_BY_NUM" in _plan(slugs)
+    assert slugs.count() == 9
 
 
 def test_an_element_without_nested_ones_is_cut_without_counting(spark):
