@@ -134,3 +134,72 @@ def test_tokens_of_a_hot_word_stay_in_their_block(make_docs, monkeypatch):
     # a row gathered for a vocabulary partition has an entry for each block and distinct word, not for each token
     largest = tables["lm_vocab"].select(F.max(F.length(F.to_json(F.struct("*"))))).first()[0]
     assert largest < 60_000
+
+
+def test_words_before_count(make_docs):
+    """The same words in another order, of the same kind, score clearly worse: known words are predicted from the words before them."""
+    rng = np.random.default_rng(3)
+    names = [f"w{i}" for i in range(60)]
+    after = {w: [names[j] for j in rng.integers(0, 60, 2)] for w in names}
+
+    def text():
+        w = [names[rng.integers(60)]]
+        while len(w) < 80:
+            w.append(after[w[-1]][rng.integers(2)])
+        return w
+
+    held = [text() for _ in range(20)]
+    rows = [(i, " ".join(text())) for i in range(200)] + [(1000 + i, " ".join(t)) for i, t in enumerate(held)] + [
+        (2000 + i, " ".join(rng.permutation(t))) for i, t in enumerate(held)]
+    out = {r.doc_id: r for r in L.scored(make_docs(rows), F.col("doc_id") < 1000).collect()}
+    whole, mixed = (sum(out[k + i].score for i in range(20)) for k in (1000, 2000))
+    assert sum(out[1000 + i].n_known for i in range(20)) == 20 * 81
+    assert mixed < 1.5 * whole < 0
+
+
+def block_of(texts, counts, bits=L.TOKEN_BITS):
+    """A block of texts, given as lists of word numbers, over words with these training counts."""
+    n = np.array(counts)
+    mark = np.zeros(len(n), np.uint64)
+    mark[n > 0] = L.marks(n[n > 0])
+    return L.Tokens(SimpleNamespace(
+        tokens=L._narrow(np.concatenate(texts)), sizes=L._narrow(np.array([len(t) for t in texts])), train=np.zeros(len(texts), bool).tobytes(),
+        n=L._narrow(n), kinds=L._narrow(np.zeros(len(n), np.uint8)), mark=L._narrow(mark),
+        score=L._narrow(np.full(len(n), -1, "<f4").view("<u4"))), bits)
+
+
+def test_known_words_after_any_words_share_all_that_the_first_decision_leaves():
+    rng = np.random.default_rng(5)
+    bits, counts = (14, 14, 14), [*rng.integers(1, 50, 30), 100_000, 0]
+    with np.errstate(over="ignore"):
+        tokens = block_of([[3, 7, w] for w in range(32)], counts, bits)
+        tables = [rng.integers(0, 6, 1 << b).astype(np.uint16) * L.LEVELS + rng.integers(0, 6, 1 << b).astype(np.uint16) for b in bits]
+        model = L.TokenModel(bits, np.full(L.SLOTS, 0.1), rng.normal(0.4, 0.2, (L.GATES, 3)), rng.normal(0, 2, (L.NODES + L.DEPTHS) * L.STEPS),
+                             np.full(L.GATES, 1 - 1e-12))
+        p = 10 ** L.token_log10(model, tables, tokens)[2::3]
+    assert p.sum() == pytest.approx(1, rel=1e-4)  # the last is the first decision alone, as its spelling is certain
+    assert tokens.many[30] < tokens.many[0]  # a frequent word is reached by fewer decisions
+
+
+def test_ways_through_partitions_are_apart():
+    weights = [5, 1, 1, 40, 3, 3, 2, 1000, 1]
+    top = L.marks(np.array(weights))
+    seen = set()
+    for t, size in zip(top, weights):
+        w = L.Words(row_of({b"x%d" % i: (size + i, 0) for i in range(size % 7 + 1)} | {b"none": (0, 0)}))
+        made = L.word_marks(w, int(t))
+        assert (made > 0).tolist() == (w.w_n > 0).tolist()
+        seen |= {bin(m)[3:] for m in made.tolist() if m}
+    assert sum(0.5 ** len(m) for m in seen) == 1 and len(seen) == sum(s % 7 + 1 for s in weights)
+
+
+def test_counts_above_what_a_slot_of_a_task_holds(monkeypatch):
+    """Counts are exact however often a task takes them out of its table."""
+    block = block_of([[0, 1, 2] * 5000], [5000, 5000, 5000], (12, 12, 12))
+    block.train[:] = True
+    monkeypatch.setattr(L, "Tokens", lambda row, bits: block)
+    row = [SimpleNamespace(itertuples=lambda: [None])]
+    usual = [L._add_tokens(x) for x in L._count_tokens(block.bits)(row)]
+    monkeypatch.setattr(L, "MOST", 100)
+    low = [L._add_tokens(x) for x in L._count_tokens(block.bits)(row)]
+    assert all(a.equals(b) for a, b in zip(usual, low)) and len(usual) == len(low) == 3
